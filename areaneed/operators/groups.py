@@ -42,19 +42,13 @@ def latest_per_key(
 def share_of(
     df: DataFrame, measure: str, keys: list[str], name: str = "share_pct", digits: int = 2
 ) -> DataFrame:
-    """Percentage of the group total. ``df`` is already aggregated.
+    """Percentage of the group total. ``df`` is already aggregated: a group is a few rows.
 
-    Totals come from a second aggregation and a join, so no group has to sit in one task.
+    One pass: totals by a second aggregation and a join would read the fact twice.
     """
-    totals = df.groupBy(*keys).agg(F.sum(measure).alias("_total"))
-    left, right = df.alias("d"), totals.alias("t")
-    on = [F.col(f"d.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-    return left.join(right, on).select(
-        *[F.col(f"d.{c}") for c in df.columns],
-        F.round(
-            F.try_divide(F.col(f"d.{measure}") * F.lit(100.0), F.col("t._total")), digits
-        ).alias(name),
-    )
+    total = F.sum(measure).over(Window.partitionBy(*keys))
+    share = F.try_divide(F.col(measure) * F.lit(100.0), total)
+    return df.withColumn(name, F.round(share, digits))
 
 
 def quartile_tier(

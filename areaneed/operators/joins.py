@@ -49,6 +49,12 @@ def drill_across(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(merge, frames)
 
 
+def one_row(frames: list[DataFrame]) -> DataFrame:
+    """Grand totals of several frames, one row each, side by side in one row."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def anti(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose non-null key ``dim`` does not have."""
     return df.where(F.col(key).isNotNull()).join(dim.select(key), key, "left_anti")

@@ -123,36 +123,33 @@ def agg_city_season(
         .groupBy("city_geo_key", "date_key", "offense_key", "incident_hour")
         .agg(F.count("*").alias("n"))
     )
-    cells = (
+    # Hours and categories are counted in one pass, as labelled values.
+    values = F.array(
+        F.struct(F.lit("hour").alias("kind"), F.col("incident_hour").cast("string").alias("value")),
+        F.struct(F.lit("category").alias("kind"), F.col("offense_category_name").alias("value")),
+    )
+    keys = ["city_name", "season", "year"]
+    counts = (
         per_key.join(days, "date_key")
         .join(cities, "city_geo_key")
         .join(offense.select("offense_key", "offense_category_name"), "offense_key")
-        .groupBy("city_name", "season", "year", "incident_hour", "offense_category_name")
+        .select(*keys, "n", F.explode(values).alias("v"))
+        .groupBy(*keys, "v.kind", "v.value")
         .agg(F.sum("n").alias("n"))
     )
-    keys = ["city_name", "season", "year"]
-    hours = (
-        cells.groupBy(*keys, "incident_hour")
-        .agg(F.sum("n").alias("n"))
-        .groupBy(*keys)
+
+    def commonest(kind: str, kind_type: str) -> Column:
+        is_kind = (F.col("kind") == kind) & F.col("value").isNotNull()
+        place = F.struct((-F.col("n")).alias("n"), F.col("value").cast(kind_type).alias("value"))
+        return F.min(F.when(is_kind, place))["value"]
+
+    return (
+        counts.groupBy(*keys)
         .agg(
-            F.sum("n").alias("total"),
-            F.min(
-                F.when(
-                    F.col("incident_hour").isNotNull(),
-                    F.struct((-F.col("n")).alias("n"), F.col("incident_hour")),
-                )
-            )["incident_hour"].alias("peak_crime_hour"),
+            F.sum(F.when(F.col("kind") == "hour", F.col("n"))).alias("total"),
+            commonest("hour", "int").alias("peak_crime_hour"),
+            commonest("category", "string").alias("top_offense_type"),
         )
-    )
-    categories = (
-        cells.groupBy(*keys, "offense_category_name")
-        .agg(F.sum("n").alias("n"))
-        .groupBy(*keys)
-        .agg(_commonest("offense_category_name").alias("top_offense_type"))
-    )
-    return (
-        hours.join(categories, keys)
         .join(season_days, ["season", "year"])
         .select(
             *keys,

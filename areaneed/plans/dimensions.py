@@ -35,6 +35,19 @@ def dim_date(
     return calendar(bounds)
 
 
+def dim_date_spanning(incidents: DataFrame) -> DataFrame:
+    """Whole calendar years from the first to the last incident."""
+    span = incidents.agg(
+        F.min("incident_date").alias("first"), F.max("incident_date").alias("last")
+    )
+    return calendar(
+        span.select(
+            F.trunc("first", "year").alias("start"),
+            F.add_months(F.trunc("last", "year"), 12).alias("end_exclusive"),
+        )
+    )
+
+
 def calendar(bounds: DataFrame) -> DataFrame:
     """Calendar rows for a one-row frame with ``start`` and ``end_exclusive``."""
     days = bounds.select(

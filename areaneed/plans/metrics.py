@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areaneed.operators.joins import drill_across
+from areaneed.operators.joins import drill_across, one_row
 
 
 @dataclass(frozen=True)
@@ -209,7 +209,7 @@ def query_metrics(
         _one_fact(fact, facts, dims, wanted, group_by, grain or "day", where or {})
         for fact, wanted in by_fact.items()
     ]
-    result = drill_across(frames, group_by) if group_by else _side_by_side(frames)
+    result = drill_across(frames, group_by) if group_by else one_row(frames)
     fills = {n: m.fill for n, m in simple.items() if m.fill is not None}
     result = result.fillna(fills) if fills else result
     columns = []
@@ -225,12 +225,6 @@ def query_metrics(
     return result.select(*group_by, *columns)
 
 
-def _side_by_side(frames: list[DataFrame]) -> DataFrame:
-    """Grand totals of several facts: one row each, matched on a constant."""
-    keyed = [f.withColumn("_one", F.lit(1)) for f in frames]
-    return drill_across(keyed, ["_one"]).drop("_one")
-
-
 SAVED_QUERIES = {
     "county_crime_annual": (["total_crimes"], ["metric_time", "geo__county_name"], "year"),
     "subsidy_by_county": (

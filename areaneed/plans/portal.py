@@ -15,6 +15,7 @@ from areaneed.constants import SEARCH_ROWS
 from areaneed.functions.scores import rate
 from areaneed.functions.text import initcap_delims
 from areaneed.operators.groups import share_of
+from areaneed.operators.joins import one_row
 from areaneed.plans.facts import county_keys
 
 Tables = Mapping[str, DataFrame]
@@ -129,20 +130,14 @@ def headline_stats(tables: Tables) -> DataFrame:
         F.count_if("qualifies_for_subsidy").alias("qualifying_businesses"),
     )
     counties = county_keys(tables["dim_geography"]).agg(F.count("*").alias("counties"))
-    one = F.lit(1).alias("_one")
-    return (
-        crimes.select("*", one)
-        .join(business.select("*", one), "_one")
-        .join(counties.select("*", one), "_one")
-        .select(
-            "total_crimes",
-            "total_businesses",
-            "qualifying_businesses",
-            "year_min",
-            "year_max",
-            (F.col("year_max") - F.col("year_min") + 1).alias("years_of_data"),
-            "counties",
-        )
+    return one_row([crimes, business, counties]).select(
+        "total_crimes",
+        "total_businesses",
+        "qualifying_businesses",
+        "year_min",
+        "year_max",
+        (F.col("year_max") - F.col("year_min") + 1).alias("years_of_data"),
+        "counties",
     )
 
 

@@ -12,7 +12,6 @@ from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from areaneed.plans import dimensions, facts, reports, staging, tiers, unify
 from areaneed.sources.scratch import materialise
@@ -110,15 +109,7 @@ class Warehouse:
     # gold layer: dimensions
     @cached_property
     def dim_date(self) -> DataFrame:
-        """Whole calendar years from the first to the last incident."""
-        span = self.int_crimes_unified.agg(
-            F.min("incident_date").alias("a"), F.max("incident_date").alias("b")
-        )
-        bounds = span.select(
-            F.trunc("a", "year").alias("start"),
-            F.add_months(F.trunc("b", "year"), 12).alias("end_exclusive"),
-        )
-        return self.save(dimensions.calendar(bounds), "dim_date")
+        return self.save(dimensions.dim_date_spanning(self.int_crimes_unified), "dim_date")
 
     @cached_property
     def dim_geography(self) -> DataFrame:

@@ -53,9 +53,10 @@ def write_layer(
 ) -> DataFrame:
     """Raw models become views; silver and gold models become Parquet tables.
 
-    ``sort`` clusters the table. The range split ends in a hash of the whole row, so
-    that a sort key shared by a third of the rows is spread over several files;
-    inside each file rows are sorted by the plain key for min/max skipping.
+    ``sort`` clusters the table: a range split by the key, then a sort in each file for
+    min/max skipping. The split also uses a row number, so that rows with one key, or
+    plain copies of one row, are spread over several tasks and files. Rows are
+    ordered before they are numbered, so a repeated task numbers them the same.
     ``partition`` writes one folder per value.
     """
     if layer == "raw":
@@ -67,7 +68,8 @@ def write_layer(
     if sort:
         keys = [_sort_key(s) for s in sort]
         out = (
-            df.withColumn("_spread", F.xxhash64(*df.columns))
+            df.sortWithinPartitions(*df.columns)
+            .withColumn("_spread", F.monotonically_increasing_id())
             .repartitionByRange(*keys, "_spread")
             .sortWithinPartitions(*keys)
             .drop("_spread")

@@ -489,10 +489,9 @@ from (select county_name as county, incident_year as year, count(*) as crimes
       from incidents group by 1, 2) a
 full join (select county_normalized as county, year, total_population from economy) b
   on a.county = b.county and a.year = b.year"""
-O["anti"] = f"""
-select {_agency('pub_agency_name')} as agency_name, city_name from raw_agency_city
-where {_agency('pub_agency_name')} not in (
-  select agency_name from incidents where city_name is not null)"""
+O["anti"] = """
+select county_name, count(*) as n from incidents
+where county_name not in (select lower(county_label) from cents) group by 1"""
 _CITY_RANKED = """
 (select city_name, offense_category_name, count(*) as n, cast(row_number() over (
    partition by city_name order by count(*) desc, offense_category_name) as int) as rnk
@@ -504,7 +503,7 @@ select city_name, offense_category_name, count(*) as n,
   round(count(*) * 100.0 / sum(count(*)) over (partition by city_name), 2) as share_pct
 from incidents group by 1, 2"""
 O["quartile_tier"] = f"""
-select county_name, season, n, round(p, 6) as percentile, {_tier('p')} as tier from (
+select county_name, season, n, round(p, 9) as percentile, {_tier('p')} as tier from (
   select county_name, season, count(*) as n,
     percent_rank() over (partition by season order by count(*)) as p
   from incidents group by 1, 2)"""
@@ -530,14 +529,14 @@ select county, cast(round((crime_rank + population_rank) / nullif(
 O["int_crimes_unified"] = "select * from incidents"
 O["int_income_population"] = "select * from economy"
 O["crime_tiers"] = """
-select * replace (round(crime_percentile, 6) as crime_percentile) from cat_tiers"""
+select * replace (round(crime_percentile, 9) as crime_percentile) from cat_tiers"""
 O["crime_tier_county_rank"] = "select * from county_crime"
 O["income_tier"] = """
-select * replace (round(avg_median_household_income, 6) as avg_median_household_income,
-  round(income_percentile, 6) as income_percentile) from county_income"""
+select * replace (round(avg_median_household_income, 9) as avg_median_household_income,
+  round(income_percentile, 9) as income_percentile) from county_income"""
 O["per_capita_tier"] = """
-select * replace (round(avg_crime_per_1000, 6) as avg_crime_per_1000,
-  round(crime_percentile, 6) as crime_percentile) from county_rate"""
+select * replace (round(avg_crime_per_1000, 9) as avg_crime_per_1000,
+  round(crime_percentile, 9) as crime_percentile) from county_rate"""
 O["final_county_tier_rank"] = "select * from ranks"
 
 O["dim_date"] = "select * from dates"
@@ -613,21 +612,21 @@ join (select city_name, season, year, arg_min(offense_category_name, (-n, offens
 O["metrics_crimes"] = """
 select cast(date_trunc('quarter', incident_date) as date) as metric_time,
   crime_against as offense__crime_against, count(*) as total_crimes,
-  round(avg(age_num), 6) as crime_avg_age
+  round(avg(age_num), 9) as crime_avg_age
 from crimes join offenses using (offense_key) group by 1, 2"""
 O["metrics_economy"] = """
 select county as geo__county_name,
-  round(avg(median_household_income), 6) as avg_median_household_income,
-  round(avg(per_capita_income), 6) as avg_per_capita_income,
-  round(avg(total_personal_income), 6) as avg_total_personal_income,
-  round(avg(total_population), 6) as avg_total_population,
-  round(avg(population_yoy_change), 6) as avg_population_yoy_change,
-  round(avg(population_growth_pct), 6) as avg_population_growth_pct,
+  round(avg(median_household_income), 9) as avg_median_household_income,
+  round(avg(per_capita_income), 9) as avg_per_capita_income,
+  round(avg(total_personal_income), 9) as avg_total_personal_income,
+  round(avg(total_population), 9) as avg_total_population,
+  round(avg(population_yoy_change), 9) as avg_population_yoy_change,
+  round(avg(population_growth_pct), 9) as avg_population_growth_pct,
   count(*) filter (population_growth_pct > 10) as counties_exceeding_10pct_growth_years
 from econ join county_geo using (geo_key) group by 1"""
 O["metrics_business"] = """
 select principal_county as business__principal_county, count(*) as business_count,
-  round(avg(composite_tier), 6) as avg_business_composite_tier,
+  round(avg(composite_tier), 9) as avg_business_composite_tier,
   count(*) filter (qualifies_for_subsidy) as subsidy_qualifying_business_count,
   count(*) filter (notification_eligible) as notification_eligible_business_count
 from scored group by 1"""
@@ -647,8 +646,8 @@ _RATE = """
  on a.t = b.t and a.county = b.county)"""
 O["metrics_crime_rate"] = f"""
 select t as metric_time, county as geo__county_name, n as total_crimes,
-  round(n / people, 6) as crime_to_population_ratio,
-  round(n * 100000.0 / people, 6) as crime_rate_per_100k from {_RATE}"""
+  round(n / people, 9) as crime_to_population_ratio,
+  round(n * 100000.0 / people, 9) as crime_rate_per_100k from {_RATE}"""
 O["metrics_weekend_by_city"] = """
 select city_name as city__city_name, time_of_day as incident__time_of_day,
   count(*) as total_crimes
@@ -656,7 +655,7 @@ from city_crimes join dates using (date_key)
 where is_weekend and crime_against <> 'Society' group by 1, 2"""
 O["metrics_totals"] = """
 select (select count(*) from crimes) as total_crimes,
-  round((select count(*) from crimes) * 100000.0 / (select avg(total_population) from econ), 6)
+  round((select count(*) from crimes) * 100000.0 / (select avg(total_population) from econ), 9)
     as crime_rate_per_100k,
   (select count(*) from scored) as business_count"""
 O["saved_county_crime_annual"] = """
@@ -669,8 +668,8 @@ select principal_county as business__principal_county,
   count(*) as business_count from scored group by 1"""
 O["saved_income_population_annual"] = """
 select year_date as metric_time, county as geo__county_name,
-  round(avg(median_household_income), 6) as avg_median_household_income,
-  round(avg(total_population), 6) as avg_total_population
+  round(avg(median_household_income), 9) as avg_median_household_income,
+  round(avg(total_population), 9) as avg_total_population
 from econ join county_geo using (geo_key) group by 1, 2"""
 
 # Portal
@@ -708,13 +707,13 @@ select (select count(*) from crimes) as total_crimes,
   (select count(*) from county_geo) as counties
 from crimes"""
 _DENSITY = f"""
-select {_title('county')} as county_name, n as total_crimes, round(people, 6) as avg_population,
+select {_title('county')} as county_name, n as total_crimes, round(people, 9) as avg_population,
   EXTRA round(n * 100000.0 / nullif(people, 0), 1) as crime_rate_per_100k
 from (select county, count(*) as n from crimes join county_geo using (geo_key) group by 1)
 join county_means using (county)"""
 O["crime_density"] = _DENSITY.replace("EXTRA", "")
 O["crime_vs_income"] = (
-    _DENSITY.replace("EXTRA", "round(income, 6) as avg_median_income,")
+    _DENSITY.replace("EXTRA", "round(income, 9) as avg_median_income,")
     + " where income is not null"
 )
 O["categories_by_county"] = f"""

@@ -86,14 +86,14 @@ def warehouse(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Warehous
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Times as text and doubles to six digits, so that any engine compares alike."""
+    """Times as text and doubles to nine digits, so that any engine compares alike."""
     columns = []
     for field in df.schema:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.TimestampNTZType | T.TimestampType):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(field.dataType, T.DoubleType | T.DecimalType):
-            column = F.round(column.cast("double"), 6)
+            column = F.round(column.cast("double"), 9)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -289,11 +289,10 @@ _over("drill_across", _drill_across)
 
 
 def _anti(w: Warehouse) -> DataFrame:
-    listed = w.raw["agency_city"].select(
-        normalize_agency(F.col("pub_agency_name")).alias("agency_name"), "city_name"
-    )
-    with_hours = w.int_crimes_unified.where(F.col("city_name").isNotNull())
-    return joins.anti(listed, with_hours.select("agency_name").distinct(), "agency_name")
+    """Areas as reported that are no single known county, such as lists of counties."""
+    reported = w.int_crimes_unified.groupBy("county_name").agg(F.count("*").alias("n"))
+    known = w.stg_county_boundaries.select(clean_key(F.col("county_label")).alias("county_name"))
+    return joins.anti(reported, known, "county_name")
 
 
 _over("anti", _anti)
@@ -398,7 +397,7 @@ _over(
 )
 
 # Dimensions, facts, reports and summary tables
-_over("dim_date", lambda w: w.dim_date)
+_over("dim_date", lambda w: dimensions.dim_date_spanning(w.int_crimes_unified))
 _over(
     "dim_geography",
     lambda w: dimensions.dim_geography(w.stg_city_county_zip, w.stg_county_boundaries),
