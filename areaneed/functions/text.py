@@ -41,9 +41,8 @@ def normalize_agency(col: Column) -> Column:
 def normalize_county_list(col: Column) -> Column:
     """'Weld; Adams' -> 'adams, weld'; a single county is only lower-cased."""
     parts = F.transform(F.split(clean_key(col), "[;,]"), lambda part: F.trim(part))
-    return F.when(col.rlike("[;,]"), F.array_join(F.array_sort(parts), ", ")).otherwise(
-        clean_key(col)
-    )
+    is_list = F.contains(col, F.lit(";")) | F.contains(col, F.lit(","))
+    return F.when(is_list, F.array_join(F.array_sort(parts), ", ")).otherwise(clean_key(col))
 
 
 def first_listed_county(col: Column) -> Column:
@@ -52,10 +51,16 @@ def first_listed_county(col: Column) -> Column:
 
 
 def initcap_delims(col: Column, delims: str = WORD_DELIMITERS) -> Column:
-    """Capitalise words that start after a blank or after any of ``delims``."""
-    klass = re.escape(delims)
-    runs = F.regexp_extract_all(col, F.lit(rf"([^{klass}]+|[{klass}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+    """Capitalise words that start after a blank or after any of ``delims``.
+
+    The built-in starts words after spaces only, so a marked space is put after each
+    delimiter and taken out again.
+    """
+    spaced = F.regexp_replace(col, rf"([\t\n\r\f{re.escape(delims)}])", f"$1{_MARK} ")
+    return F.replace(F.initcap(spaced), F.lit(f"{_MARK} "), F.lit(""))
+
+
+_MARK = "\x01"
 
 
 def clean_zip(col: Column) -> Column:

@@ -13,6 +13,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from areaneed.sources.scratch import materialise
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 _AGENCY = """
@@ -191,18 +193,44 @@ DAY_2 = "2024-02-01 06:00:00"
 RUN_TS = "2024-02-02 06:00:00"
 
 
-def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The given tables."""
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+_given: dict[tuple[str, str], DataFrame] = {}
+
+
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table; its schema is looked up once per session."""
+    path = f"{sf_dir}/{table}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _given:
+        _given[key] = spark.read.parquet(path)
+    return _given[key]
 
 
 def raw_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw input as a view over the given tables."""
     sql = SQL[name]
-    used = {t: df for t, df in given(spark, sf_dir).items() if "{" + t + "}" in sql}
+    used = {t: given(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
     return spark.sql(sql, **used)
 
 
+_landed: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A raw input as a landed table: written once per session, then read from its files.
+
+    A test folder holds one file per table, which one task would read; only then the
+    rows are dealt out to all cores before they are written.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _landed:
+        rows = raw_input(spark, sf_dir, name)
+        cores = spark.sparkContext.defaultParallelism
+        if len(given(spark, sf_dir, "lineitem").inputFiles()) < cores:
+            rows = rows.repartition(cores)
+        _landed[key] = materialise(rows, name)
+    return _landed[key]
+
+
 @cache
 def oracle_input(name: str) -> str:
     """The same view for DuckDB, where the given tables are views of the same name."""

@@ -40,7 +40,7 @@ from areaneed.plans.warehouse import Warehouse
 from areaneed.sources import readers, schemas, writers
 from areaneed.sources.scratch import materialise, scratch_path
 from areaneed.streaming.ingest import compact, current_state, stream_ingest
-from catalog.inputs import DAY_1, DAY_2, RUN_TS, raw_input
+from catalog.inputs import DAY_1, DAY_2, RUN_TS, raw_input, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,16 +69,10 @@ def warehouse(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Warehous
     if fresh or key not in _warehouses:
         raw = {
             name: raw_input(spark, sf_dir, f"raw_{name}")
-            for name in (
-                "incidents_early",
-                "incidents_late",
-                "income",
-                "population",
-                "zip_lookup",
-                "centroids",
-                "agency_city",
-            )
+            for name in ("income", "population", "zip_lookup", "centroids", "agency_city")
         }
+        for name in ("incidents_early", "incidents_late"):
+            raw[name] = raw_table(spark, sf_dir, f"raw_{name}")
         raw["entities"] = raw_input(spark, sf_dir, "raw_entities_2")
         raw["history"] = materialise(entity_history(spark, sf_dir), "history")
         _warehouses[key] = Warehouse(raw, RUN_TS)
@@ -113,8 +107,9 @@ def _over(name: str, fn: Callable[[Warehouse], DataFrame]) -> None:
 
 
 def _over_raw(name: str, source: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    """Register a query over one raw input."""
-    QUERIES[name] = lambda spark, sf_dir: plain(fn(raw_input(spark, sf_dir, source)))
+    """Register a query over one raw input; the incidents are landed first."""
+    read = raw_table if source.startswith("raw_incidents") else raw_input
+    QUERIES[name] = lambda spark, sf_dir: plain(fn(read(spark, sf_dir, source)))
 
 
 # Sources, sinks and ingest
@@ -237,7 +232,7 @@ def normalize_county_names(spark, sf_dir):
 
 
 def _incident_texts(spark, sf_dir, column: str) -> DataFrame:
-    late = raw_input(spark, sf_dir, "raw_incidents_late")
+    late = raw_table(spark, sf_dir, "raw_incidents_late")
     return late.groupBy(column).agg(F.count("*").alias("n"))
 
 
@@ -368,8 +363,8 @@ _over(
 @query
 def int_crimes_unified(spark, sf_dir):
     return unify.int_crimes_unified(
-        staging.stg_crimes_1997_2015(raw_input(spark, sf_dir, "raw_incidents_early")),
-        staging.stg_crimes_2016_2020(raw_input(spark, sf_dir, "raw_incidents_late")),
+        staging.stg_crimes_1997_2015(raw_table(spark, sf_dir, "raw_incidents_early")),
+        staging.stg_crimes_2016_2020(raw_table(spark, sf_dir, "raw_incidents_late")),
         raw_input(spark, sf_dir, "raw_agency_city"),
     )
 
