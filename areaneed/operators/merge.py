@@ -113,3 +113,25 @@ def scd2_as_of(history: DataFrame, ts: dt.datetime | str) -> DataFrame:
     return history.where(
         (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at))
     )
+
+
+def scd2_at_events(
+    events: DataFrame, history: DataFrame, key: str, event_ts: str, columns: list[str]
+) -> DataFrame:
+    """Each event with ``columns`` of the version valid at its time, null when there is none.
+
+    The join is on the key, so events shuffle once at most; versions of one key never
+    overlap, so no event is doubled. AQE splits a key with very many events.
+    """
+    at = F.col(event_ts).cast("timestamp_ntz")
+    versions = history.select(
+        F.col(key).alias("_key"),
+        "valid_from",
+        "valid_to",
+        *[F.col(c).alias(f"_at_{c}") for c in columns],
+    )
+    valid = (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at))
+    joined = events.join(versions, (F.col(key) == F.col("_key")) & valid, "left")
+    return joined.select(
+        *[F.col(c) for c in events.columns], *[F.col(f"_at_{c}").alias(c) for c in columns]
+    )

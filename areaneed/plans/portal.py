@@ -266,6 +266,11 @@ def agency_baseline(tables: Tables, limit: int | None = None) -> DataFrame:
     return _limited(rows, limit)
 
 
+def city_report(tables: Tables, name: str) -> DataFrame:
+    """A written city report as it is: rpt_city_time_trends, _time_of_day or _demographics."""
+    return tables[name]
+
+
 def search_businesses(
     lookup: DataFrame, term: str, max_rows: int = SEARCH_ROWS
 ) -> DataFrame | None:

@@ -53,12 +53,13 @@ def filter_extract(
     date_col: str = "entityformdate",
     state_col: str = "principalstate",
     state: str = HOME_STATE_CODE,
+    key: str = "entityid",
 ) -> DataFrame:
-    """Records formed on ``date`` in the home state."""
+    """Records formed on ``date`` in the home state, in key order."""
     return df.where(
         (F.col(date_col).cast("date") == F.lit(str(date)).cast("date"))
         & (F.col(state_col) == state)
-    )
+    ).orderBy(key)
 
 
 def add_audit_columns(

@@ -219,14 +219,15 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A raw input as a landed table: written once per session, then read from its files.
 
     A test folder holds one file per table, which one task would read; only then the
-    rows are dealt out to all cores before they are written.
+    incidents are dealt out to all cores before they are written.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         rows = raw_input(spark, sf_dir, name)
         cores = spark.sparkContext.defaultParallelism
-        if len(given(spark, sf_dir, "lineitem").inputFiles()) < cores:
-            rows = rows.repartition(cores)
+        if name.startswith("raw_incidents"):
+            if len(given(spark, sf_dir, "lineitem").inputFiles()) < cores:
+                rows = rows.repartition(cores)
         _landed[key] = materialise(rows, name)
     return _landed[key]
 

@@ -452,6 +452,15 @@ O["scd2_snapshot"] = "select * from history"
 O["scd2_as_of"] = f"""
 select * from history
 where valid_from <= '{AS_OF}' and coalesce(valid_to, '9999') > '{AS_OF}'"""
+O["scd2_at_events"] = f"""
+select r.event_id, cast(r.entityid as bigint) as entity_id, {_TS}, h.entity_status,
+  h.principal_city
+from raw_registrations r left join history h on cast(r.entityid as bigint) = h.entity_id
+  and r.ingested_at >= cast(h.valid_from as timestamp)
+  and r.ingested_at < coalesce(cast(h.valid_to as timestamp), timestamp '9999-01-01')"""
+O["portal_rpt_city_time_trends"] = "select * from trends"
+O["portal_rpt_city_time_of_day"] = "select * from day_parts"
+O["portal_rpt_city_demographics"] = "select * from demographics"
 O["write_layer"] = "select * from business"
 O["portal_reads"] = f"select * replace ({_title('county_name')} as county_name) from baseline"
 

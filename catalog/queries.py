@@ -68,11 +68,17 @@ def warehouse(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Warehous
     key = (spark.sparkContext.applicationId, sf_dir)
     if fresh or key not in _warehouses:
         raw = {
-            name: raw_input(spark, sf_dir, f"raw_{name}")
-            for name in ("income", "population", "zip_lookup", "centroids", "agency_city")
+            name: raw_table(spark, sf_dir, f"raw_{name}")
+            for name in (
+                "incidents_early",
+                "incidents_late",
+                "income",
+                "population",
+                "zip_lookup",
+                "centroids",
+                "agency_city",
+            )
         }
-        for name in ("incidents_early", "incidents_late"):
-            raw[name] = raw_table(spark, sf_dir, f"raw_{name}")
         raw["entities"] = raw_input(spark, sf_dir, "raw_entities_2")
         raw["history"] = materialise(entity_history(spark, sf_dir), "history")
         _warehouses[key] = Warehouse(raw, RUN_TS)
@@ -107,9 +113,8 @@ def _over(name: str, fn: Callable[[Warehouse], DataFrame]) -> None:
 
 
 def _over_raw(name: str, source: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    """Register a query over one raw input; the incidents are landed first."""
-    read = raw_table if source.startswith("raw_incidents") else raw_input
-    QUERIES[name] = lambda spark, sf_dir: plain(fn(read(spark, sf_dir, source)))
+    """Register a query over one landed raw table."""
+    QUERIES[name] = lambda spark, sf_dir: plain(fn(raw_table(spark, sf_dir, source)))
 
 
 # Sources, sinks and ingest
@@ -155,7 +160,7 @@ def read_landed_json(spark, sf_dir):
 _over_raw(
     "filter_extract",
     "raw_entities_2",
-    lambda raw: readers.filter_extract(raw, EXTRACT_DAY).orderBy("entityid"),
+    lambda raw: readers.filter_extract(raw, EXTRACT_DAY),
 )
 _over_raw(
     "add_audit_columns",
@@ -201,6 +206,18 @@ def scd2_as_of(spark, sf_dir):
     return merge.scd2_as_of(entity_history(spark, sf_dir), AS_OF)
 
 
+@query
+def scd2_at_events(spark, sf_dir):
+    """Each registration with the entity's status and city at that time."""
+    rows = raw_input(spark, sf_dir, "raw_registrations").select(
+        "event_id", F.col("entityid").cast("bigint").alias("entity_id"), "ingested_at"
+    )
+    history = warehouse(spark, sf_dir).raw["history"]
+    return merge.scd2_at_events(
+        rows, history, "entity_id", "ingested_at", ["entity_status", "principal_city"]
+    )
+
+
 def _write_layer(w: Warehouse) -> DataFrame:
     root = scratch_path(w.dim_business.sparkSession, "layers")
     sort = ["-is_current", "entity_status", "entity_id"]
@@ -210,6 +227,11 @@ def _write_layer(w: Warehouse) -> DataFrame:
 _over("write_layer", _write_layer)
 _over("portal_reads", lambda w: portal.agency_baseline(w.tables("rpt_agency_baseline")))
 
+for _report in ("rpt_city_time_trends", "rpt_city_time_of_day", "rpt_city_demographics"):
+    _over(
+        f"portal_{_report}", lambda w, name=_report: portal.city_report(w.tables(name), name)
+    )
+
 # Staging
 _over_raw("stg_business_entities", "raw_entities_2", staging.stg_business_entities)
 _over_raw("stg_crimes_1997_2015", "raw_incidents_early", staging.stg_crimes_1997_2015)
@@ -365,15 +387,15 @@ def int_crimes_unified(spark, sf_dir):
     return unify.int_crimes_unified(
         staging.stg_crimes_1997_2015(raw_table(spark, sf_dir, "raw_incidents_early")),
         staging.stg_crimes_2016_2020(raw_table(spark, sf_dir, "raw_incidents_late")),
-        raw_input(spark, sf_dir, "raw_agency_city"),
+        raw_table(spark, sf_dir, "raw_agency_city"),
     )
 
 
 @query
 def int_income_population(spark, sf_dir):
     return unify.int_income_population(
-        staging.stg_income(raw_input(spark, sf_dir, "raw_income")),
-        staging.stg_population(raw_input(spark, sf_dir, "raw_population")),
+        staging.stg_income(raw_table(spark, sf_dir, "raw_income")),
+        staging.stg_population(raw_table(spark, sf_dir, "raw_population")),
     )
 
 

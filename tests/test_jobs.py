@@ -33,8 +33,8 @@ def zips(spark, *rows):
 def test_current_flag_and_county_from_zip(spark):
     history = spark.createDataFrame(
         [
-            version(1001, "Acme Corp", "Denver", "Denver", "80202", T1, T2, "old"),
-            version(1001, "Acme Corp LLC", "Denver", "Denver", "80202", T2, None, "new"),
+            version(71, "Mesa Tools", "Denver", "Denver", "80202", T1, T2, "old"),
+            version(71, "Mesa Tools Ltd", "Denver", "Denver", "80202", T2, None, "new"),
         ],
         HISTORY,
     )
@@ -44,18 +44,18 @@ def test_current_flag_and_county_from_zip(spark):
         for r in dim.collect()
     }
     assert seen == {
-        (1001, True, "denver", "Acme Corp LLC", True),
-        (1001, False, "denver", "Acme Corp", True),
+        (71, True, "denver", "Mesa Tools Ltd", True),
+        (71, False, "denver", "Mesa Tools", True),
     }
     assert dim.select("business_key").distinct().count() == 2
 
 
 def test_null_entity_name_is_unknown(spark):
     history = spark.createDataFrame(
-        [version(9999, None, "Boulder", "Boulder", "80301", T1, None)], HISTORY
+        [version(72, None, "Boulder", "Boulder", "80301", T1, None)], HISTORY
     )
     row = dimensions.dim_business(history, zips(spark, ("80301", "boulder", "boulder")), T2).first()
-    assert (row.entity_id, row.entity_name, row.is_current) == (9999, "Unknown", True)
+    assert (row.entity_id, row.entity_name, row.is_current) == (72, "Unknown", True)
 
 
 def test_county_falls_back_to_city_then_state_and_never_fans_out(spark):
