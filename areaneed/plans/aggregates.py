@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from areaneed.functions.calendar import season
 from areaneed.functions.scores import mean_of_present, rate
 from areaneed.operators.groups import quartile_tier
 from areaneed.operators.joins import drill_across
 from areaneed.plans.facts import county_keys
+from areaneed.plans.reports import with_category
 
 
 def _commonest(value: str) -> Column:
@@ -20,21 +22,19 @@ def agg_county_month(
     crimes: DataFrame, geo: DataFrame, offense: DataFrame, income_population: DataFrame
 ) -> DataFrame:
     """Per county and month: incidents, rate per 100,000 people, mean age, top category."""
-    per_key = crimes.groupBy(
-        "geo_key",
-        "offense_key",
-        F.year("incident_date").alias("year"),
-        F.month("incident_date").alias("month"),
-    ).agg(
-        F.count("*").alias("n"),
-        F.sum("age_num").alias("age_sum"),
-        F.count("age_num").alias("age_rows"),
-    )
-    categories = offense.select("offense_key", "offense_category_name")
     per_category = (
-        per_key.join(categories, "offense_key")
-        .groupBy("geo_key", "year", "month", "offense_category_name")
-        .agg(F.sum("n").alias("n"), F.sum("age_sum").alias("a"), F.sum("age_rows").alias("r"))
+        with_category(crimes, offense)
+        .groupBy(
+            "geo_key",
+            "offense_category_name",
+            F.year("incident_date").alias("year"),
+            F.month("incident_date").alias("month"),
+        )
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("age_num").alias("a"),
+            F.count("age_num").alias("r"),
+        )
     )
     months = per_category.groupBy("geo_key", "year", "month").agg(
         F.sum("n").alias("total_crimes"),
@@ -116,25 +116,26 @@ def agg_city_season(
 ) -> DataFrame:
     """Per city, season and calendar year: incidents per day, peak hour, top category."""
     cities = geo.select(F.col("geo_key").alias("city_geo_key"), "city_name")
-    days = date.select("date_key", "season", "year")
     season_days = date.groupBy("season", "year").agg(F.count("*").alias("days"))
-    per_key = (
-        crimes.where(F.col("city_geo_key").isNotNull())
-        .groupBy("city_geo_key", "date_key", "offense_key", "incident_hour")
-        .agg(F.count("*").alias("n"))
-    )
-    # Hours and categories are counted in one pass, as labelled values.
+    # Hours and categories are counted in one pass over the fact, as labelled values.
     values = F.array(
         F.struct(F.lit("hour").alias("kind"), F.col("incident_hour").cast("string").alias("value")),
         F.struct(F.lit("category").alias("kind"), F.col("offense_category_name").alias("value")),
     )
     keys = ["city_name", "season", "year"]
     counts = (
-        per_key.join(days, "date_key")
+        with_category(crimes, offense)
+        .where(F.col("city_geo_key").isNotNull() & F.col("date_key").isNotNull())
+        .select(
+            "city_geo_key",
+            season(F.col("incident_date")).alias("season"),
+            F.year("incident_date").alias("year"),
+            F.explode(values).alias("v"),
+        )
+        .groupBy("city_geo_key", "season", "year", "v.kind", "v.value")
+        .agg(F.count("*").alias("n"))
         .join(cities, "city_geo_key")
-        .join(offense.select("offense_key", "offense_category_name"), "offense_key")
-        .select(*keys, "n", F.explode(values).alias("v"))
-        .groupBy(*keys, "v.kind", "v.value")
+        .groupBy(*keys, "kind", "value")
         .agg(F.sum("n").alias("n"))
     )
 

@@ -38,12 +38,14 @@ class Ratio:
 class Fact:
     """Time column, and how each dimension is reached: entity -> (dim, fact key, dim key).
 
-    ``own`` names the entity under which the fact's own columns can be grouped.
+    ``own`` names the entity under which the fact's own columns can be grouped. ``late``
+    names entities that may be many: their rows are looked up after counting by key.
     """
 
     time: str
     own: str
     entities: Mapping[str, tuple[str, str, str]] = field(default_factory=dict)
+    late: frozenset[str] = frozenset()
 
 
 FACTS = {
@@ -57,6 +59,7 @@ FACTS = {
             "offense": ("offense", "offense_key", "offense_key"),
             "agency": ("agency", "agency_key", "agency_key"),
         },
+        frozenset({"agency"}),
     ),
     "income_population": Fact(
         "year_date", "county_year", {"geo": ("geography", "geo_key", "geo_key")}
@@ -147,37 +150,48 @@ def _one_fact(
     grain: str,
     where: Mapping,
 ) -> DataFrame:
-    """Count the fact by its keys, join the dimensions asked for, and add up."""
+    """Look up small dimensions, count, look up large ones, and add up.
+
+    The first count is by the requested columns and the keys of large dimensions, and
+    combines in the map tasks; only counts are shuffled.
+    """
     fact = FACTS[name]
-    used = list(dict.fromkeys([*group_by, *where]))
     local: dict[str, Column] = {}
-    joined: dict[str, list[str]] = {}
-    for dimension in used:
+    early: dict[str, list[str]] = {}
+    late: dict[str, list[str]] = {}
+    for dimension in dict.fromkeys([*group_by, *where]):
         entity, _, column = dimension.partition("__")
         if dimension == "metric_time":
             local[dimension] = F.trunc(fact.time, grain) if grain != "day" else F.col(fact.time)
         elif entity == fact.own:
             local[dimension] = F.col(column)
         elif entity in fact.entities:
-            joined.setdefault(entity, []).append(column)
+            side = late if entity in fact.late else early
+            side.setdefault(entity, []).append(column)
         else:
             raise ValueError(f"{dimension!r} is not reachable from {name!r}")
-    keys = {f"_{entity}": F.col(fact.entities[entity][1]) for entity in joined}
+
+    def look_up(rows: DataFrame, entity: str, columns: list[str]) -> DataFrame:
+        dim, _, dim_key = fact.entities[entity]
+        found = dims[dim].select(
+            F.col(dim_key).alias(f"_{entity}"),
+            *[F.col(c).alias(f"{entity}__{c}") for c in columns],
+        )
+        return rows.join(found, f"_{entity}")
+
+    keys = {f"_{entity}": F.col(fact.entities[entity][1]) for entity in {**early, **late}}
+    rows = facts[name].withColumns({**keys, **local}) if keys or local else facts[name]
+    for entity, columns in early.items():
+        rows = look_up(rows, entity, columns)
     parts = [
         part.alias(f"{metric_name}.{kind}")
         for metric_name, metric in metrics.items()
         for kind, part in _PARTS[metric.agg](F.expr(metric.expr)).items()
     ]
-    rows = facts[name].groupBy(
-        *[col.alias(n) for n, col in {**keys, **local}.items()]
-    ).agg(*parts)
-    for entity, columns in joined.items():
-        dim, _, dim_key = fact.entities[entity]
-        side = dims[dim].select(
-            F.col(dim_key).alias(f"_{entity}"),
-            *[F.col(c).alias(f"{entity}__{c}") for c in dict.fromkeys(columns)],
-        )
-        rows = rows.join(side, f"_{entity}")
+    found = [f"{entity}__{c}" for entity, columns in early.items() for c in columns]
+    rows = rows.groupBy(*local, *found, *[f"_{entity}" for entity in late]).agg(*parts)
+    for entity, columns in late.items():
+        rows = look_up(rows, entity, columns)
     for dimension, wanted in where.items():
         rows = rows.where(_condition(F.col(dimension), wanted))
     merged = [

@@ -1,14 +1,15 @@
 """Portal queries. ``tables`` maps table names to DataFrames; nothing is collected.
 
-Facts are counted by key before any join, and facts of different grain meet only
-after each is aggregated, so no count is multiplied by the rows of another fact.
+The fact is counted inside the map tasks before anything is shuffled, and facts of
+different grain meet only after each is aggregated, so no count is multiplied by the
+rows of another fact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areaneed.constants import SEARCH_ROWS
@@ -17,6 +18,7 @@ from areaneed.functions.text import initcap_delims
 from areaneed.operators.groups import share_of
 from areaneed.operators.joins import one_row
 from areaneed.plans.facts import county_keys
+from areaneed.plans.reports import with_category
 
 Tables = Mapping[str, DataFrame]
 
@@ -29,9 +31,9 @@ def _title(col: str = "county"):
     return initcap_delims(F.col(col)).alias("county_name")
 
 
-def _county_counts(tables: Tables, *keys: str) -> DataFrame:
-    """Incidents per county and further fact keys."""
-    counts = tables["fct_crimes"].groupBy("geo_key", *keys).agg(F.count("*").alias("n"))
+def _county_counts(tables: Tables, rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """Incidents per county and further columns."""
+    counts = rows.groupBy("geo_key", *keys).agg(F.count("*").alias("n"))
     return counts.join(county_keys(tables["dim_geography"]), "geo_key").drop("geo_key")
 
 
@@ -142,7 +144,7 @@ def headline_stats(tables: Tables) -> DataFrame:
 
 
 def _density(tables: Tables) -> DataFrame:
-    return _county_counts(tables).join(_county_economy(tables), "county").select(
+    return _county_counts(tables, tables["fct_crimes"]).join(_county_economy(tables), "county").select(
         _title(),
         F.col("n").alias("total_crimes"),
         "avg_population",
@@ -167,15 +169,9 @@ def crime_vs_income(tables: Tables, limit: int | None = None) -> DataFrame:
 
 def categories_by_county(tables: Tables, limit: int | None = None) -> DataFrame:
     """Incidents by county and offense category."""
-    offenses = tables["dim_offense"].select(
-        "offense_key", "offense_category_name", "crime_against"
-    )
-    rows = (
-        _county_counts(tables, "offense_key")
-        .join(offenses, "offense_key")
-        .groupBy("county", "offense_category_name", "crime_against")
-        .agg(F.sum("n").alias("total_crimes"))
-        .select(_title(), "offense_category_name", "crime_against", "total_crimes")
+    crimes = with_category(tables["fct_crimes"], tables["dim_offense"])
+    rows = _county_counts(tables, crimes, "offense_category_name", "crime_against").select(
+        _title(), "offense_category_name", "crime_against", F.col("n").alias("total_crimes")
     )
     order = ["county_name", F.desc("total_crimes"), "offense_category_name", "crime_against"]
     return _limited(rows.orderBy(*order), limit)
@@ -183,12 +179,9 @@ def categories_by_county(tables: Tables, limit: int | None = None) -> DataFrame:
 
 def type_share_by_county(tables: Tables, limit: int | None = None) -> DataFrame:
     """Share of Property / Person / Society in each county's incidents."""
-    against = tables["dim_offense"].select("offense_key", "crime_against")
-    counts = (
-        _county_counts(tables, "offense_key")
-        .join(against, "offense_key")
-        .groupBy("county", "crime_against")
-        .agg(F.sum("n").alias("total_crimes"))
+    crimes = with_category(tables["fct_crimes"], tables["dim_offense"])
+    counts = _county_counts(tables, crimes, "crime_against").withColumnRenamed(
+        "n", "total_crimes"
     )
     rows = share_of(counts, "total_crimes", ["county"], "pct_of_county_crimes").select(
         _title(), "crime_against", "total_crimes", "pct_of_county_crimes"
@@ -200,13 +193,12 @@ def type_share_by_county(tables: Tables, limit: int | None = None) -> DataFrame:
 
 def county_monthly(tables: Tables, limit: int | None = None) -> DataFrame:
     """Incidents by county and calendar month."""
-    months = tables["dim_date"].select("date_key", "month", "month_name", "season")
+    names = tables["dim_date"].select("month", "month_name", "season").distinct()
+    crimes = tables["fct_crimes"].where(F.col("date_key").isNotNull())
     rows = (
-        _county_counts(tables, "date_key")
-        .join(months, "date_key")
-        .groupBy("county", "month", "month_name", "season")
-        .agg(F.sum("n").alias("total_crimes"))
-        .select(_title(), "month", "month_name", "season", "total_crimes")
+        _county_counts(tables, crimes, F.month("incident_date").alias("month"))
+        .join(names, "month")
+        .select(_title(), "month", "month_name", "season", F.col("n").alias("total_crimes"))
     )
     return _limited(rows.orderBy("county_name", "month"), limit)
 

@@ -1,8 +1,9 @@
 """The five report tables.
 
-Each first counts the fact by its keys, which combines inside the map tasks and leaves
-one row per key combination, and only then joins dimensions. No report joins or
-shuffles single incidents, so one busy city or agency costs no more than any other.
+The fact is read once and counted inside the map tasks; only counts are shuffled, so one
+busy city or agency costs no more than any other. Offenses, a small dimension, are
+looked up before the count, since a category stands for many offense keys and
+leaves far fewer counts. Cities and agencies are looked up after it.
 """
 
 from __future__ import annotations
@@ -22,8 +23,15 @@ def _cities(geo: DataFrame) -> DataFrame:
     )
 
 
-def _offenses(offense: DataFrame) -> DataFrame:
-    return offense.select("offense_key", "offense_category_name", "crime_against")
+def _in_cities(crimes: DataFrame) -> DataFrame:
+    return crimes.where(F.col("city_geo_key").isNotNull())
+
+
+def with_category(crimes: DataFrame, offense: DataFrame) -> DataFrame:
+    """Incidents with their offense category and whom it is against."""
+    return crimes.join(
+        offense.select("offense_key", "offense_category_name", "crime_against"), "offense_key"
+    )
 
 
 def rpt_business_tier_lookup(
@@ -78,9 +86,9 @@ def rpt_agency_baseline(crimes: DataFrame, agency: DataFrame) -> DataFrame:
 
 def rpt_city_demographics(crimes: DataFrame, geo: DataFrame, offense: DataFrame) -> DataFrame:
     """Per city and offense category: incidents, mean age, share of the city's incidents."""
-    per_key = (
-        crimes.where(F.col("city_geo_key").isNotNull())
-        .groupBy("city_geo_key", "offense_key")
+    counts = (
+        with_category(_in_cities(crimes), offense)
+        .groupBy("city_geo_key", "offense_category_name", "crime_against")
         .agg(
             F.count("*").alias("n"),
             F.sum("age_num").alias("age_sum"),
@@ -88,8 +96,7 @@ def rpt_city_demographics(crimes: DataFrame, geo: DataFrame, offense: DataFrame)
         )
     )
     rows = (
-        per_key.join(_offenses(offense), "offense_key")
-        .join(_cities(geo), "city_geo_key")
+        counts.join(_cities(geo), "city_geo_key")
         .groupBy("city_name", "county_name", "offense_category_name", "crime_against")
         .agg(
             F.sum("n").alias("total_crimes"),
@@ -111,14 +118,13 @@ def rpt_city_time_of_day(
     crimes: DataFrame, geo: DataFrame, offense: DataFrame, k: int = 3
 ) -> DataFrame:
     """The ``k`` commonest offense categories of each city, by day and by night."""
-    per_key = (
-        crimes.where(F.col("city_geo_key").isNotNull())
-        .groupBy("city_geo_key", "offense_key", "time_of_day")
+    counts = (
+        with_category(_in_cities(crimes), offense)
+        .groupBy("city_geo_key", "time_of_day", "offense_category_name", "crime_against")
         .agg(F.count("*").alias("n"))
     )
     rows = (
-        per_key.join(_offenses(offense), "offense_key")
-        .join(_cities(geo), "city_geo_key")
+        counts.join(_cities(geo), "city_geo_key")
         .groupBy(
             "city_name", "county_name", "time_of_day", "offense_category_name", "crime_against"
         )
@@ -138,16 +144,24 @@ def rpt_city_time_of_day(
 def rpt_city_time_trends(crimes: DataFrame, geo: DataFrame, date: DataFrame) -> DataFrame:
     """Per city, month and week day: incidents beside the city's monthly and daily means.
 
-    The means are over the rows of the report (at most 84 per city and county).
+    The means are over the rows of the report (at most 84 per city and county). Month and
+    week day come from the incident's own date; the calendar adds their names.
     """
-    days = date.select("date_key", "month", "month_name", "season", "day_of_week", "day_name")
-    per_key = (
-        crimes.where(F.col("city_geo_key").isNotNull())
-        .groupBy("city_geo_key", "date_key")
+    names = date.select(
+        "month", "month_name", "season", "day_of_week", "day_name"
+    ).distinct()
+    counts = (
+        _in_cities(crimes)
+        .where(F.col("date_key").isNotNull())
+        .groupBy(
+            "city_geo_key",
+            F.month("incident_date").alias("month"),
+            F.dayofweek("incident_date").alias("day_of_week"),
+        )
         .agg(F.count("*").alias("n"))
     )
     rows = (
-        per_key.join(days, "date_key")
+        counts.join(names, ["month", "day_of_week"])
         .join(_cities(geo), "city_geo_key")
         .groupBy(
             "city_name", "county_name", "month", "month_name", "season", "day_of_week", "day_name"

@@ -662,6 +662,12 @@ select city_name as city__city_name, time_of_day as incident__time_of_day,
   count(*) as total_crimes
 from city_crimes join dates using (date_key)
 where is_weekend and crime_against <> 'Society' group by 1, 2"""
+O["metrics_by_agency"] = """
+select agency_name as agency__agency_name,
+  cast(date_trunc('month', incident_date) as date) as metric_time, count(*) as total_crimes,
+  round(avg(age_num), 9) as crime_avg_age
+from crimes join agencies using (agency_key) join county_geo using (geo_key)
+where county <> 'nation_1' group by 1, 2"""
 O["metrics_totals"] = """
 select (select count(*) from crimes) as total_crimes,
   round((select count(*) from crimes) * 100000.0 / (select avg(total_population) from econ), 9)

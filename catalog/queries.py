@@ -525,6 +525,15 @@ _over(
         where={"date__is_weekend": True, "offense__crime_against": ["Property", "Person"]},
     ),
 )
+_over(
+    "metrics_by_agency",
+    _metrics(
+        ["total_crimes", "crime_avg_age"],
+        ["agency__agency_name", "metric_time"],
+        "month",
+        where={"geo__county_name": lambda c: c != "nation_1"},
+    ),
+)
 _over("metrics_totals", _metrics(["total_crimes", "crime_rate_per_100k", "business_count"], []))
 for _name in metrics.SAVED_QUERIES:
     _over(
