@@ -16,6 +16,7 @@ from areaneed.operators.groups import latest_per_key
 from areaneed.operators.merge import empty_history, scd2_snapshot, upsert_by_key
 from areaneed.plans.staging import snapshot_input
 from areaneed.sources.readers import add_audit_columns, read_landed
+from areaneed.sources.schemas import LANDED_ENTITY
 from areaneed.sources.versions import committed, read_version, write_version
 from areaneed.sources.writers import assert_rows_landed, overwrite_partition
 
@@ -41,7 +42,8 @@ def land_day(extract: DataFrame, root: str, day: dt.date, ingested_at: dt.dateti
 
 def merge_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
     """Upsert the day's newest row per entity into the register."""
-    landed = assert_rows_landed(read_landed(spark, f"{root}/landed", day), day)
+    landed = read_landed(spark, f"{root}/landed", day, LANDED_ENTITY)
+    landed = assert_rows_landed(landed, day)
     newest = latest_per_key(landed, [KEY], "_ingested_at").drop(
         "_ingested_at", "_source_date", "source_date"
     )

@@ -15,9 +15,27 @@ from pyspark.sql import DataFrame
 
 from areaneed.plans import dimensions, facts, reports, staging, tiers, unify
 from areaneed.sources.scratch import materialise
+from areaneed.sources.writers import write_layer
 
 Save = Callable[[DataFrame, str], DataFrame]
 
+# How the two large tables are clustered; '-' sorts downwards.
+CLUSTERED = {
+    "int_crimes_unified": ["incident_year", "crime_against", "county_name"],
+    "dim_business": ["-is_current", "entity_status", "entity_id"],
+}
+GOLD = ("dim_", "fct_", "rpt_", "agg_")
+
+
+def layer_writer(root: str) -> Save:
+    """A ``save`` that keeps tables under ``root``, by layer and clustered as declared."""
+
+    def save(df: DataFrame, name: str) -> DataFrame:
+        layer = "gold" if name.startswith(GOLD) else "silver"
+        return write_layer(df, name, layer, root, CLUSTERED.get(name))
+
+    return save
+
 
 class Warehouse:
     """Tables by attribute. ``raw`` holds the raw inputs by name:

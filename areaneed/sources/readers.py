@@ -26,10 +26,18 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def read_landed(
-    spark: SparkSession, root: str, source_date: dt.date | str | None = None
+    spark: SparkSession,
+    root: str,
+    source_date: dt.date | str | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Landed Parquet, columns matched by name; one day reads only its folder."""
-    landed = spark.read.option("mergeSchema", True).parquet(root)
+    """Landed Parquet, columns matched by name; one day reads only its folder.
+
+    With a ``schema`` no file has to be opened to learn the columns; without one the
+    columns of all files are merged.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    landed = reader.parquet(root)
     if source_date is None:
         return landed
     return landed.where(F.col("source_date") == F.lit(str(source_date)).cast("date"))

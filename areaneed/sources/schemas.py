@@ -35,6 +35,13 @@ RAW_ENTITY = _schema(
     entitytype string, entityformdate string"""
 )
 
+LANDED_ENTITY = T.StructType(
+    [
+        *RAW_ENTITY.fields,
+        *_schema("_ingested_at timestamp_ntz, _source_date date, source_date date").fields,
+    ]
+)
+
 # The eight declared lake tables.
 RAW_INCIDENT_TABLE = _schema(
     """pub_agency_name string, county_name string, incident_date string, incident_hour int,

@@ -462,6 +462,7 @@ O["portal_rpt_city_time_trends"] = "select * from trends"
 O["portal_rpt_city_time_of_day"] = "select * from day_parts"
 O["portal_rpt_city_demographics"] = "select * from demographics"
 O["write_layer"] = "select * from business"
+O["write_layer_incidents"] = "select * from incidents"
 O["portal_reads"] = f"select * replace ({_title('county_name')} as county_name) from baseline"
 
 O["stg_business_entities"] = "select * from ent"
@@ -859,7 +860,7 @@ O["dq_orphan_keys"] = _checks(
     ]
 )
 O["dq_freshness"] = """
-select 'freshness ingested_at' as "check", 0 as failing_rows, 'warn' as status,
+select 'freshness ingested_at' as "check", cast(0 as bigint) as failing_rows, 'warn' as status,
   round(date_sub('second', max(ingested_at), timestamp '2024-02-01 12:00:00') / 3600, 4)
     as age_hours
 from raw_registrations
@@ -879,11 +880,11 @@ _CONTRACT_TABLES = {
     "rpt_business_tier_lookup": "lookup",
 }
 O["dq_contract"] = "\nunion all ".join(
-    f"select 'contract {name}' as \"check\", 0 as failing_rows, count(*) as checked_rows from {cte}"
+    f"select 'contract {name}' as \"check\", cast(0 as bigint) as failing_rows, count(*) as checked_rows from {cte}"
     for name, cte in _CONTRACT_TABLES.items()
 )
 O["declared_schemas"] = """
-select 'contract county_month' as "check", 0 as failing_rows,
+select 'contract county_month' as "check", cast(0 as bigint) as failing_rows,
   count(distinct (geo_key, y, m)) as checked_rows from place_crimes
 union all
 select 'contract tier_rankings', 0, count(*) from (

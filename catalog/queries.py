@@ -36,7 +36,7 @@ from areaneed.plans import (
     unify,
     verified,
 )
-from areaneed.plans.warehouse import Warehouse
+from areaneed.plans.warehouse import Warehouse, layer_writer
 from areaneed.sources import readers, schemas, writers
 from areaneed.sources.scratch import materialise, scratch_path
 from areaneed.streaming.ingest import compact, current_state, stream_ingest
@@ -63,10 +63,10 @@ def entity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def warehouse(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The tables over ``sf_dir``, written when first used."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if fresh or key not in _warehouses:
+    if key not in _warehouses:
         raw = {
             name: raw_table(spark, sf_dir, f"raw_{name}")
             for name in (
@@ -218,13 +218,13 @@ def scd2_at_events(spark, sf_dir):
     )
 
 
-def _write_layer(w: Warehouse) -> DataFrame:
-    root = scratch_path(w.dim_business.sparkSession, "layers")
-    sort = ["-is_current", "entity_status", "entity_id"]
-    return writers.write_layer(w.dim_business, "dim_business", "gold", root, sort)
+def _write_layer(w: Warehouse, name: str) -> DataFrame:
+    table = getattr(w, name)
+    return layer_writer(scratch_path(table.sparkSession, "layers"))(table, name)
 
 
-_over("write_layer", _write_layer)
+_over("write_layer", lambda w: _write_layer(w, "dim_business"))
+_over("write_layer_incidents", lambda w: _write_layer(w, "int_crimes_unified"))
 _over("portal_reads", lambda w: portal.agency_baseline(w.tables("rpt_agency_baseline")))
 
 for _report in ("rpt_city_time_trends", "rpt_city_time_of_day", "rpt_city_demographics"):
