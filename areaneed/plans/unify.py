@@ -37,9 +37,14 @@ def int_crimes_unified(early: DataFrame, late: DataFrame, agency_city: DataFrame
     """Both periods in one cleaned table with date parts, day/night and season.
 
     The late period takes its city from the agency list, matched on the raw agency
-    name before that is cleaned. Everything else is one pass over the rows.
+    name. Everything else is one pass over the rows. A listed agency is cleaned once in
+    the list; the costly patterns run per incident for the other agencies only.
     """
-    city = agency_city.select(F.col("pub_agency_name").alias("agency_name"), "city_name")
+    city = agency_city.select(
+        F.col("pub_agency_name").alias("agency_name"),
+        "city_name",
+        normalize_agency(F.col("pub_agency_name")).alias("listed_name"),
+    )
     with_city = _reportable(late).join(city, "agency_name", "left")
     rows = (
         _reportable(early)
@@ -48,7 +53,7 @@ def int_crimes_unified(early: DataFrame, late: DataFrame, agency_city: DataFrame
     )
     day = F.col("incident_date")
     return rows.select(
-        normalize_agency(F.col("agency_name")).alias("agency_name"),
+        F.coalesce("listed_name", normalize_agency(F.col("agency_name"))).alias("agency_name"),
         normalize_county_list(F.col("county_name")).alias("county_name"),
         "city_name",
         "incident_date",
