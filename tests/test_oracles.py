@@ -6,9 +6,9 @@ import pytest
 from compare import connect, duck_rows, spark_rows
 
 import __spark_entry__ as driver
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
