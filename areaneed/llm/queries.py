@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areaneed.llm.jaccard import jaccard_components
 from areaneed.llm.substring import substring_dedup
 
 _BLANKS = r"[\x20\x09-\x0D]+"
@@ -21,8 +22,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by three quarters of their 5-word shingles, as components."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, n=5, similarity=(3, 4))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
 }
 
 ORACLES = {
@@ -45,4 +53,32 @@ select words.doc_id, cast(len(w) as bigint) as n_words,
   sha256(array_to_string(case when ps is null then w
     else list_filter(w, (x, i) -> not list_contains(ps, i)) end, ' ')) as kept_sha256
 from words left join removed using (doc_id)""",
+    "op4_jaccard_join": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i
+        from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id
+), links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * c >= 75 * (p.n + q.n - c)
+), reach(doc_id, other) as (
+  select doc_id, doc_id from words
+  union
+  select r.doc_id, l.y from reach r join links l on l.x = r.other
+)
+select w.doc_id, cast(coalesce(any_value(s.n), 0) as bigint) as n_shingles,
+  min(r.other) as component_id
+from words w left join sizes s using (doc_id) join reach r using (doc_id)
+group by w.doc_id""",
 }
