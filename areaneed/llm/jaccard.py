@@ -2,15 +2,17 @@
 
 Two sets of sizes a and b reach the similarity p/q only if they share T(a, b) =
 ceil(p (a + b) / (p + q)) elements, and a set of size a can be without at most a - ceil(p a / q)
-of them. So two linked sets share one of the a - ceil(p a / q) + 1 elements of each that come
-first in any one order of all elements. Here the order is: elements with short inverted lists
-by their hash, then elements with long ones.
+of them. So two linked sets share c of the a - ceil(p a / q) + c elements of each that come
+first in any one order of all elements (c grows with a, below). Here the order is: elements with
+short inverted lists by their hash, then elements with long ones.
 
 1. One pass counts, over all texts, the elements that many different sets have (the long
    lists), and gives each document its set's fingerprint. Equal sets go on as one.
 2. A second pass sends only the leading elements of each set to their inverted lists. Every
    list names one of its sets as centre and its members join the centre's group; members of
-   long lists know the centre from step 1, so no long list meets in a task.
+   long lists know the centre from step 1, so no long list meets in a task. A set with fewer
+   than c shared lists goes no further. Each set leaves its least groups as long as it leaves
+   fewer than c / 2 lists that way: two linked sets still meet in a group.
 3. Every group gets its texts and is searched: for each set the short lists of the group are
    merged by counting, the long ones are probed by binary search for the sets that can
    still reach T. A group too large for a task is dealt by set size and hash into blocks, and
@@ -26,7 +28,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from areaneed.llm.components import connected_components
@@ -38,6 +40,7 @@ _LOCAL = 4  # different sets of a round that make an element's list long
 _LONG = 16  # and of all rounds
 _MAX_LONG = 1 << 18  # a bound of the broadcast; beyond it the longest lists are meant
 _MU = 0.01  # DivideSkip's weight of a probe
+_EXTRA = 8  # c is this part of the least overlap of a set
 
 
 def jaccard_components(
@@ -84,18 +87,29 @@ def jaccard_components(
         "jaccard-sets",
     )
     long_lists = _long_lists(seen)
-    short = F.expr(f"n - ({p} * n + {q - 1}) div {q} + 1")
-    leading = reps.agg(F.sum(short)).first()[0] or 0
+    overlap = f"(({p} * n + {q - 1}) div {q})"
+    extra = f"(({overlap} + {_EXTRA - 1}) div {_EXTRA})"
+    leading = reps.agg(F.sum(F.expr(f"n - {overlap} + {extra}"))).first()[0] or 0
     buckets = max(64, -(-leading // 1_000_000))
     postings = base.where("doc_id is not null").mapInArrow(
         partial(_postings, n=n, p=p, q=q, buckets=buckets, long_lists=long_lists),
-        "bucket int, element binary, member binary, sure_member binary, sure_centre binary",
+        "bucket int, element binary, member binary, "
+        "sure_member binary, sure_centre binary, sure_lists binary",
     )
+    routes = postings.groupBy("bucket").applyInArrow(_lists, "fp long, centre long, lists long")
     routes = materialise(
-        postings.groupBy("bucket").applyInArrow(_lists, "fp long, centre long").distinct(),
+        routes.groupBy("fp", "centre").agg(F.sum("lists").alias("lists")).join(reps, "fp"),
         "jaccard-routes",
     )
-    members = routes.join(reps, "fp").select("centre", "fp", "doc_id", "n")
+    by_set = Window.partitionBy("fp", "fp2")
+    least = by_set.orderBy("lists", "centre").rowsBetween(Window.unboundedPreceding, 0)
+    members = (
+        routes.withColumn("c", F.expr(extra))
+        .withColumn("all", F.sum("lists").over(by_set))
+        .withColumn("left", F.sum("lists").over(least))
+        .where("all >= c and 2 * left > c - 1")
+        .select("centre", "fp", "doc_id", "n")
+    )
     tasks, shards = _blocks(members, group_elements)
     found = (
         base.join(tasks, "doc_id")
@@ -139,25 +153,33 @@ def _long_lists(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def _blocks(members: DataFrame, group_elements: int) -> tuple[DataFrame, int]:
     """Document -> the searches it takes part in; the number of shards to run them in."""
-    groups = members.groupBy("centre").agg(F.count("*").alias("m"), F.sum("n").alias("elements"))
-    members = materialise(
-        members.join(groups.where("m > 1"), "centre").withColumn(
-            "size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.34))).cast("int")
-        ),
-        "jaccard-members",
+    # Linked sets are of the same size class or of neighbouring ones.
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.34))).cast("int")
+    members = members.withColumn("size", size)
+    groups = (
+        members.groupBy("centre", "size")
+        .agg(F.count("*").alias("m"), F.sum("n").alias("elements"))
+        .groupBy("centre")
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("size", "m"))).alias("sets"),
+            F.map_from_entries(
+                F.collect_list(
+                    F.struct("size", F.ceil(F.col("elements") * 2 / group_elements).cast("int"))
+                )
+            ).alias("parts"),
+            F.sum("m").alias("m"),
+            F.sum("elements").alias("elements"),
+        )
+        .where("m > 1")
+    )
+    near = sum(
+        F.coalesce(F.try_element_at("sets", F.col("size") + i), F.lit(0)) for i in (-1, 0, 1)
     )
+    members = materialise(members.join(groups, "centre").where(near > 1), "jaccard-members")
     small = members.where(F.col("elements") <= group_elements).select(
         "doc_id", "fp", F.xxhash64("centre").alias("task"), "n"
     )
-    large = members.where(F.col("elements") > group_elements)
-    # Linked sets are of the same size class or of neighbouring ones.
-    parts = (
-        large.groupBy("centre", "size")
-        .agg(F.ceil(F.sum("n") * 2 / group_elements).cast("int").alias("parts"))
-        .groupBy("centre")
-        .agg(F.map_from_entries(F.collect_list(F.struct("size", "parts"))).alias("parts"))
-    )
-    dealt = large.join(parts, "centre").withColumn(
+    dealt = members.where(F.col("elements") > group_elements).withColumn(
         "part", F.pmod(F.xxhash64("doc_id", "fp"), F.element_at("parts", F.col("size"))).cast("int")
     )
 
@@ -298,7 +320,7 @@ def _postings(
         value, member, sure_member, sure_centre = (np.concatenate(x) for x in held)
         for x in held:
             x.clear()
-        pairs = np.unique(np.stack([sure_member, sure_centre], axis=1), axis=0)
+        pairs = _pairs(sure_member, sure_centre, np.ones(len(sure_member), U64))
         to = (value % U64(buckets)).astype(np.int64)
         also = (pairs[:, 0] % U64(buckets)).astype(np.int64)
         order, order2 = np.argsort(to, kind="stable"), np.argsort(also, kind="stable")
@@ -314,8 +336,9 @@ def _postings(
                 pa.array([member[a:b].tobytes() for a, b, _, _ in cut], pa.binary()),
                 pa.array([pairs[c:d, 0].tobytes() for _, _, c, d in cut], pa.binary()),
                 pa.array([pairs[c:d, 1].tobytes() for _, _, c, d in cut], pa.binary()),
+                pa.array([pairs[c:d, 2].tobytes() for _, _, c, d in cut], pa.binary()),
             ],
-            ["bucket", "element", "member", "sure_member", "sure_centre"],
+            ["bucket", "element", "member", "sure_member", "sure_centre", "sure_lists"],
         )
 
     for batch in batches:
@@ -336,7 +359,8 @@ def _postings(
             n_short = np.bincount(rows[~is_long], minlength=len(size))[rows]
             edge = np.minimum(begin, max(len(values) - 1, 0))
             place = np.where(is_long, n_short + longs - longs[edge], shorts - shorts[edge])
-            lead = size - (p * size + q - 1) // q + 1
+            overlap = (p * size + q - 1) // q
+            lead = size - overlap + (overlap + _EXTRA - 1) // _EXTRA
             new = _first_seen(fp, known)
             take = (place < lead[rows]) & new[rows]
             here, far = take & ~is_long, take & is_long
@@ -367,10 +391,24 @@ def _lists(table: pa.Table) -> pa.Table:
     at = np.flatnonzero(first)
     length = np.diff(np.append(at, len(value)))
     shared = np.repeat(length > 1, length)
-    pairs = np.stack([member[shared], np.repeat(member[at], length)[shared]], axis=1)
-    sure = np.stack([whole("sure_member"), whole("sure_centre")], axis=1)
-    pairs = np.unique(np.concatenate([pairs, sure]), axis=0)
-    return pa.table({"fp": int64(pairs[:, 0]), "centre": int64(pairs[:, 1])})
+    centre = np.repeat(member[at], length)[shared]
+    listed = np.stack([member[shared], centre, np.ones(len(centre), U64)], axis=1)
+    sure = np.stack([whole("sure_member"), whole("sure_centre"), whole("sure_lists")], axis=1)
+    pairs = _pairs(*np.concatenate([listed, sure]).T)
+    return pa.table(
+        {"fp": int64(pairs[:, 0]), "centre": int64(pairs[:, 1]), "lists": int64(pairs[:, 2])}
+    )
+
+
+def _pairs(member: np.ndarray, centre: np.ndarray, lists: np.ndarray) -> np.ndarray:
+    """Each (member, centre) once, with the sum of its lists."""
+    order = np.lexsort((centre, member))
+    member, centre, lists = member[order], centre[order], lists[order]
+    new = np.ones(len(member), bool)
+    new[1:] = (member[1:] != member[:-1]) | (centre[1:] != centre[:-1])
+    at = np.flatnonzero(new)
+    total = np.add.reduceat(lists, at) if len(at) else lists
+    return np.stack([member[at], centre[at], total], axis=1)
 
 
 def _search(table: pa.Table, n: int, p: int, q: int) -> pa.Table:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areaneed.llm.decontam import decontaminate
 from areaneed.llm.jaccard import jaccard_components
+from areaneed.llm.packing import harmonic_pack
+from areaneed.llm.sharding import LAW, shuffle_shards
 from areaneed.llm.substring import substring_dedup
+from areaneed.llm.warc import read_archives, write_archives
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -28,9 +33,76 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs, n=5, similarity=(3, 4))
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer that packing uses; its folder is the same on every machine."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pieces of sequences of 4096 tokens."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = harmonic_pack(docs, tokenizer_path(), end_id=2, capacity=4096)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as records of ZIP packages, written and read back."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    records = read_archives(write_archives(pages))
+    payload = F.col("payload")
+    return records.select(
+        "page_id",
+        F.coalesce(F.octet_length(payload).cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha2(payload, 256), "payload_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside 10-word windows of benchmark items."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontaminate(docs, read(spark, sf_dir, "benchmark"), window=10, k=5)
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents shuffled into 24 shards, which are written and read back."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = shuffle_shards(docs, shards=24)
+    return rows.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit(LAW).alias("law"),
+        "shard",
+        "slot",
+        "grown_shard",
+    )
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_packing": op5_packing,
+    "op6_warc": op6_warc,
+    "op8_decontamination": op8_decontamination,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLES = {
@@ -51,7 +123,7 @@ with words as (
 select words.doc_id, cast(len(w) as bigint) as n_words,
   cast(coalesce(n_removed, 0) as bigint) as n_removed,
   sha256(array_to_string(case when ps is null then w
-    else list_filter(w, (x, i) -> not list_contains(ps, i)) end, ' ')) as kept_sha256
+    else list_filter(w, lambda x, i: not list_contains(ps, i)) end, ' ')) as kept_sha256
 from words left join removed using (doc_id)""",
     "op4_jaccard_join": r"""
 with recursive words as (
@@ -81,4 +153,49 @@ select w.doc_id, cast(coalesce(any_value(s.n), 0) as bigint) as n_shingles,
   min(r.other) as component_id
 from words w left join sizes s using (doc_id) join reach r using (doc_id)
 group by w.doc_id""",
+    "op6_warc": """
+select page_id, cast(octet_length(encode(p)) as bigint) as payload_bytes,
+  sha256(p) as payload_digest,
+  case when first_id < page_id then 'revisit' else 'response' end as record_type,
+  case when first_id < page_id then first_id end as refers_to
+from (
+  select page_id, p, case when octet_length(encode(p)) >= 100
+    then min(page_id) over (partition by p) end as first_id
+  from (select page_id, coalesce(html, '') as p from pages) t
+) u""",
+    "op8_decontamination": r"""
+with items as (
+  select item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + 9], ' ') as s
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i
+        from items where len(w) > 0)
+), words as (
+  select doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+  from documents
+), lengths as (
+  select distinct n from windows
+), places as (
+  select doc_id, n, w, unnest(range(1, len(w) - n + 2)) as i from words, lengths where len(w) >= n
+), found as (
+  select doc_id, i, n, item_id
+  from (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as s from places) p
+  join windows using (n, s)
+), hit as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as p from found) t group by doc_id
+), named as (
+  select doc_id, count(*) as n_items,
+    string_agg(cast(item_id as varchar), ',' order by cast(item_id as varchar)) as names
+  from (select distinct doc_id, item_id from found) t group by doc_id
+)
+select words.doc_id, cast(len(w) as bigint) as n_words,
+  cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit using (doc_id) left join named using (doc_id)""",
 }
