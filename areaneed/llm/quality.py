@@ -153,10 +153,12 @@ def _features(batches: Iterator[pa.RecordBatch]):
             )
 
 
-def _evidence(batches: Iterator[pa.RecordBatch], model: Model, text_col: str):
+def _evidence(batches: Iterator[pa.RecordBatch], model: Model, text_col: str, within: str = ""):
+    """``within``: the struct column that holds the text, if any."""
     for batch in batches:
         found = np.zeros((len(batch), len(HEADS)))
-        for words in chunks(text_column(batch, text_col)):
+        text = batch.column(within).field(text_col) if within else text_column(batch, text_col)
+        for words in chunks(text):
             style, rows, buckets, count = features(words)
             own = np.clip(model.evidence(style, rows, buckets), -30, 30)
             found[words.lo : words.hi] = np.where(count[:, None] > 0, own, 0)
@@ -281,13 +283,15 @@ def classify(
     columns named like the added ones are replaced; all others pass through.
     """
     new = ["quality", "toxicity", "keep"]
+    if text_col in new:
+        raise ValueError(f"the text column cannot be named {text_col}")
     keep = [c for c in docs.columns if c not in new]
     model = fitted(docs, labels, id_col, text_col, sample)
     scored = [StructField(f"{x}_evidence", DoubleType()) for x in HEADS]
-    add = partial(_evidence, model=model, text_col="text")
     text = F.col(f"`{text_col}`").cast("string").alias("text")
     site = [host.cast("string").alias("host"), path.cast("string").alias("path")]
     thin = docs.select(*site, text)
+    add = partial(_evidence, model=model, text_col="text")
     evidence = thin.mapInArrow(add, StructType([*thin.schema.fields, *scored]))
     neutral = {"quality": 1 - 1e-6, "toxic": 1e-6}
     fitted_ = {x: bool(np.any(model.style[:, j])) for j, x in enumerate(HEADS)}
@@ -296,8 +300,9 @@ def classify(
         for j, x in enumerate(HEADS)
     }
     sites = site_posteriors(evidence.drop("text"), {x: float(r) for x, r in rates.items()})
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), *site, text)
-    whole = whole.mapInArrow(add, StructType([*whole.schema.fields, *scored])).drop("text")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), *site)
+    add = partial(_evidence, model=model, text_col=text_col, within="row")
+    whole = whole.mapInArrow(add, StructType([*whole.schema.fields, *scored]))
     # Every site of the documents has a row.
     found = whole.alias("d").join(
         sites.alias("s"),

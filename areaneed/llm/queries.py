@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areaneed.llm.ann import tree_neighbours
 from areaneed.llm.decontam import decontaminate
 from areaneed.llm.jaccard import jaccard_components
+from areaneed.llm.licenses import scan_licenses
 from areaneed.llm.packing import harmonic_pack
+from areaneed.llm.quality import classify
 from areaneed.llm.sharding import LAW, shuffle_shards
 from areaneed.llm.substring import substring_dedup
+from areaneed.llm.toolcalls import link_tool_calls
 from areaneed.llm.warc import read_archives, write_archives
 
 _BLANKS = r"[\x20\x09-\x0D]+"
@@ -20,6 +24,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document; the host is its source, the path its language there."""
+    judged = classify(
+        read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"),
+        read(spark, sf_dir, "labels"),
+        host=F.col("source"),
+        path=F.col("lang"),
+    )
+    return judged.select(
+        "doc_id",
+        F.round("quality", 6).alias("quality"),
+        F.round("toxicity", 6).alias("toxicity"),
+        "keep",
+    )
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words that an earlier document has."""
     kept = substring_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), window=50)
@@ -27,6 +47,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return tree_neighbours(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by three quarters of their 5-word shingles, as components."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,6 +93,42 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Arguments that a reply takes.
+REPLY = {
+    "type": "object",
+    "properties": {
+        "text": {"type": "string", "minLength": 1},
+        "turn": {"type": "integer", "minimum": 0},
+    },
+    "required": ["text", "turn"],
+    "additionalProperties": False,
+}
+
+
+def tool_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations as tool traffic: each assistant turn is a call that comes after the assistant
+    turn two before it, each user turn is the result of the call just before it."""
+    name = lambda turn: F.concat_ws(":", F.col("conv_id"), turn)
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id",
+        name(F.col("turn")).alias("call_id"),
+        F.lit("reply").alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"),
+        name(F.col("turn") - 2).alias("after"),
+    )
+    results = turns.where("role = 'user' and turn > 0").select(
+        "conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    return calls, results
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of all conversations as linked calls and results, in order, as canonical JSON."""
+    calls, results = tool_messages(read(spark, sf_dir, "conversations"))
+    linked = link_tool_calls(calls, results, {"reply": REPLY})
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside 10-word windows of benchmark items."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,6 +143,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_path() -> Column:
+    """A place in a tree of files: source/language/folder/file, every 50th file a LICENSE."""
+    name = F.when(F.col("doc_id") % 50 == 0, "LICENSE").otherwise(
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    )
+    folder = F.concat(F.lit("f"), (F.col("doc_id") % 7).cast("string"))
+    some = lambda c: F.coalesce(F.col(c), F.lit("unknown"))
+    return F.concat_ws("/", some("source"), some("lang"), folder, name)
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document: its own, or that of the nearest directory above."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return scan_licenses(docs, document_path())
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents shuffled into 24 shards, which are written and read back."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,11 +175,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_neighbours": op3_neighbours,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
+    "op7_tool_calls": op7_tool_calls,
     "op8_decontamination": op8_decontamination,
+    "op9_licenses": op9_licenses,
     "op10_sharding": op10_sharding,
 }
 
