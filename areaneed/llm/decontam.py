@@ -166,10 +166,7 @@ def decontaminate(
     spans = [_places(F.array_distinct(starts), window)]
     for x in lengths:
         found = found.withColumn(f"g{x}", _runs_of(x))
-        at = F.filter(
-            _span(0, n - x), lambda i, x=x: F.array_contains(f"m{x}", F.get(f"g{x}", i))
-        )
-        spans.append(_places(at, x))
+        spans.append(_places(_marked(x, n), x))
     found = found.select(
         "id", "text_hash", words(F.col("text")).alias("w"), F.concat(*spans).alias("spans")
     )
@@ -227,6 +224,12 @@ def _tag(hashes: Column, length: int) -> Column:
     )
 
 
+def _marked(length: int, n: Column) -> Column:
+    """Where a run of ``length`` of the ``n`` words has a hash found in the benchmark."""
+    held = lambda i: F.array_contains(f"m{length}", F.get(f"g{length}", i))
+    return F.filter(_span(0, n - length), held)
+
+
 def _places(starts: Column, length: int) -> Column:
     return F.transform(
         starts, lambda i: F.struct(i.alias("start"), F.lit(length).alias("length"))
