@@ -36,6 +36,12 @@ def _coarse_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once a row: Spark may put a column's expression in
+    the place of its name, and inside a lambda that would compute it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _span(first: int, last: Column) -> Column:
     """first .. last, empty when last is smaller."""
     return F.when(last >= first, F.sequence(F.lit(first), last)).otherwise(F.array().cast("array<int>"))
@@ -115,8 +121,8 @@ def decontaminate(
     )
     coarse = item_words.select(F.transform("w", lambda x: F.lower(x)).alias("w"))
     marks = _kept(_with_hashes(coarse.where(n >= window), k), window - k + 1).select(
-        F.lit(window).alias("length"), F.explode("f").alias("f")
-    )
+        F.lit(window).alias("length"), F.explode_outer("f").alias("f")
+    ).where("f is not null")
     # At most window - 1 numbers.
     lengths = sorted(r[0] for r in item_words.where(n < window).select(n).distinct().collect())
     for length in lengths:
@@ -130,8 +136,10 @@ def decontaminate(
     ).where(n >= min([window, *lengths]))
     scanned = _kept(_with_hashes(scanned, k), window - k + 1)
     tagged = [_tag(F.col("f"), window)] + [_tag(_runs_of(x), x) for x in lengths]
+    # Outer, as Spark would test the array of an inner explode first, and for that
+    # compute it anew at every place it is used. The joins drop the nulls.
     hits = (
-        scanned.select("id", "text_hash", F.explode(F.concat(*tagged)).alias("m"))
+        scanned.select("id", "text_hash", F.explode_outer(F.concat(*tagged)).alias("m"))
         .select("id", "text_hash", "m.length", "m.f")
         .join(marks, ["length", "f"])
         .groupBy("id", "text_hash")
@@ -154,14 +162,19 @@ def decontaminate(
     ).dropDuplicates(["id", "text_hash"])
     found = found.withColumn("w", _coarse_words(F.col("text")))
     found = _with_hashes(found, k)
-    starts = F.flatten(
-        F.transform(
-            F.filter(_span(0, n - k), lambda i: F.array_contains(f"m{window}", F.get("g", i))),
-            lambda i: F.sequence(
-                F.greatest(F.lit(0), i - (window - k)),
-                F.greatest(F.lit(0), F.least(i, n - window)),
-            ),
-        )
+    starts = _let(
+        F.col("g"),
+        lambda g: F.flatten(
+            F.transform(
+                F.filter(
+                    _span(0, n - k), lambda i: F.array_contains(f"m{window}", F.get(g, i))
+                ),
+                lambda i: F.sequence(
+                    F.greatest(F.lit(0), i - (window - k)),
+                    F.greatest(F.lit(0), F.least(i, n - window)),
+                ),
+            )
+        ),
     )
     spans = [_places(F.array_distinct(starts), window)]
     for x in lengths:
@@ -173,13 +186,16 @@ def decontaminate(
     candidates = found.select(
         "id",
         "text_hash",
-        F.explode(
-            F.transform(
-                "spans",
-                lambda s: F.struct(
-                    s["start"].alias("start"),
-                    s["length"].alias("length"),
-                    F.array_join(F.slice("w", s["start"] + 1, s["length"]), " ").alias("words"),
+        F.explode_outer(
+            _let(
+                F.col("w"),
+                lambda w: F.transform(
+                    "spans",
+                    lambda s: F.struct(
+                        s["start"].alias("start"),
+                        s["length"].alias("length"),
+                        F.array_join(F.slice(w, s["start"] + 1, s["length"]), " ").alias("words"),
+                    ),
                 ),
             )
         ).alias("s"),
@@ -226,8 +242,12 @@ def _tag(hashes: Column, length: int) -> Column:
 
 def _marked(length: int, n: Column) -> Column:
     """Where a run of ``length`` of the ``n`` words has a hash found in the benchmark."""
-    held = lambda i: F.array_contains(f"m{length}", F.get(f"g{length}", i))
-    return F.filter(_span(0, n - length), held)
+    return _let(
+        F.col(f"g{length}"),
+        lambda g: F.filter(
+            _span(0, n - length), lambda i: F.array_contains(f"m{length}", F.get(g, i))
+        ),
+    )
 
 
 def _places(starts: Column, length: int) -> Column:
