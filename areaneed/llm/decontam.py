@@ -20,20 +20,27 @@ from pyspark.sql import functions as F
 
 from areaneed.sources.scratch import materialise
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+; a split at what lies between costs far less than
+# extracting every match.
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ARRAY = "array<bigint>"
 
 
 def words(text: Column) -> Column:
     """Words of a text, with A-Z in lower case and nothing else changed."""
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0))
+    return _cut(F.translate(text, _UPPER, _LOWER))
+
+
+def _cut(text: Column) -> Column:
+    """Words of a text; the split gives an empty one before a leading and after a last gap."""
+    return F.array_remove(F.split(text, _BETWEEN), "")
 
 
 def _coarse_words(text: Column) -> Column:
     """As ``words``, but with every letter in lower case: much faster, the same word borders,
     and equal wherever ``words`` are equal. Good for finding candidates."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return _cut(F.lower(text))
 
 
 def _let(value: Column, body) -> Column:
@@ -131,9 +138,11 @@ def decontaminate(
         marks = marks.union(few)
     marks = materialise(marks.distinct(), "benchmark-marks")
 
+    # Short texts give no hashes. A filter on their size would be pushed down and cut every
+    # text a second time.
     scanned = docs.select(
         id_.alias("id"), F.xxhash64(text).alias("text_hash"), _coarse_words(text).alias("w")
-    ).where(n >= min([window, *lengths]))
+    )
     scanned = _kept(_with_hashes(scanned, k), window - k + 1)
     tagged = [_tag(F.col("f"), window)] + [_tag(_runs_of(x), x) for x in lengths]
     # Outer, as Spark would test the array of an inner explode first, and for that
