@@ -10,15 +10,20 @@ from pyspark.sql import functions as F
 
 
 def upsert_by_key(
-    target: DataFrame, source: DataFrame, keys: list[str], newer_by: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    newer_by: str | list[str] | None = None,
 ) -> DataFrame:
     """Matched rows take every value of ``source`` (nulls too), unmatched ones are added.
 
     ``source`` has one row per key. The target is not shuffled when the day's batch is
     small enough to broadcast: matched rows come from a left join, and new ones from
     an anti join against just those target keys the batch contains. Columns only the
-    target has are kept for matched rows and null for added ones. With ``newer_by`` a
-    matched row is only replaced when its own time is not later than the batch's.
+    target has are kept for matched rows and null for added ones. With ``newer_by`` (a time, and
+    columns that decide between equal times, highest first) a matched row is only replaced
+    when it does not come later than the batch's; a null comes first. ``source`` is read
+    twice and ``target`` too, so hand in written tables.
     """
     source = source.dropna(subset=keys)
     shared = [c for c in target.columns if c in source.columns and c not in keys]
@@ -26,8 +31,9 @@ def upsert_by_key(
     batch = batch.withColumn("_hit", F.lit(True))
     take = F.col("_hit")
     if newer_by is not None:
-        own = F.col(newer_by)
-        take = take & (own.isNull() | (F.col(f"_new_{newer_by}") >= own))
+        order = [newer_by] if isinstance(newer_by, str) else newer_by
+        own = F.struct(*[F.col(c).alias(c) for c in order])
+        take = take & (F.struct(*[F.col(f"_new_{c}").alias(c) for c in order]) >= own)
     updated = target.join(batch, keys, "left").select(
         *[
             F.when(take, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)

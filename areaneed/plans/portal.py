@@ -50,7 +50,7 @@ def _county_economy(tables: Tables) -> DataFrame:
     return means.join(county_keys(tables["dim_geography"]), "geo_key").drop("geo_key")
 
 
-def sq_county_crime_annual(tables: Tables, limit: int | None = 20) -> DataFrame:
+def sq_county_crime_annual(tables: Tables, limit: int | None = None) -> DataFrame:
     """Incidents by county and year, most first."""
     counts = (
         tables["fct_crimes"]
@@ -63,7 +63,7 @@ def sq_county_crime_annual(tables: Tables, limit: int | None = 20) -> DataFrame:
     return _limited(rows.orderBy(F.desc("total_crimes"), "county_name", "year"), limit)
 
 
-def sq_subsidy_by_county(tables: Tables, limit: int | None = 20) -> DataFrame:
+def sq_subsidy_by_county(tables: Tables, limit: int | None = None) -> DataFrame:
     """Entities and how many qualify, by county."""
     rows = (
         tables["fct_business_subsidy_tiers"]
@@ -80,7 +80,7 @@ def sq_subsidy_by_county(tables: Tables, limit: int | None = 20) -> DataFrame:
     return _limited(rows.orderBy(F.desc("qualifying_businesses"), "principal_county"), limit)
 
 
-def sq_income_population_annual(tables: Tables, limit: int | None = 20) -> DataFrame:
+def sq_income_population_annual(tables: Tables, limit: int | None = None) -> DataFrame:
     """Mean income and population by county and year, latest first."""
     rows = (
         tables["fct_income_population"]
@@ -101,7 +101,7 @@ def sq_income_population_annual(tables: Tables, limit: int | None = 20) -> DataF
     return _limited(rows.orderBy(*order, "county_name"), limit)
 
 
-def crime_rate_spotlight(tables: Tables, limit: int | None = 15) -> DataFrame:
+def crime_rate_spotlight(tables: Tables, limit: int | None = None) -> DataFrame:
     """Counties with the highest rate per 100,000, from the agency report."""
     totals = (
         tables["rpt_agency_baseline"]
@@ -266,13 +266,17 @@ def city_report(tables: Tables, name: str) -> DataFrame:
 def search_businesses(
     lookup: DataFrame, term: str, max_rows: int = SEARCH_ROWS
 ) -> DataFrame | None:
-    """Digits find that entity id; anything else, or no such id, a part of the name."""
+    """Digits find that entity id; anything else, or no such id, a part of the name.
+
+    The id is compared as a number, so the condition reaches the scan; digits that are no
+    id as written (a leading zero, too long) can only be part of a name.
+    """
     term = term.strip()
     if not term:
         return None
-    if term.isdigit():
-        by_id = lookup.where(F.col("entity_id").cast("string") == term)
+    if term.isdecimal() and str(int(term)) == term and int(term) < 1 << 63:
+        by_id = lookup.where(F.col("entity_id") == F.lit(int(term)).cast("bigint"))
         if not by_id.isEmpty():
-            return by_id.limit(max_rows)
+            return by_id.orderBy("entity_name", "entity_id").limit(max_rows)
     by_name = lookup.where(F.contains(F.upper("entity_name"), F.lit(term.upper())))
     return by_name.orderBy("entity_name", "entity_id").limit(max_rows)

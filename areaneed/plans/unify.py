@@ -37,13 +37,13 @@ def int_crimes_unified(early: DataFrame, late: DataFrame, agency_city: DataFrame
     """Both periods in one cleaned table with date parts, day/night and season.
 
     The late period takes its city from the agency list, matched on the raw agency
-    name. Everything else is one pass over the rows. A listed agency is cleaned once in
-    the list; the costly patterns run per incident for the other agencies only.
+    name; a name listed twice takes its first city, so no incident is doubled. Everything
+    else is one pass over the rows. A listed agency is cleaned once in the list; the costly
+    patterns run per incident for the other agencies only.
     """
-    city = agency_city.select(
-        F.col("pub_agency_name").alias("agency_name"),
-        "city_name",
-        normalize_agency(F.col("pub_agency_name")).alias("listed_name"),
+    listed = agency_city.groupBy(F.col("pub_agency_name").alias("agency_name"))
+    city = listed.agg(F.min("city_name").alias("city_name")).withColumn(
+        "listed_name", normalize_agency(F.col("agency_name"))
     )
     with_city = _reportable(late).join(city, "agency_name", "left")
     rows = (

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def committed(spark: SparkSession, root: str, name: str = "version") -> list[int]:
-    """Numbers of the complete ``name=<n>`` folders under ``root``, ascending."""
+def committed(
+    spark: SparkSession, root: str, name: str = "version", after: int = -1
+) -> list[int]:
+    """Numbers above ``after`` of the complete ``name=<n>`` folders under ``root``, ascending."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     folder = path_of(root)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -19,7 +21,9 @@ def committed(spark: SparkSession, root: str, name: str = "version") -> list[int
     found = []
     for status in fs.listStatus(folder):
         key, _, number = status.getPath().getName().partition("=")
-        if key == name and fs.exists(path_of(status.getPath(), "_SUCCESS")):
+        if key != name or int(number) <= after:
+            continue
+        if fs.exists(path_of(status.getPath(), "_SUCCESS")):
             found.append(int(number))
     return sorted(found)
 

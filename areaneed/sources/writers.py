@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areaneed.sources.versions import committed
+
 
 class NoRowsLanded(RuntimeError):
     """Raised when a day that should have landed has no rows."""
@@ -57,7 +59,8 @@ def write_layer(
     min/max skipping. The split also uses a row number, so that rows with one key, or
     plain copies of one row, are spread over several tasks and files. Rows are
     ordered before they are numbered, so a repeated task numbers them the same.
-    ``partition`` writes one folder per value.
+    ``partition`` writes one folder per value. Each write is a version of its own, so a table can be
+    rebuilt from itself and open readers of the last one go on. Old versions stay.
     """
     if layer == "raw":
         df.createOrReplaceTempView(name)
@@ -77,9 +80,12 @@ def write_layer(
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
     if partition:
         writer = writer.partitionBy(*partition)
-    path = f"{root}/{layer}/{name}"
+    folder = f"{root}/{layer}/{name}"
+    done = committed(df.sparkSession, folder)
+    path = f"{folder}/version={done[-1] + 1 if done else 0}"
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # With its schema: a partition value such as '01' stays a text.
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def _sort_key(spec: str):

@@ -55,17 +55,22 @@ def current_state(
     order_col: str,
     ties: list[str] | None = None,
 ) -> DataFrame | None:
-    """The target as of the last complete batch; an update older than the row loses."""
+    """The target as of the last complete batch; an update older than the row loses.
+
+    Base and batches are ranked by one order (``order_col``, then ``ties``), so a compaction
+    never changes the answer. Only the batches since the base are looked at.
+    """
     base_root = f"{target}/base"
     done = committed(spark, base_root)
     since = done[-1] if done else -1
     base = read_version(spark, base_root)
-    batches = [b for b in committed(spark, f"{target}/changes", "batch") if b > since]
+    batches = committed(spark, f"{target}/changes", "batch", since)
     if not batches:
         return base
     changes = spark.read.parquet(*[f"{target}/changes/batch={b}" for b in batches])
     newest = latest_per_key(changes, keys, order_col, ties)
-    return newest if base is None else upsert_by_key(base, newest, keys, newer_by=order_col)
+    order = [order_col, *(ties or [])]
+    return newest if base is None else upsert_by_key(base, newest, keys, newer_by=order)
 
 
 def compact(
@@ -76,9 +81,9 @@ def compact(
     ties: list[str] | None = None,
 ) -> DataFrame | None:
     """Write the current state as a base that covers every batch so far."""
-    batches = committed(spark, f"{target}/changes", "batch")
     done = committed(spark, f"{target}/base")
-    if not batches or (done and done[-1] >= batches[-1]):
+    batches = committed(spark, f"{target}/changes", "batch", done[-1] if done else -1)
+    if not batches:
         return read_version(spark, f"{target}/base")
     state = current_state(spark, target, keys, order_col, ties)
     return write_version(state, f"{target}/base", batches[-1])

@@ -4,7 +4,8 @@ The given tables are of another domain, so each raw input is a view over them: a
 is a nation, an agency a supplier, an entity a customer, an incident a line item. The
 views carry the defects the jobs have to handle: missing and unparsable values, lists
 of areas, spelling variants, unlisted codes. The SQL is common to Spark and DuckDB, so the same
-text feeds a job and its check. Every view covers its tables whole.
+text feeds a job and its check. Every view covers its tables whole, but for the two days of
+the register that make a history.
 """
 
 from __future__ import annotations
@@ -119,6 +120,8 @@ _STATUS = """case c_mktsegment when 'HOUSEHOLD' then 'Good Standing'
     when 'BUILDING' then 'Exists' when 'MACHINERY' then 'Delinquent'
     when 'FURNITURE' then 'Noncompliant' else 'Voluntarily Dissolved' end"""
 _CITY = "concat('City ', cast(c_custkey % 8 as string))"
+_LATER_STATUS = f"case when c_custkey % 5 = 0 then 'Voluntarily Dissolved' else {_STATUS} end"
+_LATER_CITY = f"case when c_custkey % 7 = 0 then 'Old Town' else {_CITY} end"
 
 SQL = {
     "raw_incidents_early": "select "
@@ -173,14 +176,11 @@ from (
   join {nation} n on n.n_nationkey = c.c_nationkey
   group by n.n_nationkey, n.n_name, year(o.o_orderdate) + 4, o.o_orderpriority
 ) t""",
-    # Two days of the register. The first still lacks some entities; by the second some
-    # are gone, some have another status and some have moved.
+    # The whole register, and two days of it for its history: the first still lacks some
+    # entities; by the second some are gone, some have another status and some have moved.
+    "raw_entities": _entities(_LATER_STATUS, _LATER_CITY, ""),
     "raw_entities_1": _entities(_STATUS, _CITY, "where c_custkey % 10 <> 0"),
-    "raw_entities_2": _entities(
-        f"case when c_custkey % 5 = 0 then 'Voluntarily Dissolved' else {_STATUS} end",
-        f"case when c_custkey % 7 = 0 then 'Old Town' else {_CITY} end",
-        "where c_custkey % 17 <> 0",
-    ),
+    "raw_entities_2": _entities(_LATER_STATUS, _LATER_CITY, "where c_custkey % 17 <> 0"),
     "raw_registrations": """
 select cast(user_id as string) as entityid, event_type as entitystatus, value,
   ts as ingested_at, cast(ts as date) as source_date, event_id
@@ -216,19 +216,10 @@ _landed: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A raw input as a landed table: written once per session, then read from its files.
-
-    A test folder holds one file per table, which one task would read; only then the
-    incidents are dealt out to all cores before they are written.
-    """
+    """A raw input as a landed table: written once per session, then read from its files."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
-        rows = raw_input(spark, sf_dir, name)
-        cores = spark.sparkContext.defaultParallelism
-        if name.startswith("raw_incidents"):
-            if len(given(spark, sf_dir, "lineitem").inputFiles()) < cores:
-                rows = rows.repartition(cores)
-        _landed[key] = materialise(rows, name)
+        _landed[key] = materialise(raw_input(spark, sf_dir, name), name)
     return _landed[key]
 
 

@@ -22,7 +22,7 @@ select entityid as entity_id, entityname as entity_name,
   principalzipcode as principal_zip_code, principalcountry as principal_country,
   entitystatus as entity_status, jurisdictonofformation as jurisdiction_of_formation,
   entitytype as entity_type, cast(entityformdate as date) as entity_form_date
-from raw_entities_2 where principalstate = 'CO'"""
+from raw_entities where principalstate = 'CO'"""
 
 CTES["early"] = """
 select agency_name, primary_county as county_name,
@@ -422,13 +422,13 @@ _TS = "strftime(ingested_at, '%Y-%m-%d %H:%M:%S') as ingested_at"
 O["read_seed"] = "select pub_agency_name, city_name from raw_agency_city"
 O["overwrite_partition"] = f"select {_REG} from raw_registrations"
 O["read_landed"] = f"select {_REG} from raw_registrations where source_date = '{SPLIT_DAY}'"
-O["read_landed_json"] = "select * from raw_entities_1"
+O["read_landed_json"] = "select * from raw_entities"
 O["filter_extract"] = f"""
-select * from raw_entities_2
+select * from raw_entities
 where entityformdate = '{EXTRACT_DAY}' and principalstate = 'CO'"""
 O["add_audit_columns"] = f"""
 select entityid, entitystatus, '{DAY_1}' as _ingested_at, date '2024-01-01' as _source_date
-from raw_entities_1"""
+from raw_entities"""
 O["assert_rows_landed"] = f"""
 select source_date, entitystatus, count(*) as n from raw_registrations
 where source_date = '{SPLIT_DAY}' group by all"""
@@ -478,18 +478,21 @@ O["normalize_county_names"] = f"""
 select areaname, count(*) as n, {_county('areaname')} as county from raw_income group by areaname"""
 O["normalize_agency_names"] = f"""
 select pub_agency_name, count(*) as n, {_agency('pub_agency_name')} as agency
-from raw_incidents_late group by pub_agency_name"""
+from (select pub_agency_name from raw_incidents_late
+      union all select agency_name from raw_incidents_early) group by pub_agency_name"""
 O["normalize_county_lists"] = f"""
 select county_name, count(*) as n,
   case when county_name is not null then {_county_list('county_name')} end as county
-from raw_incidents_late group by county_name"""
+from (select county_name from raw_incidents_late
+      union all select primary_county from raw_incidents_early) group by county_name"""
 O["initcap_delims_names"] = f"""
 select offense_name, count(*) as n, {_title('lower(trim(offense_name))')} as offense
-from raw_incidents_late group by offense_name"""
+from (select offense_name from raw_incidents_late
+      union all select offense_name from raw_incidents_early) group by offense_name"""
 
 O["lookup_left"] = """
 select e.entityid, e.principalcity, c.first_county, c.zips
-from raw_entities_2 e left join (
+from raw_entities e left join (
   select city, min(county) as first_county, count(*) as zips from zips group by 1) c
 on lower(trim(e.principalcity)) = c.city"""
 O["drill_across"] = """
@@ -854,8 +857,8 @@ O["dq_orphan_keys"] = _checks(
     [
         (
             "orphan_keys geo_key",
-            "(select distinct geo_key from crimes)",
-            "geo_key not in (select geo_key from geo where geo_key % 2 = 0)",
+            "(select distinct if(geo_key % 2 = 0, geo_key, -geo_key) as geo_key from crimes)",
+            "geo_key not in (select geo_key from geo)",
         )
     ]
 )

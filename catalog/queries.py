@@ -79,7 +79,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
                 "agency_city",
             )
         }
-        raw["entities"] = raw_input(spark, sf_dir, "raw_entities_2")
+        raw["entities"] = raw_input(spark, sf_dir, "raw_entities")
         raw["history"] = materialise(entity_history(spark, sf_dir), "history")
         _warehouses[key] = Warehouse(raw, RUN_TS)
     return _warehouses[key]
@@ -153,18 +153,18 @@ def read_landed(spark, sf_dir):
 @query
 def read_landed_json(spark, sf_dir):
     path = scratch_path(spark, "pages")
-    raw_input(spark, sf_dir, "raw_entities_1").write.json(path)
+    raw_input(spark, sf_dir, "raw_entities").write.json(path)
     return readers.read_landed_json(spark, path, schemas.RAW_ENTITY)
 
 
 _over_raw(
     "filter_extract",
-    "raw_entities_2",
+    "raw_entities",
     lambda raw: readers.filter_extract(raw, EXTRACT_DAY),
 )
 _over_raw(
     "add_audit_columns",
-    "raw_entities_1",
+    "raw_entities",
     lambda raw: readers.add_audit_columns(raw, "2024-01-01", DAY_1).select(
         "entityid", "entitystatus", "_ingested_at", "_source_date"
     ),
@@ -233,7 +233,7 @@ for _report in ("rpt_city_time_trends", "rpt_city_time_of_day", "rpt_city_demogr
     )
 
 # Staging
-_over_raw("stg_business_entities", "raw_entities_2", staging.stg_business_entities)
+_over_raw("stg_business_entities", "raw_entities", staging.stg_business_entities)
 _over_raw("stg_crimes_1997_2015", "raw_incidents_early", staging.stg_crimes_1997_2015)
 _over_raw("stg_crimes_2016_2020", "raw_incidents_late", staging.stg_crimes_2016_2020)
 _over_raw("stg_income", "raw_income", staging.stg_income)
@@ -253,28 +253,30 @@ def normalize_county_names(spark, sf_dir):
     )
 
 
-def _incident_texts(spark, sf_dir, column: str) -> DataFrame:
-    late = raw_table(spark, sf_dir, "raw_incidents_late")
-    return late.groupBy(column).agg(F.count("*").alias("n"))
+def _incident_texts(spark, sf_dir, late_name: str, early_name: str) -> DataFrame:
+    """Texts of all incidents, under the late period's column name."""
+    late = raw_table(spark, sf_dir, "raw_incidents_late").select(late_name)
+    early = raw_table(spark, sf_dir, "raw_incidents_early").select(F.col(early_name).alias(late_name))
+    return late.unionByName(early).groupBy(late_name).agg(F.count("*").alias("n"))
 
 
 @query
 def normalize_agency_names(spark, sf_dir):
-    return _incident_texts(spark, sf_dir, "pub_agency_name").withColumn(
+    return _incident_texts(spark, sf_dir, "pub_agency_name", "agency_name").withColumn(
         "agency", normalize_agency(F.col("pub_agency_name"))
     )
 
 
 @query
 def normalize_county_lists(spark, sf_dir):
-    return _incident_texts(spark, sf_dir, "county_name").withColumn(
+    return _incident_texts(spark, sf_dir, "county_name", "primary_county").withColumn(
         "county", normalize_county_list(F.col("county_name"))
     )
 
 
 @query
 def initcap_delims_names(spark, sf_dir):
-    return _incident_texts(spark, sf_dir, "offense_name").withColumn(
+    return _incident_texts(spark, sf_dir, "offense_name", "offense_name").withColumn(
         "offense", initcap_delims(clean_key(F.col("offense_name")))
     )
 
@@ -284,7 +286,7 @@ def initcap_delims_names(spark, sf_dir):
 
 @query
 def lookup_left(spark, sf_dir):
-    entities = raw_input(spark, sf_dir, "raw_entities_2").select("entityid", "principalcity")
+    entities = raw_input(spark, sf_dir, "raw_entities").select("entityid", "principalcity")
     zips = staging.stg_city_county_zip(raw_input(spark, sf_dir, "raw_zip_lookup"))
     cities = zips.groupBy("city").agg(
         F.min("county").alias("first_county"), F.count("*").alias("zips")
@@ -562,8 +564,22 @@ _PORTAL = {
     portal.eligible_by_county: ["rpt_business_tier_lookup"],
     portal.eligible_total: ["rpt_business_tier_lookup"],
 }
+# The portal shows the first rows of these.
+_SHOWN = {
+    "sq_county_crime_annual": 20,
+    "sq_subsidy_by_county": 20,
+    "sq_income_population_annual": 20,
+    "crime_rate_spotlight": 15,
+}
+
+
+def _portal(w: Warehouse, fn, names: list[str]) -> DataFrame:
+    shown = _SHOWN.get(fn.__name__)
+    return fn(w.tables(*names), limit=shown) if shown else fn(w.tables(*names))
+
+
 for _fn, _names in _PORTAL.items():
-    _over(_fn.__name__, lambda w, fn=_fn, names=_names: fn(w.tables(*names)))
+    _over(_fn.__name__, lambda w, fn=_fn, names=_names: _portal(w, fn, names))
 _over(
     "search_businesses",
     lambda w: portal.search_businesses(w.rpt_business_tier_lookup, "customer#0000000"),
@@ -608,7 +624,11 @@ _over(
 _over(
     "dq_orphan_keys",
     lambda w: quality.dq_orphan_keys(
-        w.fct_crimes, w.dim_geography.where("geo_key % 2 = 0"), "geo_key"
+        w.fct_crimes.withColumn(
+            "geo_key", F.expr("case when geo_key % 2 = 0 then geo_key else -geo_key end")
+        ),
+        w.dim_geography,
+        "geo_key",
     ),
 )
 _over_raw(
