@@ -123,3 +123,30 @@ def test_daily_run_can_be_repeated(spark, tmp_path):
     assert seen(run(*days[1])) == expected
     with pytest.raises(writers.NoRowsLanded):
         run(dt.date(2024, 1, 3), [])
+
+
+def test_daily_run_in_any_order(spark, tmp_path):
+    """A late day, a corrected day and two rows of one key end as if landed in order."""
+    days = {
+        dt.date(2024, 1, 1): [entity("1"), entity("2")],
+        dt.date(2024, 1, 2): [entity("2", "Delinquent"), entity("2", "Exists"), entity("3")],
+        dt.date(2024, 1, 3): [entity("1", "Exists")],
+    }
+
+    def run(root, day, data):
+        extract = spark.createDataFrame(data, schemas.RAW_ENTITY)
+        at = dt.datetime.combine(day, dt.time(6))
+        return daily.run_day(spark, extract, str(tmp_path / root), day, at)
+
+    def seen(df):
+        return sorted(map(str, df.collect()))
+
+    with pytest.raises(writers.NoRowsLanded):
+        run("empty", dt.date(2024, 1, 1), [])
+    first, second, third = days
+    for day in days:
+        straight = run("straight", day, days[day])
+    run("mixed", first, [entity("1", "Noncompliant")])
+    run("mixed", third, days[third])
+    run("mixed", second, days[second][::-1])
+    assert seen(run("mixed", first, days[first])) == seen(straight)
