@@ -39,6 +39,7 @@ _ROUND = 4_000_000  # elements counted together in a task
 _LOCAL = 4  # different sets of a round that make an element's list long
 _LONG = 16  # and of all rounds
 _MAX_LONG = 1 << 18  # a bound of the broadcast; beyond it the longest lists are meant
+_SLOTS = 1 << 20  # of document ids, a bound of the other broadcast
 _MU = 0.01  # DivideSkip's weight of a probe
 _EXTRA = 8  # c is this part of the least overlap of a set
 
@@ -111,8 +112,16 @@ def jaccard_components(
         .select("centre", "fp", "doc_id", "n")
     )
     tasks, shards = _blocks(members, group_elements)
+    tasks = materialise(tasks, "jaccard-tasks")
+    # Few documents are searched. What is broadcast has at most _SLOTS rows at any input; a document
+    # that only shares a slot with a searched one is left to the join.
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(_SLOTS)).alias("slot")
+    slots = F.broadcast(tasks.select(slot).distinct())
     found = (
-        base.join(tasks, "doc_id")
+        base.where("doc_id is not null")
+        .withColumn("slot", slot)
+        .join(slots, "slot", "left_semi")
+        .join(tasks, "doc_id")
         .select("doc_id", "text", F.explode("tasks").alias("t"))
         .select("doc_id", "text", "t.fp", "t.task", F.pmod("t.task", F.lit(shards)).alias("shard"))
     )
