@@ -16,6 +16,7 @@ letters with punctuation after them share the ids of their letters.
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -84,8 +85,8 @@ class _Ids:
 
     def reset(self) -> None:
         self.place: dict[int, int] = {}  # hash of a word -> its number
-        self.cores: dict[str, np.ndarray] = {}
-        self.marks: dict[str, np.ndarray] = {}
+        self.cores: dict[str, bytes] = {}  # ids as unsigned 32-bit numbers, here and below
+        self.marks: dict[str, bytes] = {}
         self.store = np.zeros(1 << 16, np.uint32)
         self.edge = np.zeros(1 << 16, np.int64)
         self.used = 0
@@ -94,12 +95,14 @@ class _Ids:
         lines = [" ".join(cores[i : i + 1000]) for i in range(0, len(cores), 1000)]
         done = self.letters.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.concatenate([np.array(x.ids, np.uint32) for x in done])
-        pieces = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-        if len(pieces) != len(cores):
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(ends) != len(cores):
             raise ValueError("the tokenizer does not mark the ends of words")
+        data = ids.tobytes()
+        pieces = [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         self.cores.update(zip(cores, pieces, strict=True))
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
+    def _encode(self, words: list[str]) -> list[bytes]:
         found: list = [None] * len(words)
         plain, other, new = [], [], {}
         for i, word in enumerate(words):
@@ -115,14 +118,14 @@ class _Ids:
             self._encode_letters(list(new))
         done = self.whole.encode_batch_fast([words[i] for i in other], add_special_tokens=False)
         for i, x in zip(other, done, strict=True):
-            found[i] = np.array(x.ids, np.uint32)
+            found[i] = np.array(x.ids, np.uint32).tobytes()
         for i, core, mark in plain:
             ids = self.cores[core]
             if mark:
                 if mark not in self.marks:
                     own = self.whole.encode(mark, add_special_tokens=False).ids
-                    self.marks[mark] = np.array(own, np.uint32)
-                ids = np.concatenate([ids, self.marks[mark]])
+                    self.marks[mark] = np.array(own, np.uint32).tobytes()
+                ids += self.marks[mark]
             found[i] = ids
         return found
 
@@ -132,26 +135,26 @@ class _Ids:
             self.reset()
         values, at, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
         place = self.place
-        known = [place.get(v) for v in values.tolist()]
-        missing = [i for i, x in enumerate(known) if x is None]
-        if missing:
+        known = np.fromiter(map(place.get, values.tolist(), repeat(-1)), np.int64, len(values))
+        missing = np.flatnonzero(known < 0)
+        if len(missing):
             start, end = words.start[at[missing]].tolist(), words.end[at[missing]].tolist()
             data = words.data.tobytes()
             new = self._encode(
                 [data[a:b].decode() for a, b in zip(start, end, strict=True)]
             )
-            size = np.array([len(x) for x in new])
+            size = np.fromiter(map(len, new), np.int64, len(new)) // 4
             n, total = len(place), int(size.sum())
             while self.used + total > len(self.store):
                 self.store = np.concatenate([self.store, np.zeros_like(self.store)])
             while n + len(new) + 1 > len(self.edge):
                 self.edge = np.concatenate([self.edge, np.zeros_like(self.edge)])
-            self.store[self.used : self.used + total] = np.concatenate(new)
+            self.store[self.used : self.used + total] = np.frombuffer(b"".join(new), np.uint32)
             self.edge[n + 1 : n + 1 + len(new)] = self.used + np.cumsum(size)
             self.used += total
-            for j, i in enumerate(missing):
-                place[int(values[i])] = known[i] = n + j
-        number = np.array(known, np.int64)[which] if len(values) else np.zeros(0, np.int64)
+            known[missing] = np.arange(n, n + len(new))
+            place.update(zip(values[missing].tolist(), range(n, n + len(new)), strict=True))
+        number = known[which]
         size = self.edge[number + 1] - self.edge[number]
         begin = np.concatenate([[0], np.cumsum(size)])
         step = np.arange(begin[-1]) - np.repeat(begin[:-1], size)
