@@ -31,7 +31,8 @@ _PIECES = (
 )
 #: Latin letters that are their own composed form, then punctuation without the apostrophe.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-_MOST_WORDS = 1_000_000
+_MOST_WORDS = 500_000
+_CHUNK_BYTES = 1 << 19  # a task holds a few dozen bytes for each byte of a chunk
 
 
 def harmonic_pack(
@@ -226,7 +227,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: i
     table = None
     for batch in batches:
         ids = batch.column("id").to_pylist()
-        for words in chunks(text_column(batch, "text")):
+        for words in chunks(text_column(batch, "text"), _CHUNK_BYTES):
             table = table or _Ids(path)
             tokens, begin = table.of(words)
             edge = begin[words.first].tolist()
@@ -238,7 +239,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: i
                     piece = data[4 * start : 4 * (start + length)]
                     classes.add((ids[words.lo + i], start, length, piece, total))
                     start += length
-            if len(classes.done) >= 4000:
+            if len(classes.done) >= 1000:
                 yield _batch(classes.done)
                 classes.done = []
     classes.finish()
