@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from areaneed.llm.ann import tree_neighbours
 from areaneed.llm.decontam import decontaminate
+from areaneed.llm.divergence import source_divergence
+from areaneed.llm.exact import mark_copies
+from areaneed.llm.fim import fill_in_middle, restore_text
 from areaneed.llm.jaccard import jaccard_components
 from areaneed.llm.licenses import scan_licenses
 from areaneed.llm.packing import harmonic_pack
@@ -174,6 +177,39 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as fill-in-the-middle examples, and their texts restored from those."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = restore_text(fill_in_middle(docs, seed=1, percent=90, suffix_first_percent=20))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words by which sources differ from their language, and distances between sources."""
+    docs = read(spark, sf_dir, "documents").select("lang", "source", "text")
+    return source_divergence(docs, least_docs=30, top=50)
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its copies that stays."""
+    marks = mark_copies(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return marks.select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_substring_dedup": op2_substring_dedup,
@@ -185,6 +221,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_licenses": op9_licenses,
     "op10_sharding": op10_sharding,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLES = {
@@ -280,4 +319,82 @@ select words.doc_id, cast(len(w) as bigint) as n_words,
   cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
   sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join hit using (doc_id) left join named using (doc_id)""",
+    "op11_fill_in_middle": r"""
+with hashed as (
+  select doc_id, coalesce(text, '') as t, cast(length(coalesce(text, '')) as bigint) as n,
+    sha256('1:' || cast(doc_id as varchar)) as h
+  from documents
+), drawn as (
+  select doc_id, t, n,
+    least(cast('0x' || substr(h, 1, 8) as bigint) % (n + 1),
+      cast('0x' || substr(h, 9, 8) as bigint) % (n + 1)) as x,
+    greatest(cast('0x' || substr(h, 1, 8) as bigint) % (n + 1),
+      cast('0x' || substr(h, 9, 8) as bigint) % (n + 1)) as y,
+    case when n = 0 or h is null or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+        or cast('0x' || substr(h, 17, 8) as bigint) % 100 >= 90 then 'plain'
+      when cast('0x' || substr(h, 25, 8) as bigint) % 100 < 20 then 'spm' else 'psm' end as form
+  from hashed
+), cut as (
+  select *, substring(t, 1, x) as p, substring(t, x + 1, y - x) as m, substring(t, y + 1) as s
+  from drawn
+)
+select doc_id, n, form, case when form <> 'plain' then x end as prefix_chars,
+  case when form <> 'plain' then y - x end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from cut""",
+    "op12_source_divergence": r"""
+with d as (
+  select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r,
+    regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), per_doc as (
+  select lang, source, r, term, count(*) as n
+  from (select lang, source, r, unnest(w) as term from d) t group by all
+), kept as (
+  select lang, term from per_doc group by lang, term having count(*) >= 30
+), sizes as (
+  select lang, count(*) as v from kept group by lang
+), groups as (
+  select distinct lang, source from d
+), counts as (
+  select lang, source, term, sum(n) as n from per_doc join kept using (lang, term) group by all
+), cells as (
+  select lang, g.source, term, coalesce(c.n, 0) as n
+  from groups g join kept using (lang) left join counts c using (lang, source, term)
+), source_p as (
+  select lang, source, term, n, 1 + (cast(n + 5 as hugeint) * 1000000000)
+    // cast(sum(n) over (partition by lang, source) + 5 * v as hugeint) as p
+  from cells join sizes using (lang)
+), lang_p as (
+  select lang, term, 1 + (cast(n + 5 as hugeint) * 1000000000)
+    // cast(sum(n) over (partition by lang) + 5 * v as hugeint) as q
+  from (select lang, term, sum(n) as n from counts group by lang, term) t join sizes using (lang)
+), sums as (
+  select lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from source_p a join source_p b using (lang, term) where a.source <> b.source
+  group by lang, a.source, b.source
+), parts as (
+  select lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from groups a join groups b using (lang) left join sums s
+    on s.lang = a.lang and s.source = a.source and s.item = b.source
+  where a.source <> b.source
+  union all
+  select lang, source, 'term', term, p - q from source_p join lang_p using (lang, term)
+  where n > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from parts
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from ranked where part = 'pair' or rank <= 50""",
+    "op13_exact_dedup": r"""
+select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+  doc_id = min(doc_id) over same as kept, sha256(t) as text_sha256
+from (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t
+      from documents) d
+window same as (partition by t)""",
 }

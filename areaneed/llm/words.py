@@ -143,3 +143,19 @@ def int64(values: np.ndarray) -> pa.Array:
 def text_column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     column = batch.column(name)
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def byte_slices(
+    batches: Iterator[pa.RecordBatch], name: str, limit: int
+) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in order, in slices of about ``limit`` bytes of a string column
+    (a longer value is a slice of its own)."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0)
+        before = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))])
+        lo = 0
+        while lo < batch.num_rows:
+            hi = int(np.searchsorted(before, before[lo] + limit, side="right")) - 1
+            hi = min(batch.num_rows, max(hi, lo + 1))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
