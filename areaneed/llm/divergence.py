@@ -5,7 +5,8 @@
    text that a third of all rows hold travels once a task.
 2. Each distinct text is cut into terms once; its counts, and one for each of its documents, are
    added to every source that has it, times its rows there. A task keeps sums and hands them on
-   whenever it holds ``_MOST_SUMS`` of them.
+   whenever it holds ``_MOST_SUMS`` of them, one row a term with its sums by source. These rows
+   meet by term, and that one exchange gives the sums of the sources and of the language.
 3. Terms in enough documents of a language are kept. All shares are whole numbers of 1 / ``scale``.
 4. Sparse pair evaluation: two sources differ by the distance of their shares of an absent
    term, once for each kept term, and by a correction for the terms that one of them has. The
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 from areaneed.llm.words import byte_slices
 from areaneed.sources.scratch import materialise
 
-_SUMS = "lang string, source string, term string, n long, docs long"
-_MOST_SUMS = 200_000
+_SUMS = "lang string, term string, entries array<struct<source: string, n: bigint, docs: bigint>>"
+_MOST_SUMS = 800_000
 _SLICE_BYTES = 4 << 20
+_ROWS = 20_000
 #: Letters and all bytes beyond ASCII stay, capitals A-Z become small, all else parts terms.
 _LETTERS = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -46,7 +48,7 @@ def source_divergence(
     smoothing: int = 5,
     scale: int = 1_000_000_000,
     top: int = 50,
-    block_rows: int = 500_000,
+    block_rows: int = 50_000,
 ) -> DataFrame:
     """Rows (lang, source, part, item, value, rank) for every occurring language and source.
 
@@ -67,18 +69,14 @@ def source_divergence(
             for c, name in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))
         ]
     )
-    sums = materialise(_term_sums(base), "divergence-sums")
-    by_lang = (
-        sums.groupBy("lang", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
-        .where(F.col("docs") >= least_docs)
+    terms = materialise(
+        _term_sums(base).where(F.col("docs") >= least_docs).drop("docs"), "divergence-terms"
     )
-    kept = materialise(
-        sums.join(by_lang, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"),
-        "divergence-kept",
+    kept = terms.select("lang", "term", "lang_n", F.explode("entries").alias("x"))
+    kept = kept.select("lang", "x.source", "term", "x.n", "lang_n")
+    sizes = materialise(
+        _group_sizes(base.select("lang", "source"), terms, kept), "divergence-sizes"
     )
-    sizes = _group_sizes(base.select("lang", "source"), kept)
-    sizes = materialise(sizes, "divergence-sizes")
 
     def share(n: Column, total: str) -> Column:
         scaled = (n + F.lit(smoothing)).cast("decimal(20,0)") * F.lit(scale).cast("decimal(10,0)")
@@ -89,7 +87,7 @@ def source_divergence(
         share(F.col("lang_n"), "lang_total").alias("q"),
     )
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    terms = (
+    above = (
         shares.where("p > q")
         .select(
             "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
@@ -130,11 +128,12 @@ def source_divergence(
         .select("lang", "x.source", F.lit("pair").alias("part"), "x.item", "value")
         .withColumn("rank", F.row_number().over(order))
     )
-    return pairs.unionByName(terms)
+    return pairs.unionByName(above)
 
 
 def _term_sums(base: DataFrame) -> DataFrame:
-    """Occurrences (``n``) and documents (``docs``) of each term in each source of a language."""
+    """Each term of a language with its documents (``docs``) and occurrences (``lang_n``) there, and
+    the occurrences in each source that has it (``entries``)."""
     keyed = base.withColumn("digest", F.unhex(F.sha2("text", 256)))
     rows = (
         keyed.groupBy("lang", "digest", "source")
@@ -144,30 +143,42 @@ def _term_sums(base: DataFrame) -> DataFrame:
     )
     # Equal digests are equal texts; one is kept in each map task, and one of those by the shuffle.
     texts = keyed.groupBy("lang", "digest").agg(F.min("text").alias("text"))
-    return (
+    # A term has one row a task at most, or one each time a task hands its sums on. Both sums
+    # below are by this exchange.
+    dealt = (
         texts.join(rows, ["lang", "digest"])
         .select("lang", "sources", "text")
         .mapInArrow(partial(_add_terms, most=_MOST_SUMS), _SUMS)
-        .groupBy("lang", "source", "term")
+        .repartition("lang", "term")
+    )
+    return (
+        dealt.select("lang", "term", F.explode("entries").alias("x"))
+        .select("lang", "term", "x.*")
+        .groupBy("lang", "term", "source")
         .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        .groupBy("lang", "term")
+        .agg(
+            F.sum("docs").alias("docs"),
+            F.sum("n").alias("lang_n"),
+            F.collect_list(F.struct("source", "n")).alias("entries"),
+        )
     )
 
 
-def _group_sizes(groups: DataFrame, kept: DataFrame) -> DataFrame:
+def _group_sizes(groups: DataFrame, terms: DataFrame, kept: DataFrame) -> DataFrame:
     """Of each occurring language and source: all counts there and in the language, the number of
     kept terms (``v``) and of their entries in the language's sources."""
-    by_source = kept.groupBy("lang", "source").agg(
-        F.sum("n").alias("total"), F.count("*").alias("own")
-    )
-    by_lang = by_source.groupBy("lang").agg(
-        F.sum("total").alias("lang_total"), F.sum("own").alias("entries")
+    by_source = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    by_lang = terms.groupBy("lang").agg(
+        F.sum("lang_n").alias("lang_total"),
+        F.sum(F.size("entries")).alias("entries"),
+        F.count("*").alias("v"),
     )
-    terms = kept.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("v"))
     zero = {"total": 0, "lang_total": 0, "entries": 0, "v": 0}
     return (
         groups.distinct()
-        .join(by_source.drop("own"), ["lang", "source"], "left")
-        .join(by_lang.join(terms, "lang"), "lang", "left")
+        .join(by_source, ["lang", "source"], "left")
+        .join(by_lang, "lang", "left")
         .fillna(zero)
     )
 
@@ -202,18 +213,30 @@ def _add_terms(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Reco
 
 
 def _sum_rows(sums: dict[tuple, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-    for (lang, source), (n, docs) in sums.items():
-        terms = list(n)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * len(terms), pa.string()),
-                pa.array([source] * len(terms), pa.string()),
-                pa.array(terms, pa.binary()).cast(pa.string()),
-                pa.array(list(n.values()), pa.int64()),
-                pa.array([docs[x] for x in terms], pa.int64()),
-            ],
-            ["lang", "source", "term", "n", "docs"],
-        )
+    """One row a language and term, ``_ROWS`` at a time."""
+    for lang in {lang for lang, _ in sums}:
+        own = [(source, *x) for (of, source), x in sums.items() if of == lang]
+        sources = pa.array([source for source, _, _ in own], pa.string())
+        names = pa.array([x for _, n, _ in own for x in n], pa.binary())
+        terms = names.cast(pa.string()).dictionary_encode()
+        code = terms.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(code, kind="stable")
+        edge = np.searchsorted(code[order], np.arange(len(terms.dictionary) + 1))
+        of = np.repeat(np.arange(len(own)), [len(n) for _, n, _ in own])[order]
+        n = np.fromiter((k for _, n, _ in own for k in n.values()), np.int64, len(code))[order]
+        docs = np.fromiter((d[x] for _, n, d in own for x in n), np.int64, len(code))[order]
+        for lo in range(0, len(edge) - 1, _ROWS):
+            cut = edge[lo : lo + _ROWS + 1]
+            part = slice(cut[0], cut[-1])
+            entries = pa.StructArray.from_arrays(
+                [sources.take(pa.array(of[part])), pa.array(n[part]), pa.array(docs[part])],
+                ["source", "n", "docs"],
+            )
+            rows = pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), entries)
+            found = terms.dictionary.slice(lo, len(rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(rows), pa.string()), found, rows], ["lang", "term", "entries"]
+            )
 
 
 def _block_distances(cells: pa.Table, sources: pa.Table) -> pa.Table:

@@ -132,7 +132,14 @@ def test_source_divergence_of_large_counts_is_exact(spark):
     rows = [("en", s, f"t x") for s in "ab" for i in range(6)]
     docs = spark.createDataFrame(rows, "lang string, source string, text string")
     real, factor = divergence._term_sums, 10**13 + 7
-    divergence._term_sums = lambda base: real(base).withColumn("n", F.col("n") * factor)
+    divergence._term_sums = lambda base: real(base).withColumns(
+        {
+            "lang_n": F.col("lang_n") * factor,
+            "entries": F.transform(
+                "entries", lambda x: x.withField("n", x["n"] * factor)
+            ),
+        }
+    )
     try:
         found = source_divergence(docs, least_docs=1).collect()
     finally:
