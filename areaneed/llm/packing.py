@@ -1,22 +1,28 @@
 """Token packing in harmonic classes, each worker for itself.
 
-A document's ids are cut into pieces of whole sequences and of halves, quarters and so on of one: class
-j holds pieces of a 2^j-th of the capacity, and a sequence of class j takes exactly 2^j of
-them. So a full sequence has no padding, whatever the lengths. Each partition fills its own
-sequences in one pass, keeping the open ones of every class (fewer than two times the capacity
-in pieces). At its end their pieces fill common sequences, largest first, and the rest is cut into
-sequences whose length is a power of two. No shuffle, no state across workers; a partition
-that is run again gives the same sequences.
-
-Ids are those of the given tokenizer for the whole text. They are looked up word by word: its
-pre-tokenizer never joins two words, so each distinct word of a task is encoded once. Words of plain
-letters with punctuation after them share the ids of their letters.
+A document's ids are first cut into pieces of whole sequences, as long as it has enough. Its rest, of
+length r, belongs to class j, with capacity / (j + 1) < r <= capacity / j, and a sequence of class j is
+filled with exactly j rests. What such a sequence then lacks is cut from the head of the next
+document, so a full sequence has no padding and a document is cut only to fill what is left. Each
+partition fills its own sequences in one pass, with one open sequence a class (fewer than two
+times the square root of the capacity) and at most one that lacks ids. At its end their pieces are
+laid one after the other into common sequences, and the last of these is cut into sequences
+whose length is a power of two. No shuffle, no state across workers; a partition that is
+run again gives the same sequences.
+
+Ids are those of the given tokenizer for the whole text, looked up under the strings themselves. A
+text of ASCII and composed Latin letters is cut into the tokenizer's own pre-tokens, other texts into
+words, which its pre-tokenizer never joins. Both are kept with their ids in stores that a worker
+process keeps from task to task and that are bounded by their bytes.
 """
 
+import os
 import re
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 from functools import partial
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +30,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaneed.llm.words import Words, chunks, text_column
+from areaneed.llm.words import byte_slices
 
 _PIECES = (
     "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
-#: Latin letters that are their own composed form, then punctuation without the apostrophe.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-_MOST_WORDS = 500_000
-_CHUNK_BYTES = 1 << 19  # a task holds a few dozen bytes for each byte of a chunk
+# Letters that are their own composed form, and ASCII without controls that are not white space.
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+# Pre-tokens of such a text in lower case: fixed values of the tokenizer's file.
+_PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+_SPECIAL = "<|"  # opens the special tokens, which are found before pre-tokens are cut
+_STORE_BYTES = 96 << 20  # of strings and ids in each of two generations
+_ENTRY_BYTES = 190  # of an entry beside its string and ids
+_SLICE_BYTES = 1 << 19  # a task holds a few dozen bytes for each byte of a slice
+_LINE, _LINES = 500, 8  # strings encoded at once
+_ROWS = 1000
 
 
 def harmonic_pack(
@@ -47,7 +59,8 @@ def harmonic_pack(
     (little-endian unsigned 32-bit), ``doc_tokens``, ``sequence_id`` and ``offset`` in it.
 
     A document is the tokenizer's ids of its text and then ``end_id``; ``doc_tokens`` counts both.
-    ``capacity`` is a power of two. Within a sequence the offsets have no gap.
+    ``capacity`` is a power of two. Within a sequence the offsets have no gap. Every sequence is full
+    or as long as a power of two.
 
     A null or empty text is ``end_id`` alone, so every row has at least one piece. A null id stays
     null; rows with equal ids are packed one by one. Other columns are not read. An
@@ -64,16 +77,49 @@ def harmonic_pack(
     return base.mapInArrow(pack, _PIECES).withColumnRenamed("id", id_col)
 
 
+class _Store:
+    """Ids by string in two generations, so that what is used again outlives what is not."""
+
+    def __init__(self, encode: Callable[[list], Iterator[bytes]]) -> None:
+        self.encode = encode
+        self.young: dict = {}
+        self.old: dict = {}
+        self.used = 0
+
+    def of(self, texts: list[list]) -> Iterator[bytes]:
+        """The ids of each text, given as its strings."""
+        if self.used > _STORE_BYTES:
+            self.young, self.old, self.used = {}, self.young, 0
+        flat = list(chain.from_iterable(texts))
+        found = list(map(self.young.get, flat))
+        places = [i for i, ids in enumerate(found) if ids is None]
+        missing = {flat[i] for i in places}
+        known = {key: self.old[key] for key in missing if key in self.old}
+        new = [key for key in missing if key not in known]
+        for lo in range(0, len(new), _LINE * _LINES):
+            part = new[lo : lo + _LINE * _LINES]
+            known.update(zip(part, self.encode(part), strict=True))
+        self.used += sum(map(len, known)) + sum(map(len, known.values()))
+        self.used += _ENTRY_BYTES * len(known)
+        self.young.update(known)
+        for i in places:
+            found[i] = known[flat[i]]
+        lo = 0
+        for text in texts:
+            yield b"".join(found[lo : lo + len(text)])
+            lo += len(text)
+
+
 class _Ids:
-    """Token ids of words, each distinct word encoded once."""
+    """Token ids of texts, as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        # Letters in lower case need no normaliser and are one pre-token each.
-        self.letters = Tokenizer(self.whole.model)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+        # The same model for pre-tokens that are cut and in lower case already.
+        self.cut = Tokenizer(self.whole.model)
+        self.cut.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
@@ -82,104 +128,92 @@ class _Ids:
         vocab = self.whole.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.reset()
-
-    def reset(self) -> None:
-        self.place: dict[int, int] = {}  # hash of a word -> its number
-        self.cores: dict[str, bytes] = {}  # ids as unsigned 32-bit numbers, here and below
-        self.marks: dict[str, bytes] = {}
-        self.store = np.zeros(1 << 16, np.uint32)
-        self.edge = np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.pre_tokens = _Store(self._encode_pre_tokens)
+        self.words = _Store(self._encode_words)
+
+    def of(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text."""
+        plain, other = {}, {}
+        for i, data in enumerate(texts):
+            text = (data or b"").decode()
+            if _PLAIN.fullmatch(text) and _SPECIAL not in text:
+                plain[i] = _PRE_TOKENS.findall(text.lower())
+            else:
+                # The words of bytes.split() are those between blanks, tabs and line ends.
+                other[i] = data.split()
+        out = dict(zip(plain, self.pre_tokens.of(list(plain.values())), strict=True))
+        out.update(zip(other, self.words.of(list(other.values())), strict=True))
+        return [out[i] for i in range(len(texts))]
+
+    def _encode_words(self, words: list[bytes]) -> Iterator[bytes]:
+        texts = [x.decode() for x in words]
+        for x in self.whole.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(x.ids, "<u4").tobytes()
 
-    def _encode_letters(self, cores: list[str]) -> None:
-        lines = [" ".join(cores[i : i + 1000]) for i in range(0, len(cores), 1000)]
-        done = self.letters.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.concatenate([np.array(x.ids, np.uint32) for x in done])
+    def _encode_pre_tokens(self, pre_tokens: list[str]) -> Iterator[bytes]:
+        lines = [" ".join(pre_tokens[i : i + _LINE]) for i in range(0, len(pre_tokens), _LINE)]
+        done = self.cut.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, "<u4") for x in done])
         ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-        if len(ends) != len(cores):
+        if len(ends) != len(pre_tokens):
             raise ValueError("the tokenizer does not mark the ends of words")
-        data = ids.tobytes()
-        pieces = [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        self.cores.update(zip(cores, pieces, strict=True))
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found: list = [None] * len(words)
-        plain, other, new = [], [], {}
-        for i, word in enumerate(words):
-            match = _PLAIN.fullmatch(word)
-            if match:
-                core, mark = match[1].lower(), match[2]
-                plain.append((i, core, mark))
-                if core not in self.cores:
-                    new[core] = None
-            else:
-                other.append(i)
-        if new:
-            self._encode_letters(list(new))
-        done = self.whole.encode_batch_fast([words[i] for i in other], add_special_tokens=False)
-        for i, x in zip(other, done, strict=True):
-            found[i] = np.array(x.ids, np.uint32).tobytes()
-        for i, core, mark in plain:
-            ids = self.cores[core]
-            if mark:
-                if mark not in self.marks:
-                    own = self.whole.encode(mark, add_special_tokens=False).ids
-                    self.marks[mark] = np.array(own, np.uint32).tobytes()
-                ids += self.marks[mark]
-            found[i] = ids
-        return found
-
-    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a chunk's words, one after the other; where each word's begin."""
-        if len(self.place) > _MOST_WORDS:
-            self.reset()
-        values, at, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        place = self.place
-        known = np.fromiter(map(place.get, values.tolist(), repeat(-1)), np.int64, len(values))
-        missing = np.flatnonzero(known < 0)
-        if len(missing):
-            start, end = words.start[at[missing]].tolist(), words.end[at[missing]].tolist()
-            data = words.data.tobytes()
-            new = self._encode(
-                [data[a:b].decode() for a, b in zip(start, end, strict=True)]
-            )
-            size = np.fromiter(map(len, new), np.int64, len(new)) // 4
-            n, total = len(place), int(size.sum())
-            while self.used + total > len(self.store):
-                self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-            while n + len(new) + 1 > len(self.edge):
-                self.edge = np.concatenate([self.edge, np.zeros_like(self.edge)])
-            self.store[self.used : self.used + total] = np.frombuffer(b"".join(new), np.uint32)
-            self.edge[n + 1 : n + 1 + len(new)] = self.used + np.cumsum(size)
-            self.used += total
-            known[missing] = np.arange(n, n + len(new))
-            place.update(zip(values[missing].tolist(), range(n, n + len(new)), strict=True))
-        number = known[which]
-        size = self.edge[number + 1] - self.edge[number]
-        begin = np.concatenate([[0], np.cumsum(size)])
-        step = np.arange(begin[-1]) - np.repeat(begin[:-1], size)
-        return self.store[np.repeat(self.edge[number], size) + step], begin
+        data, at = ids.tobytes(), 0
+        for end in ends:
+            yield data[at:end]
+            at = end
+
+
+def _worker_ids(path: str) -> _Ids:
+    """The tokenizer of this worker process, which outlives a task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    held = sys.modules.setdefault("_packing_tokenizers", types.ModuleType("_packing_tokenizers"))
+    if path not in held.__dict__:
+        held.__dict__[path] = _Ids(path)
+    return held.__dict__[path]
 
 
 class _Classes:
-    """Open sequences of each class, and the pieces that wait in them."""
+    """The open sequence of each class, and the one that lacks ids."""
 
     def __init__(self, capacity: int, first: int):
         self.capacity = capacity
         self.next = first
         self.open: dict[int, list[tuple]] = {}
+        self.short: list[tuple] = []
+        self.lack = 0
         self.done: list[tuple] = []
 
-    def add(self, piece: tuple) -> None:
-        length = piece[2]
-        if length == self.capacity:
-            self.close([piece])
-            return
-        waiting = self.open.setdefault(length, [])
-        waiting.append(piece)
-        if len(waiting) * length == self.capacity:
-            self.close(self.open.pop(length))
+    def add(self, key: int | None, data: bytes) -> None:
+        """Place the ids of one document."""
+        total, start = len(data) // 4, 0
+
+        def piece(length: int) -> tuple:
+            return key, start, length, data[4 * start : 4 * (start + length)], total
+
+        if self.lack:
+            taken = min(self.lack, total)
+            self.short.append(piece(taken))
+            self.lack -= taken
+            start = taken
+            if not self.lack:
+                self.close(self.short)
+        while total - start >= self.capacity:
+            self.close([piece(self.capacity)])
+            start += self.capacity
+        if start < total:
+            count = self.capacity // (total - start)
+            row = self.open.setdefault(count, [])
+            row.append(piece(total - start))
+            if len(row) == count:
+                self.full(self.open.pop(count))
+
+    def full(self, row: list[tuple]) -> None:
+        """A class has its number of rests; what the sequence lacks comes from the next document."""
+        self.lack = self.capacity - sum(x[2] for x in row)
+        if self.lack:
+            self.short = row
+        else:
+            self.close(row)
 
     def close(self, pieces: list[tuple]) -> None:
         offset = 0
@@ -189,19 +223,22 @@ class _Classes:
         self.next += 1
 
     def finish(self) -> None:
-        """Powers of two, largest first, end exactly where a sequence is full."""
-        rest = [x for length in sorted(self.open, reverse=True) for x in self.open[length]]
+        """All open pieces one after the other: full sequences, then powers of two."""
+        rest = self.short if self.lack else []
+        for count in sorted(self.open):
+            rest = rest + self.open[count]
         left = sum(x[2] for x in rest)
-        filled, row = 0, []
-        for piece in rest:
-            size = min(self.capacity, 1 << (left.bit_length() - 1)) if not row else size
-            row.append(piece)
-            filled += piece[2]
-            if filled == size:
-                self.close(row)
-                left -= filled
-                filled, row = 0, []
-        self.open.clear()
+        row, room = [], min(self.capacity, 1 << (left.bit_length() - 1)) if left else 0
+        for key, start, length, data, total in rest:
+            while length:
+                taken = min(room, length)
+                row.append((key, start, taken, data[: 4 * taken], total))
+                start, length, data = start + taken, length - taken, data[4 * taken :]
+                room, left = room - taken, left - taken
+                if not room:
+                    self.close(row)
+                    row, room = [], min(self.capacity, 1 << (left.bit_length() - 1)) if left else 0
+        self.open, self.short, self.lack = {}, [], 0
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -224,24 +261,15 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int):
     # A worker's sequences are numbered in a range of its own.
     classes = _Classes(capacity, TaskContext.get().partitionId() << 40)
-    table = None
-    for batch in batches:
-        ids = batch.column("id").to_pylist()
-        for words in chunks(text_column(batch, "text"), _CHUNK_BYTES):
-            table = table or _Ids(path)
-            tokens, begin = table.of(words)
-            edge = begin[words.first].tolist()
-            for i in range(words.hi - words.lo):
-                own = np.append(tokens[edge[i] : edge[i + 1]], np.uint32(end_id)).astype("<u4")
-                total, data, start = len(own), own.tobytes(), 0
-                while start < total:
-                    length = min(capacity, 1 << ((total - start).bit_length() - 1))
-                    piece = data[4 * start : 4 * (start + length)]
-                    classes.add((ids[words.lo + i], start, length, piece, total))
-                    start += length
-            if len(classes.done) >= 1000:
+    end = np.array([end_id], "<u4").tobytes()
+    for batch in byte_slices(batches, "text", _SLICE_BYTES):
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        keys = batch.column("id").to_pylist()
+        for key, ids in zip(keys, _worker_ids(path).of(texts), strict=True):
+            classes.add(key, ids + end)
+            if len(classes.done) >= _ROWS:
                 yield _batch(classes.done)
                 classes.done = []
     classes.finish()
-    if classes.done:
-        yield _batch(classes.done)
+    for lo in range(0, len(classes.done), _ROWS):
+        yield _batch(classes.done[lo : lo + _ROWS])
