@@ -2,14 +2,19 @@
 
 1. Equal vectors go on as one; of each the smallest ``k + 1`` ids are kept, which is all that any answer
    can name.
-2. The tree is fitted on a bounded sample (``sample`` distinct vectors, taken by hash); every vector
-   is then put into its leaf. The tree is the one thing that is broadcast; its size follows from
-   ``sample``.
-3. The number of leaves a query visits is calibrated: for ``probe`` queries the exact answer over all
-   vectors is computed in one scan, and visits are widened until the leaves visited hold the
-   ``recall`` asked for. Leaves are taken from a priority queue, the nearest open branch first.
-4. Queries travel to the leaves they visit. A leaf with many vectors or many queries is cut into
-   blocks, so a task multiplies two matrices of a bounded size.
+2. The tree is fitted on a bounded sample (``sample`` distinct vectors, taken by hash) and has at most
+   ``leaves`` leaves; every vector is then put into its leaf. The tree is the one thing that
+   is broadcast; its size follows from ``leaves``.
+3. A priority queue gives a query its leaves, the open branch with the best outlook first: the inner
+   product with the centroid and twice what the branch spreads along one direction. The
+   number of leaves is calibrated: for ``probe`` queries the exact answer over all vectors is computed
+   in one scan, and visits are widened until all but ``spared`` of these queries each find
+   the part ``recall`` of their neighbours. A query goes on until its leaves also hold
+   ``k + 1`` distinct vectors, so it always finds ``k`` where there are as many.
+4. Leaves are put together in ``_GROUPS`` neighbouring groups of about the same size. A query travels
+   once to each group it visits, with the list of its leaves there, so what is shuffled grows
+   with vectors and queries and not with visits. Groups with many vectors or queries are cut into
+   blocks, so a task multiplies matrices of a bounded size.
 """
 
 import heapq
@@ -23,7 +28,9 @@ from pyspark.sql import functions as F
 
 from areaneed.sources.scratch import materialise
 
-_BLOCK = 4096
+_GROUPS = 16
+_BLOCK_BYTES = 16 << 20  # of the vectors, or the queries, of a block
+_SCORES = 4_000_000  # held at once
 
 
 class Tree:
@@ -34,6 +41,7 @@ class Tree:
         self.leaf: list[int] = [0]
         self.n_leaves = 0
         centroids = [points.mean(axis=0) if len(points) else np.zeros(points.shape[1])]
+        spread = [_spread(points, centroids[0])]
         most = max(1, -(-len(points) // max(1, leaves)))
         rng = np.random.default_rng(seed)
         todo = [(0, points)]
@@ -47,11 +55,18 @@ class Tree:
             for centre, rows in parts:
                 child = len(centroids)
                 centroids.append(centre)
+                spread.append(_spread(own[rows], centre))
                 self.children.append([])
                 self.leaf.append(-1)
                 self.children[node].append(child)
                 todo.append((child, own[rows]))
         self.centroids = np.array(centroids)
+        self.spread = np.array(spread)
+
+    def outlook(self, queries: np.ndarray) -> np.ndarray:
+        """What each node promises each query."""
+        length = np.sqrt((queries * queries).sum(axis=1))
+        return queries @ self.centroids.T + 2 * length[:, None] * self.spread
 
     def place(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each vector: at every node the nearest child."""
@@ -70,18 +85,25 @@ class Tree:
                     todo.append((child, own))
         return out
 
-    def best_first(self, near: np.ndarray, visits: int) -> list[int]:
-        """The first leaves that a queue of open branches gives; ``near``: closeness by node."""
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < visits:
+    def best_first(self, outlook: np.ndarray, visits: int, size: np.ndarray, least: int):
+        """The first leaves that a queue of open branches gives: ``visits`` of them, and more until
+        their ``size`` adds up to ``least``."""
+        queue, found, held = [(0.0, 0)], [], 0
+        while queue and (len(found) < visits or held < least):
             _, node = heapq.heappop(queue)
             if not self.children[node]:
                 found.append(self.leaf[node])
+                held += int(size[self.leaf[node]])
             for child in self.children[node]:
-                heapq.heappush(queue, (-near[child], child))
+                heapq.heappush(queue, (-outlook[child], child))
         return found
 
 
+def _spread(points: np.ndarray, centre: np.ndarray) -> float:
+    """Of points around their centre along one direction, on average."""
+    return float(np.sqrt(((points - centre) ** 2).mean())) if points.size else 0.0
+
+
 def _kmeans(points: np.ndarray, k: int, rng) -> list[tuple[np.ndarray, np.ndarray]]:
     centres = points[rng.choice(len(points), k, replace=False)]
     for _ in range(8):
@@ -109,8 +131,10 @@ def tree_neighbours(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 20,
-    recall: float = 0.97,
+    recall: float = 0.95,
+    spared: float = 0.03,
     sample: int = 20_000,
+    leaves: int = 512,
     leaf_vectors: int = 128,
     probe: int = 256,
     branch: int = 8,
@@ -126,7 +150,7 @@ def tree_neighbours(
     null id take no part; rows that repeat an id and vector are one row, and of
     an id with several vectors each counts. Other columns are not read, but by ``is_query``. An empty
     table, or one without queries, gives an empty result; with fewer candidates than ``k`` a query
-    gets them all if it visits all leaves, as it does where there are few.
+    gets them all.
     """
     spark = vectors.sparkSession
     rows = (
@@ -157,43 +181,54 @@ def tree_neighbours(
     rep_hash = F.xxhash64("rep", F.lit(seed))
     taken = distinct.orderBy(rep_hash, "rep").limit(sample).select("v").toPandas()["v"]
     points = np.array(taken.tolist())
-    tree = Tree(points, min(-(-n // leaf_vectors), max(1, len(points) // 4)), branch, seed)
+    leaves = min(-(-n // leaf_vectors), leaves, max(1, len(points) // 4))
+    tree = Tree(points, leaves, branch, seed)
     placed = materialise(
         distinct.mapInArrow(partial(_place, tree=tree), "rep long, v array<double>, q boolean, leaf int"),
         "leaves",
     )
-    visits = _calibrated(placed, tree, k, recall, probe, rep_hash)
-
+    # One row a leaf.
+    size = np.zeros(tree.n_leaves, np.int64)
+    for row in placed.groupBy("leaf").count().collect():
+        size[row["leaf"]] = row["count"]
+    visits = _calibrated(placed, tree, size, k, recall, spared, probe, rep_hash)
+
+    # Neighbouring leaves are numbered one after the other.
+    group = (np.cumsum(size) - size) * _GROUPS // max(1, int(size.sum()))
     asked = materialise(
         placed.where("q")
         .select("rep", "v")
         .mapInArrow(
-            partial(_visit, tree=tree, visits=visits), "rep long, v array<double>, leaf int"
+            partial(_visit, tree=tree, visits=visits, size=size, least=k + 1, group=group),
+            "rep long, v array<double>, bin int, leaves array<int>",
         ),
         "visits",
     )
-    blocks = lambda df, name: df.groupBy("leaf").agg(
-        F.ceil(F.count("*") / _BLOCK).cast("int").alias(name)
+    bins = F.element_at(F.array(*[F.lit(int(x)) for x in group]), F.col("leaf") + 1)
+    placed = placed.withColumn("bin", bins)
+    block = max(1024, _BLOCK_BYTES // (8 * max(1, first["n"])))
+    blocks = lambda df, name: df.groupBy("bin").agg(
+        F.ceil(F.count("*") / block).cast("int").alias(name)
     )
-    cut = blocks(placed, "parts").join(blocks(asked, "asks"), "leaf")
+    cut = blocks(placed, "parts").join(blocks(asked, "asks"), "bin")
     every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     own = lambda name: F.pmod(F.xxhash64("rep"), F.col(name)).cast("int")
     left = (
-        asked.join(cut, "leaf")
+        asked.join(cut, "bin")
         .withColumn("ask", own("asks"))
-        .select("leaf", every("parts").alias("part"), "ask", "rep", "v")
+        .select("bin", every("parts").alias("part"), "ask", "rep", "v", "leaves")
     )
     right = (
-        placed.join(cut, "leaf")
+        placed.join(cut, "bin")
         .withColumn("part", own("parts"))
-        .select("leaf", "part", every("asks").alias("ask"), "rep", "v")
+        .select("bin", "part", every("asks").alias("ask"), "rep", "v", "leaf")
     )
     most = k + 1
 
     def score(queries: pa.Table, points: pa.Table) -> pa.Table:
         return _score(queries, points, most)
 
-    keys = ["leaf", "part", "ask"]
+    keys = ["bin", "part", "ask"]
     scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         score, "query long, rep long, score double"
     )
@@ -235,21 +270,32 @@ def exact_neighbours(
 
 
 def _calibrated(
-    placed: DataFrame, tree: Tree, k: int, recall: float, probe: int, rep_hash: Column
+    placed: DataFrame,
+    tree: Tree,
+    size: np.ndarray,
+    k: int,
+    recall: float,
+    spared: float,
+    probe: int,
+    rep_hash: Column,
 ) -> int:
-    """Leaves to visit so that ``probe`` queries find the part ``recall`` of their neighbours."""
+    """Leaves to visit so that all but ``spared`` of ``probe`` queries find the part ``recall``."""
     some = placed.where("q").orderBy(rep_hash, "rep").limit(probe).select("rep", "v").toPandas()
     if some.empty:
         return 1
     ids, queries = some["rep"].to_numpy(np.int64), np.array(some["v"].tolist())
     truth = exact_neighbours(placed, ids, queries, k + 1).select("query", "leaf").toPandas()
-    near = queries @ tree.centroids.T
-    turn = {}
-    for i, id_ in enumerate(ids.tolist()):
-        leaves = tree.best_first(near[i], tree.n_leaves)
-        turn[id_] = {leaf: v for v, leaf in enumerate(leaves, 1)}
-    needed = np.sort([turn[q][leaf] for q, leaf in truth.itertuples(index=False)])
-    return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)])
+    outlook = tree.outlook(queries)
+    needed = []
+    place = {query: i for i, query in enumerate(ids.tolist())}
+    for query, leaves in truth.groupby("query")["leaf"]:
+        order = tree.best_first(outlook[place[query]], tree.n_leaves, size, 0)
+        turn = np.empty(tree.n_leaves, np.int64)
+        turn[order] = np.arange(1, tree.n_leaves + 1)
+        turns = np.sort(turn[leaves.to_numpy()])
+        needed.append(turns[max(0, int(np.ceil(recall * len(turns))) - 1)])
+    needed = np.sort(needed)
+    return int(needed[max(0, int(np.ceil((1 - spared) * len(needed))) - 1)])
 
 
 def _matrix(column: pa.Array, n: int) -> np.ndarray:
@@ -265,21 +311,34 @@ def _place(batches: Iterator[pa.RecordBatch], tree: Tree):
             yield pa.RecordBatch.from_arrays([*columns, leaf], ["rep", "v", "q", "leaf"])
 
 
-def _visit(batches: Iterator[pa.RecordBatch], tree: Tree, visits: int):
+def _visit(
+    batches: Iterator[pa.RecordBatch],
+    tree: Tree,
+    visits: int,
+    size: np.ndarray,
+    least: int,
+    group: np.ndarray,
+):
+    """One row a query and group of leaves, with the leaves to visit there."""
     for batch in batches:
-        # A part of a batch at a time: each of its rows is written once a visit.
+        # A part of a batch at a time: each of its rows is written once a group.
         for lo in range(0, len(batch), 256):
             part = batch.slice(lo, 256)
-            near = _matrix(part.column("v"), len(part)) @ tree.centroids.T
-            leaves = [tree.best_first(x, visits) for x in near]
-            rows = np.repeat(np.arange(len(part)), [len(x) for x in leaves])
+            rows, bins, leaves = [], [], []
+            for i, x in enumerate(tree.outlook(_matrix(part.column("v"), len(part)))):
+                own = np.sort(tree.best_first(x, visits, size, least))
+                for found in np.split(own, np.flatnonzero(np.diff(group[own])) + 1):
+                    rows.append(i)
+                    bins.append(group[found[0]])
+                    leaves.append(found.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("rep").take(pa.array(rows)),
                     part.column("v").take(pa.array(rows)),
-                    pa.array(np.concatenate(leaves).astype(np.int32)),
+                    pa.array(bins, pa.int32()),
+                    pa.array(leaves, pa.list_(pa.int32())),
                 ],
-                ["rep", "v", "leaf"],
+                ["rep", "v", "bin", "leaves"],
             )
 
 
@@ -298,15 +357,29 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def _score(queries: pa.Table, points: pa.Table, k: int) -> pa.Table:
+    """The ``k`` best points of each query among the leaves it visits."""
     if not len(queries) or not len(points):
         empty = pa.array([], pa.int64())
         return pa.table({"query": empty, "rep": empty, "score": pa.array([], pa.float64())})
+    points = points.sort_by("leaf")
     own, ids = queries.column("rep").to_numpy(), points.column("rep").to_numpy()
     x, y = _matrix(queries.column("v"), len(own)), _matrix(points.column("v"), len(ids))
+    here, begin = np.unique(points.column("leaf").to_numpy(), return_index=True)
+    ends = [*begin[1:].tolist(), len(ids)]
+    lists = queries.column("leaves").combine_chunks()
+    wanted = lists.flatten().to_numpy(zero_copy_only=False)
+    asker = np.repeat(np.arange(len(own)), lists.value_lengths().to_numpy(zero_copy_only=False))
     query, rep, score = [], [], []
-    for lo in range(0, len(own), 512):
-        scores = x[lo : lo + 512] @ y.T
+    step = max(1, _SCORES // len(ids))
+    for lo in range(0, len(own), step):
+        scores = np.full((min(step, len(own) - lo), len(ids)), -np.inf)
+        some = (asker >= lo) & (asker < lo + step)
+        for leaf, a, b in zip(here.tolist(), begin.tolist(), ends, strict=True):
+            rows = asker[some & (wanted == leaf)] - lo
+            scores[rows, a:b] = x[lo + rows] @ y[a:b].T
         rows, columns = _best(scores, ids, k)
+        seen = scores[rows, columns] > -np.inf
+        rows, columns = rows[seen], columns[seen]
         query.append(own[lo + rows])
         rep.append(ids[columns])
         score.append(scores[rows, columns])
