@@ -40,7 +40,13 @@ def _cut(text: Column) -> Column:
 def _coarse_words(text: Column) -> Column:
     """As ``words``, but with every letter in lower case: much faster, the same word borders,
     and equal wherever ``words`` are equal. Good for finding candidates."""
-    return _cut(F.lower(text))
+    return _cut(_lower(text))
+
+
+def _lower(text: Column) -> Column:
+    """Lower case of each letter by itself. Only that of the capital sigma depends on the letters
+    beside it, so it is replaced first: a text and its words taken alone give the same."""
+    return F.lower(F.replace(text, F.lit("Σ"), F.lit("σ")))
 
 
 def _let(value: Column, body) -> Column:
@@ -126,7 +132,7 @@ def decontaminate(
         .distinct(),
         "benchmark-windows",
     )
-    coarse = item_words.select(F.transform("w", lambda x: F.lower(x)).alias("w"))
+    coarse = item_words.select(F.transform("w", lambda x: _lower(x)).alias("w"))
     marks = _kept(_with_hashes(coarse.where(n >= window), k), window - k + 1).select(
         F.lit(window).alias("length"), F.explode_outer("f").alias("f")
     ).where("f is not null")

@@ -111,7 +111,7 @@ def jaccard_components(
         .where("all >= c and 2 * left > c - 1")
         .select("centre", "fp", "doc_id", "n")
     )
-    tasks, shards = _blocks(members, group_elements)
+    tasks, shards = _blocks(members, group_elements, p, q)
     tasks = materialise(tasks, "jaccard-tasks")
     # Few documents are searched. What is broadcast has at most _SLOTS rows at any input; a document
     # that only shares a slot with a searched one is left to the join.
@@ -160,10 +160,12 @@ def _long_lists(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return element[order], rows["centre"].to_numpy(np.int64).view(U64)[order]
 
 
-def _blocks(members: DataFrame, group_elements: int) -> tuple[DataFrame, int]:
+def _blocks(members: DataFrame, group_elements: int, p: int, q: int) -> tuple[DataFrame, int]:
     """Document -> the searches it takes part in; the number of shards to run them in."""
-    # Linked sets are of the same size class or of neighbouring ones.
-    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.34))).cast("int")
+    # Of linked sets the larger has at most q / p times the elements of the smaller, so with a ratio
+    # just above that they are of the same size class or of neighbouring ones.
+    ratio = F.log(F.lit(1.005 * q / p))
+    size = F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int")
     members = members.withColumn("size", size)
     groups = (
         members.groupBy("centre", "size")
@@ -220,7 +222,7 @@ def _blocks(members: DataFrame, group_elements: int) -> tuple[DataFrame, int]:
 
 def _sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The set of each row of a chunk, sorted, one after the other; where each begins."""
-    h = words.hashes(LOWER)
+    h = words.digests(LOWER)
     count = words.count()
     per_row = np.where(count >= n, count - n + 1, np.minimum(count, 1))
     offsets = np.concatenate([[0], np.cumsum(per_row)])

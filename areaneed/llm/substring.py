@@ -126,7 +126,7 @@ def substring_dedup(
 
 def _runs(words, window: int, k: int) -> tuple[np.ndarray, ...]:
     """Row, first window, number of windows and minimiser of each run in a chunk."""
-    least = sliding_min(grams(words.hashes(), k), window - k + 1)
+    least = sliding_min(grams(words.digests(), k), window - k + 1)
     count = words.count()
     per_row = np.maximum(count - window + 1, 0)
     rows = np.repeat(np.arange(len(count)), per_row)
@@ -201,7 +201,7 @@ def _sort_windows(table: pa.Table, window: int) -> pa.Table:
     salted = table.column("salted").to_numpy()
     a, b, run, at = [], [], [], []
     for words in chunks(text_column(table, "packed")):
-        h = words.hashes()
+        h = words.digests()
         one, two = grams(h, window), grams(h, window, 0xA0761D6478BD642F)
         per_row = words.count() - window + 1
         rows = np.repeat(np.arange(len(per_row)), per_row)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from xxhash import xxh3_64_intdigest
 
 U64 = np.uint64
 CHUNK_BYTES = 2 << 20
@@ -72,6 +73,26 @@ class Words:
         value = (total[self.end] - total[self.start]) * down[self.start]
         return mix(value + (self.end - self.start).astype(U64))
 
+    def digests(self, letters: np.ndarray = AS_IS) -> np.ndarray:
+        """64 bits that stand for each word, after ``letters`` maps its bytes.
+
+        Up to seven bytes are kept as they are, with their number, so short words never share a value.
+        Longer words are hashed by XXH3; unlike ``hashes`` that follows no rule by which equal sums of
+        different words can be written down.
+        """
+        data = letters[self.data]
+        size = self.end - self.start
+        out = np.minimum(size, 8).astype(U64) << U64(56)
+        padded = np.concatenate([data, np.zeros(7, np.uint8)])
+        for j in range(7):
+            byte = np.where(size > j, padded[self.start + j], 0).astype(U64)
+            out |= byte << U64(8 * j)
+        long = np.flatnonzero(size > 7)
+        text = data.tobytes()
+        ends = zip(self.start[long].tolist(), self.end[long].tolist(), strict=True)
+        out[long] = np.fromiter((xxh3_64_intdigest(text[a:b]) for a, b in ends), U64, len(long))
+        return mix(out)
+
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 

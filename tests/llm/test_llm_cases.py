@@ -168,3 +168,96 @@ def test_tool_call_cases(spark):
     places = sorted(r["position"] for r in rows if r["conv_id"] == "c")
     assert places == list(range(8))
     assert link_tool_calls(calls.limit(0), results.limit(0), {}).count() == 0
+
+
+def thue_morse(a: str, b: str, length: int = 2048) -> tuple[str, str]:
+    """Two words with the same sums of powers: any polynomial hash modulo 2^64 is the same."""
+    bits = [i.bit_count() & 1 for i in range(length)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_words_with_equal_polynomials_are_different_words(spark):
+    x, y = thue_morse("a", "b")
+    around = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join([x, *around])), (2, " ".join([y, *around])), (3, x), (4, y), (5, x.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = {r["doc_id"]: r for r in substring_dedup(docs, window=50).collect()}
+    assert (cut[2]["n_words"], cut[2]["n_removed"]) == (61, 60) and cut[2]["text"].strip() == y
+    out = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs).collect()}
+    assert out == {1: 1, 2: 1, 3: 3, 4: 4, 5: 3}
+    packed = {r["doc_id"]: bytes(r["ids"]) for r in harmonic_pack(docs, tokenizer_path(), end_id=2).collect()}
+    assert packed[3] != packed[4]
+
+
+def test_short_words_are_told_apart_exactly():
+    import pyarrow as pa
+
+    from areaneed.llm.words import LOWER, chunks
+
+    texts = ["a a\x00 \x00a A aaaaaaa aaaaaaaa aaaaaaA aaaaaaaA", "a", "aaaaaaaa " * 3]
+    (words,) = chunks(pa.array(texts))
+    one, two = words.digests(), words.digests(LOWER)
+    assert len(set(one[:8].tolist())) == 8 and one[8] == one[0] and set(one[9:]) == {one[5]}
+    assert two[3] == two[0] and two[6] == two[4] and two[7] == two[5]
+
+
+def test_decontamination_finds_capital_sigma_between_letters(spark):
+    text = "ΤΟ Δ.Σ. ΤΗΣ ΕΤΑΙΡΙΑΣ ΑΣ.Ε Σ ΑΣ'Σ one TWO three ΣΑΣ Kelvin İx four five six seven"
+    items = spark.createDataFrame([("g", text), ("s", "ΑΣ Ε")], "item_id string, text string")
+    rows = [(1, f"before it {text} after"), (2, text.lower()), (3, "x ΑΣ.Ε y"), (4, "ας ε")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in decontaminate(docs, items).collect()}
+    assert found[1]["n_hit"] == found[1]["n_words"] - 3 and found[1]["items"] == ["g", "s"]
+    assert (found[3]["n_hit"], found[3]["items"]) == (2, ["s"])
+    assert not found[4]["contaminated"]
+
+
+@pytest.mark.parametrize("similarity", [(1, 2), (3, 4), (1, 1)])
+def test_jaccard_of_large_groups_beside_all_pairs(spark, similarity):
+    import random
+
+    random.seed(3)
+    p, q = similarity
+    common = [f"c{i}" for i in range(100)]
+    rows = []
+    for i in range(120):
+        own = random.sample(common, random.randrange(40, 100)) + [f"x{i}_{j}" for j in range(random.randrange(30))]
+        rows.append((i, " ".join(own)))
+    rows += [(200, " ".join(common)), (201, " ".join(common[:50])), (202, " ".join([*common, *"abc"]))]
+    sets = {i: frozenset(t.split()) for i, t in rows}
+    least = {i: i for i in sets}
+    for _ in sets:
+        for i, a in sets.items():
+            for j, b in sets.items():
+                if q * len(a & b) >= p * len(a | b):
+                    least[i] = least[j] = min(least[i], least[j])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for elements in (300, 2_000_000):
+        out = jaccard_components(docs, n=1, similarity=similarity, group_elements=elements)
+        assert {r["doc_id"]: r["component_id"] for r in out.collect()} == least
+
+
+def test_neighbours_of_clusters_and_single_outliers(spark):
+    """Every query finds 20, and recall holds for the worst tenth of the queries too."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    centres = 10 * rng.normal(size=(60, 16))
+    x = np.concatenate([np.repeat(centres, 80, axis=0) + 0.3 * rng.normal(size=(4800, 16)),
+                        300 * rng.normal(size=(40, 16)), np.repeat(-30 * centres[:4], 60, axis=0)])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    found = {}
+    is_query = (F.col("vec_id") % 20 == 0) | (F.col("vec_id") >= 4800)
+    for r in tree_neighbours(df, is_query, leaf_vectors=40).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    ids, recall = np.arange(len(x)), []
+    assert sorted(found) == [i for i in ids if i % 20 == 0 or i >= 4800]
+    for q, own in found.items():
+        own.sort()
+        assert [r for r, _, _ in own] == list(range(1, 21)) and q not in [v for _, v, _ in own]
+        scores = x @ x[q]
+        order = [v for v in np.lexsort((ids, -scores)) if v != q][:20]
+        recall.append(len({v for _, v, _ in own} & set(order)) / 20)
+    recall.sort()
+    assert np.mean(recall) >= 0.95 and np.mean(recall[: len(recall) // 10]) >= 0.9
