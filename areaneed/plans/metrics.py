@@ -153,7 +153,9 @@ def _one_fact(
     """Look up small dimensions, count, look up large ones, and add up.
 
     The first count is by the requested columns and the keys of large dimensions, and
-    combines in the map tasks; only counts are shuffled.
+    combines in the map tasks; only counts are shuffled. Facts whose key is null or unknown
+    are counted under a null, so the groups of any dimension add up to the total; a ``where``
+    on a dimension leaves them out, as any comparison with a null does.
     """
     fact = FACTS[name]
     local: dict[str, Column] = {}
@@ -177,7 +179,8 @@ def _one_fact(
             F.col(dim_key).alias(f"_{entity}"),
             *[F.col(c).alias(f"{entity}__{c}") for c in columns],
         )
-        return rows.join(found, f"_{entity}")
+        # A fact without a match keeps its numbers, under a null member.
+        return rows.join(found, f"_{entity}", "left")
 
     keys = {f"_{entity}": F.col(fact.entities[entity][1]) for entity in {**early, **late}}
     rows = facts[name].withColumns({**keys, **local}) if keys or local else facts[name]
@@ -212,7 +215,7 @@ def query_metrics(
     """``metrics`` by ``group_by`` (``metric_time`` or ``entity__column``).
 
     Each fact is aggregated by itself, so joining never multiplies rows; facts then meet
-    on the group columns in a full outer join. ``where`` maps a dimension to a value, a
+    on the group columns in a full outer join, nulls with nulls. ``where`` maps a dimension to a value, a
     list of values, or a function from Column to condition.
     """
     simple = _needed(metrics)

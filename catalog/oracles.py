@@ -626,7 +626,7 @@ O["metrics_crimes"] = """
 select cast(date_trunc('quarter', incident_date) as date) as metric_time,
   crime_against as offense__crime_against, count(*) as total_crimes,
   round(avg(age_num), 9) as crime_avg_age
-from crimes join offenses using (offense_key) group by 1, 2"""
+from crimes left join offenses using (offense_key) group by 1, 2"""
 O["metrics_economy"] = """
 select county as geo__county_name,
   round(avg(median_household_income), 9) as avg_median_household_income,
@@ -636,7 +636,7 @@ select county as geo__county_name,
   round(avg(population_yoy_change), 9) as avg_population_yoy_change,
   round(avg(population_growth_pct), 9) as avg_population_growth_pct,
   count(*) filter (population_growth_pct > 10) as counties_exceeding_10pct_growth_years
-from econ join county_geo using (geo_key) group by 1"""
+from econ left join county_geo using (geo_key) group by 1"""
 O["metrics_business"] = """
 select principal_county as business__principal_county, count(*) as business_count,
   round(avg(composite_tier), 9) as avg_business_composite_tier,
@@ -653,10 +653,10 @@ from baseline group by 1"""
 _RATE = """
 (select coalesce(a.t, b.t) as t, coalesce(a.county, b.county) as county, coalesce(n, 0) as n, people
  from (select cast(date_trunc('year', incident_date) as date) as t, county, count(*) as n
-       from crimes join county_geo using (geo_key) group by 1, 2) a
+       from crimes left join county_geo using (geo_key) group by 1, 2) a
  full join (select year_date as t, county, avg(total_population) as people
-       from econ join county_geo using (geo_key) group by 1, 2) b
- on a.t = b.t and a.county = b.county)"""
+       from econ left join county_geo using (geo_key) group by 1, 2) b
+ on a.t is not distinct from b.t and a.county is not distinct from b.county)"""
 O["metrics_crime_rate"] = f"""
 select t as metric_time, county as geo__county_name, n as total_crimes,
   round(n / people, 9) as crime_to_population_ratio,
@@ -664,13 +664,14 @@ select t as metric_time, county as geo__county_name, n as total_crimes,
 O["metrics_weekend_by_city"] = """
 select city_name as city__city_name, time_of_day as incident__time_of_day,
   count(*) as total_crimes
-from city_crimes join dates using (date_key)
-where is_weekend and crime_against <> 'Society' group by 1, 2"""
+from crimes c left join geo g on c.city_geo_key = g.geo_key
+left join offenses using (offense_key) left join dates using (date_key)
+where is_weekend and crime_against in ('Property', 'Person') group by 1, 2"""
 O["metrics_by_agency"] = """
 select agency_name as agency__agency_name,
   cast(date_trunc('month', incident_date) as date) as metric_time, count(*) as total_crimes,
   round(avg(age_num), 9) as crime_avg_age
-from crimes join agencies using (agency_key) join county_geo using (geo_key)
+from crimes left join agencies using (agency_key) left join county_geo using (geo_key)
 where county <> 'nation_1' group by 1, 2"""
 O["metrics_totals"] = """
 select (select count(*) from crimes) as total_crimes,
@@ -680,7 +681,7 @@ select (select count(*) from crimes) as total_crimes,
 O["saved_county_crime_annual"] = """
 select cast(date_trunc('year', incident_date) as date) as metric_time,
   county as geo__county_name, count(*) as total_crimes
-from crimes join county_geo using (geo_key) group by 1, 2"""
+from crimes left join county_geo using (geo_key) group by 1, 2"""
 O["saved_subsidy_by_county"] = """
 select principal_county as business__principal_county,
   count(*) filter (qualifies_for_subsidy) as subsidy_qualifying_business_count,
@@ -689,7 +690,7 @@ O["saved_income_population_annual"] = """
 select year_date as metric_time, county as geo__county_name,
   round(avg(median_household_income), 9) as avg_median_household_income,
   round(avg(total_population), 9) as avg_total_population
-from econ join county_geo using (geo_key) group by 1, 2"""
+from econ left join county_geo using (geo_key) group by 1, 2"""
 
 # Portal
 

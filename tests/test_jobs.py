@@ -296,3 +296,27 @@ def test_search(spark):
     assert found("ACME") == [1, 3]
     assert found("acme", max_rows=1) == [1]
     assert found("%") == []
+
+
+def test_metric_groups_add_up_to_the_total(spark):
+    """Facts whose county, city or agency is in no dimension are counted under a null."""
+    incidents = spark.createDataFrame(
+        [incident(), incident(city=None), incident("weld"), incident("weld", agency=None),
+         incident("boulder", "Nowhere"), incident(agency="Other", day=dt.date(2020, 1, 4))],
+        INCIDENT,
+    )
+    fact, dims = star(spark, incidents)
+    dims["agency"] = dims["agency"].where("agency_name <> 'Other'")
+
+    def counted(group_by, where=None):
+        rows = metrics.query_metrics({"crimes": fact}, dims, ["total_crimes"], group_by, where=where)
+        return {tuple(r)[:-1]: r["total_crimes"] for r in rows.collect()}
+
+    for group_by in (["geo__county_name"], ["city__city_name"], ["agency__agency_name"],
+                     ["geo__county_name", "agency__agency_name", "offense__offense_name"]):
+        assert sum(counted(group_by).values()) == counted([])[()] == 6
+    assert counted(["geo__county_name"]) == {("denver",): 3, ("boulder",): 1, (None,): 2}
+    assert counted(["agency__agency_name"])[(None,)] == 2
+    assert counted(["city__city_name"])[(None,)] == 4
+    assert counted([], {"geo__county_name": "denver"}) == {(): 3}
+    assert sum(counted(["city__city_name"], {"date__is_weekend": True}).values()) == 1
