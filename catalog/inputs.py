@@ -4,8 +4,8 @@ The given tables are of another domain, so each raw input is a view over them: a
 is a nation, an agency a supplier, an entity a customer, an incident a line item. The
 views carry the defects the jobs have to handle: missing and unparsable values, lists
 of areas, spelling variants, unlisted codes. The SQL is common to Spark and DuckDB, so the same
-text feeds a job and its check. Every view covers its tables whole, but for the two days of
-the register that make a history.
+text feeds a job and its check. Every view covers its tables whole; of the two days of the
+register that make a history each lacks some entities, but none is in neither.
 """
 
 from __future__ import annotations
@@ -180,10 +180,13 @@ from (
     # entities; by the second some are gone, some have another status and some have moved.
     "raw_entities": _entities(_LATER_STATUS, _LATER_CITY, ""),
     "raw_entities_1": _entities(_STATUS, _CITY, "where c_custkey % 10 <> 0"),
-    "raw_entities_2": _entities(_LATER_STATUS, _LATER_CITY, "where c_custkey % 17 <> 0"),
+    "raw_entities_2": _entities(
+        _LATER_STATUS, _LATER_CITY, "where c_custkey % 17 <> 0 or c_custkey % 10 = 0"
+    ),
     "raw_registrations": """
-select cast(user_id as string) as entityid, event_type as entitystatus, value,
-  ts as ingested_at, cast(ts as date) as source_date, event_id
+select cast(user_id as string) as entityid,
+  case when event_id % 13 = 4 then null else event_type end as entitystatus,
+  case when event_id % 11 = 3 then null else value end as value, ts as ingested_at, cast(ts as date) as source_date, event_id
 from {events}""",
 }
 

@@ -437,17 +437,33 @@ O["latest_per_key"] = f"""
 select entityid, entitystatus, value, {_TS}, source_date, event_id
 from (select *, row_number() over (partition by source_date, entityid {_NEWEST}) as rn
       from raw_registrations) where rn = 1"""
+_TAKEN = ["entityid", "entitystatus", "value", "ingested_at", "source_date", "event_id"]
 O["upsert_by_key"] = f"""
 with ranked as (
-  select *, source_date < '{SPLIT_DAY}' as old, row_number() over (
+  select * replace (strftime(ingested_at, '%Y-%m-%d %H:%M:%S') as ingested_at),
+    source_date < '{SPLIT_DAY}' as old, row_number() over (
     partition by entityid, source_date < '{SPLIT_DAY}' {_NEWEST}) as rn from raw_registrations)
-select coalesce(n.entityid, t.entityid) as entityid,
-  coalesce(n.entitystatus, t.entitystatus) as entitystatus, coalesce(n.value, t.value) as value,
-  strftime(coalesce(n.ingested_at, t.ingested_at), '%Y-%m-%d %H:%M:%S') as ingested_at,
-  coalesce(n.source_date, t.source_date) as source_date,
-  coalesce(n.event_id, t.event_id) as event_id, t.entitystatus as first_status
+select {', '.join(f'case when n.entityid is null then t.{c} else n.{c} end as {c}' for c in _TAKEN)},
+  t.entitystatus as first_status
 from (select * from ranked where rn = 1 and old) t
 full join (select * from ranked where rn = 1 and not old) n on t.entityid = n.entityid"""
+O["upsert_keyed"] = f"""
+select entityid, entitystatus, value, {_TS}, source_date, event_id
+from (select *, row_number() over (partition by entityid {_NEWEST}) as rn
+      from raw_registrations) where rn = 1"""
+O["daily_register"] = O["upsert_keyed"]
+_DAYS = f"""
+(select *, lag(entitystatus) over days as last_status, row_number() over days as seen
+ from (select *, row_number() over (partition by source_date, entityid {_NEWEST}) as rn
+       from raw_registrations)
+ where rn = 1 window days as (partition by entityid order by source_date))"""
+O["daily_history"] = f"""
+select entityid, entitystatus, value, {_TS}, source_date, event_id,
+  md5(entityid || '|' || cast(source_date as varchar)) as scd_id,
+  strftime(source_date, '%Y-%m-%d %H:%M:%S') as valid_from,
+  strftime(lead(source_date) over (partition by entityid order by source_date),
+    '%Y-%m-%d %H:%M:%S') as valid_to
+from {_DAYS} where seen = 1 or entitystatus is distinct from last_status"""
 O["scd2_snapshot"] = "select * from history"
 O["scd2_as_of"] = f"""
 select * from history

@@ -36,8 +36,9 @@ from areaneed.plans import (
     unify,
     verified,
 )
+from areaneed.plans.register import Register
 from areaneed.plans.warehouse import Warehouse, layer_writer
-from areaneed.sources import readers, schemas, writers
+from areaneed.sources import keyed, readers, schemas, writers
 from areaneed.sources.scratch import materialise, scratch_path
 from areaneed.streaming.ingest import compact, current_state, stream_ingest
 from catalog.inputs import DAY_1, DAY_2, RUN_TS, raw_input, raw_table
@@ -45,10 +46,12 @@ from catalog.inputs import DAY_1, DAY_2, RUN_TS, raw_input, raw_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPLIT_DAY = "2024-01-16"
+LATE_DAY = "2024-01-05"
 EXTRACT_DAY = "2005-06-06"
 AS_OF = "2024-01-20 00:00:00"
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
+_registers: dict[tuple[str, str], Register] = {}
 
 
 def entity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,6 +199,52 @@ def upsert_by_key(spark, sf_dir):
     return merge.upsert_by_key(target, newest(rows.where(~early)), ["entityid"])
 
 
+@query
+def upsert_keyed(spark, sf_dir):
+    """The newest registration of each entity, in two batches, the later days first."""
+    rows = raw_input(spark, sf_dir, "raw_registrations")
+    late = F.col("source_date") >= F.lit(SPLIT_DAY).cast("date")
+    path = scratch_path(spark, "register")
+    for batch in (rows.where(late), rows.where(~late)):
+        newest = groups.latest_per_key(batch, ["entityid"], "ingested_at", ["event_id"])
+        keyed.upsert_keyed(newest, path, "entityid", 16, ["ingested_at", "event_id"])
+    schema = keyed.with_part(newest.schema)
+    return keyed.read_rows(spark, path, schema, "entityid").drop(keyed.PART)
+
+
+def _daily(spark, sf_dir) -> Register:
+    """Days in four runs, not in order: many days, the day after them, all later days, and an
+    early day that first came without half of its rows."""
+    rows = raw_input(spark, sf_dir, "raw_registrations")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _registers:
+        register = Register(
+            spark,
+            scratch_path(spark, "daily"),
+            rows.schema,
+            "entityid",
+            ["ingested_at", "event_id"],
+            ["entitystatus"],
+        )
+        day = F.col("source_date")
+        split, late = (F.lit(x).cast("date") for x in (SPLIT_DAY, LATE_DAY))
+        half = (day < split) & ((day != late) | (F.col("event_id") % 2 == 0))
+        for part in (half, day == split, day > split, day == late):
+            register.run(rows.where(part))
+        _registers[key] = register
+    return _registers[key]
+
+
+@query
+def daily_register(spark, sf_dir):
+    return _daily(spark, sf_dir).current()
+
+
+@query
+def daily_history(spark, sf_dir):
+    return _daily(spark, sf_dir).history()
+
+
 @query
 def scd2_snapshot(spark, sf_dir):
     return entity_history(spark, sf_dir)
