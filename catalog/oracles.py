@@ -903,6 +903,8 @@ O["dq_contract"] = "\nunion all ".join(
     f"select 'contract {name}' as \"check\", cast(0 as bigint) as failing_rows, count(*) as checked_rows from {cte}"
     for name, cte in _CONTRACT_TABLES.items()
 )
+O["dq_contract"] += """
+union all select 'contract register', 3, count(*) from raw_entities"""
 O["declared_schemas"] = """
 select 'contract county_month' as "check", cast(0 as bigint) as failing_rows,
   count(distinct (geo_key, y, m)) as checked_rows from place_crimes
@@ -913,7 +915,65 @@ select 'contract tier_rankings', 0, count(*) from (
     and (median_household_income is not null))
 union all
 select 'contract city_season', 0, count(distinct (city_name, season, year))
-from city_crimes join dates using (date_key)"""
+from city_crimes join dates using (date_key)
+union all select 'contract raw_incidents', 0,
+  (select count(*) from raw_incidents_early) + (select count(*) from raw_incidents_late)
+union all select 'contract entities', 0, count(*) from raw_entities
+union all select 'contract geocoded_entities', 0, count(*) from raw_entities
+union all select 'contract clean_incidents', 0, count(*) from incidents
+union all select 'contract clean_entities', 0, count(*) from raw_entities
+  where principalstate = 'CO' and regexp_full_match(principalzipcode, '\\d{5}(-\\d{4})?')"""
+
+_RAW_INCIDENT = """incident_date, try_cast(incident_hour as int) as incident_hour, offense_name,
+  crime_against, offense_category_name"""
+O["lake_raw_incidents"] = f"""
+select agency_name as pub_agency_name, primary_county as county_name, {_RAW_INCIDENT},
+  null as offense_group, try_cast(age_num as int) as age_num from raw_incidents_early
+union all
+select pub_agency_name, county_name, {_RAW_INCIDENT}, offense_group, try_cast(age_num as int)
+from raw_incidents_late"""
+_ZIPPED = """
+(select e.*, case when regexp_full_match(principalzipcode, '\\d{5}(-\\d{4})?')
+   then left(principalzipcode, 5) end as zip5, z.city as geo_city, z.county as geo_county
+ from raw_entities e left join zips z
+   on regexp_full_match(principalzipcode, '\\d{5}(-\\d{4})?') and left(principalzipcode, 5) = z.zip_code)"""
+O["lake_entities"] = f"""
+select cast(entityid as double) as entityid, entityname, principaladdress1, principaladdress2,
+  principalcity, geo_county as principalcounty, principalstate, principalzipcode,
+  principalcountry, entitystatus, jurisdictonofformation, entitytype,
+  cast(entityformdate as date) as entityformdate from {_ZIPPED}"""
+O["lake_geocoded_entities"] = f"""
+select cast(entityid as double) as entityid, principaladdress1, principalcity, principalzipcode,
+  concat_ws(', ', principaladdress1, principalcity, concat_ws(' ', principalstate, zip5))
+    as full_address, geo_city, geo_county,
+  case when geo_city is not null then principalstate end as geo_state,
+  case when geo_city is not null then zip5 end as geo_postcode from {_ZIPPED}"""
+O["lake_clean_incidents"] = f"""
+select agency_name, county_name, incident_date, incident_hour, offense_name, crime_against,
+  offense_category_name, age_num, '{RUN_TS}' as cleaned_at from incidents"""
+O["lake_clean_entities"] = f"""
+select cast(entityid as double) as entityid, entityname, principaladdress1,
+  lower(trim(principalcity)) as principalcity, geo_county as principalcounty, principalstate,
+  zip5 as principalzipcode, entitystatus, entitytype,
+  cast(entityformdate as date) as entityformdate, '{RUN_TS}' as cleaned_at
+from {_ZIPPED} where principalstate = 'CO' and zip5 is not null"""
+O["publish_gate"] = """
+select attempt, rule, cast(failing_rows as bigint) as failing_rows,
+  (select count(*) from inc_stage) as published_rows
+from (
+  select 'not unique' as attempt, 'unique state_name' as rule, count(*) as failing_rows
+  from (select state_name from inc_stage group by 1 having count(*) > 1)
+  union all
+  select 'not unique', 'unique county', count(*)
+  from (select county from inc_stage group by 1 having count(*) > 1)
+  union all
+  select 'bad rows', 'not_null income', count(*) filter (income is null)
+    + count(*) filter (income is null and income_type_code = 1) from inc_stage
+  union all
+  select 'bad rows', 'between year', count(*) filter (year not between 1996 and 2000)
+    + count(*) filter (year not between 1996 and 2000 and income_type_code = 1) from inc_stage
+) where failing_rows > 0"""
+O["daily_gold"] = "select * from lookup"
 
 _DAY = "time_of_day not in ('day', 'night')"
 _SEASONS = "season not in ('winter', 'spring', 'summer', 'fall')"
@@ -1044,3 +1104,8 @@ from (select *, row_number() over (partition by entityid {_NEWEST}) as rn
       from raw_registrations) where rn = 1"""
 
 ORACLES: dict[str, str] = {name: with_tables(sql) for name, sql in O.items()}
+# The register keeps what a day does not name, so an entity of the first day alone stays open.
+ORACLES["daily_gold"] = ORACLES["daily_gold"].replace(
+    f"case when day2.entity_id is not null and {_SAME} then",
+    f"case when day2.entity_id is null or ({_SAME}) then",
+)

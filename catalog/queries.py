@@ -6,8 +6,9 @@ per session and folder, as a warehouse would hold them; the query itself always
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from areaneed.plans import (
     checks,
     dimensions,
     facts,
+    lake,
     metrics,
     portal,
     reports,
@@ -36,9 +38,11 @@ from areaneed.plans import (
     unify,
     verified,
 )
+from areaneed.plans.daily import run_day
+from areaneed.plans.nightly import run_to_gold
 from areaneed.plans.register import Register
 from areaneed.plans.warehouse import Warehouse, layer_writer
-from areaneed.sources import keyed, readers, schemas, writers
+from areaneed.sources import gate, keyed, readers, schemas, writers
 from areaneed.sources.scratch import materialise, scratch_path
 from areaneed.streaming.ingest import compact, current_state, stream_ingest
 from catalog.inputs import DAY_1, DAY_2, RUN_TS, raw_input, raw_table
@@ -687,23 +691,40 @@ _over_raw(
 )
 
 
+def _lake(w: Warehouse) -> dict[str, DataFrame]:
+    """The declared lake tables."""
+    raw, zips = w.raw, w.stg_city_county_zip
+    entities = lake.entity_table(raw["entities"], zips)
+    return {
+        "raw_incidents": lake.raw_incident_table(raw["incidents_early"], raw["incidents_late"]),
+        "entities": entities,
+        "geocoded_entities": lake.geocoded_entity_table(entities, zips),
+        "clean_incidents": lake.clean_incident_table(w.int_crimes_unified, RUN_TS),
+        "clean_entities": lake.clean_entity_table(entities, RUN_TS),
+    }
+
+
+for _table in schemas.DECLARED:
+    if _table not in ("county_month", "tier_rankings", "city_season"):
+        _over(f"lake_{_table}", lambda w, name=_table: _lake(w)[name])
+
+
 def _contracts(w: Warehouse) -> DataFrame:
+    """Tables that keep their contracts, and the register, which is not the table declared for it."""
     results = [
         quality.dq_contract(getattr(w, name), schema, name)
         for name, schema in schemas.CONTRACTS.items()
     ]
-    out = results[0]
-    for result in results[1:]:
-        out = out.unionByName(result)
-    return out
+    results.append(quality.dq_contract(w.raw["entities"], schemas.ENTITY_TABLE, "register"))
+    return reduce(DataFrame.unionByName, results)
 
 
 _over("dq_contract", _contracts)
 
 
 def _declared(w: Warehouse) -> DataFrame:
-    """The declared summary tables keep to their schemas."""
-    built = {
+    """All declared lake and summary tables keep to their schemas."""
+    built = _lake(w) | {
         "county_month": aggregates.agg_county_month(
             w.fct_crimes, w.dim_geography, w.dim_offense, w.fct_income_population
         ),
@@ -714,13 +735,54 @@ def _declared(w: Warehouse) -> DataFrame:
             w.fct_crimes, w.dim_geography, w.dim_offense, w.dim_date
         ),
     }
-    results = [quality.dq_contract(df, schemas.DECLARED[n], n) for n, df in built.items()]
-    return results[0].unionByName(results[1]).unionByName(results[2])
+    results = [quality.dq_contract(built[n], schema, n) for n, schema in schemas.DECLARED.items()]
+    return reduce(DataFrame.unionByName, results)
 
 
 _over("declared_schemas", _declared)
 
 
+@query
+def publish_gate(spark, sf_dir):
+    """Three writes of one table, the second and third with rules it breaks: what is broken, and
+    the rows of the table that is still published."""
+    rows, root = staging.stg_income(raw_table(spark, sf_dir, "raw_income")), scratch_path(spark, "gate")
+    doubled = rows.unionByName(rows.where("income_type_code = 1"))
+    tries = {
+        "good": (rows, quality.not_null(["county", "year"]), []),
+        "not unique": (rows, quality.not_null(["county"]), ["state_name", "county"]),
+        "bad rows": (
+            doubled, quality.not_null(["income"]) | quality.between("year", 1996, 2000), []
+        ),
+    }
+    found = []
+    for name, (table, rules, unique) in tries.items():
+        try:
+            gate.publish(table, root, "income", rows.schema, rules, unique)
+        except gate.BrokenContract as error:
+            found += [(name, rule, n) for rule, n in error.breaches.items()]
+    report = spark.createDataFrame(found, "attempt string, rule string, failing_rows long")
+    left = gate.published(spark, root, "income").count()
+    return report.withColumn("published_rows", F.lit(left).cast("long"))
+
+
+@query
+def daily_gold(spark, sf_dir):
+    """The lookup after two landed days of the register went to gold through the gate."""
+    raw = {
+        k: v
+        for k, v in warehouse(spark, sf_dir).raw.items()
+        if k not in ("entities", "history")
+    }
+    root = scratch_path(spark, "nightly")
+    first = raw_input(spark, sf_dir, "raw_entities_1")
+    day_1, day_2 = (dt.datetime.fromisoformat(x) for x in (DAY_1, DAY_2))
+    run_day(spark, first, f"{root}/register", day_1.date(), day_1)
+    second = raw_input(spark, sf_dir, "raw_entities_2")
+    run_to_gold(spark, second, raw, root, day_2.date(), day_2)
+    return gate.published(spark, f"{root}/gold", "rpt_business_tier_lookup")
+
+
 def _checked_tables(w: Warehouse, names) -> dict[str, DataFrame]:
     return {n: getattr(w, n) for n in names}
 
