@@ -17,8 +17,10 @@ from areaneed.sources.scratch import materialise
 PART = "key_part"
 
 
-def key_part(key: str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(parts)).cast("int")
+def key_part(key: str | Column, parts: int) -> Column:
+    """The part of a key; keys of any type are taken as text."""
+    column = F.col(key) if isinstance(key, str) else key
+    return F.pmod(F.xxhash64(column.cast("string")), F.lit(parts)).cast("int")
 
 
 def read_rows(

@@ -778,6 +778,20 @@ O["search_businesses"] = """
 select * from lookup where upper(entity_name) like '%CUSTOMER#0000000%'
 order by entity_name, entity_id limit 101"""
 O["search_businesses_by_id"] = "select * from lookup where entity_id = 123"
+O["search_index"] = O["search_businesses"]
+O["search_index_by_id"] = O["search_businesses_by_id"]
+O["search_index_short_term"] = """
+select * from lookup where upper(entity_name) like '%#0%'
+order by entity_name, entity_id limit 500"""
+O["search_index_no_such_id"] = """
+select * from lookup where upper(entity_name) like '%00012%'
+order by entity_name, entity_id limit 101"""
+O["name_trigrams"] = """
+select gram, count(distinct entity_id) as names
+from (select entity_id, substring(name, i, 3) as gram
+      from (select entity_id, name, unnest(range(1, length(name) - 1)) as i
+            from (select entity_id, upper(entity_name) as name from lookup)))
+group by 1"""
 
 # Verified questions
 

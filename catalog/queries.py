@@ -41,6 +41,7 @@ from areaneed.plans import (
 from areaneed.plans.daily import run_day
 from areaneed.plans.nightly import run_to_gold
 from areaneed.plans.register import Register
+from areaneed.plans.search import NameIndex, build_index
 from areaneed.plans.warehouse import Warehouse, layer_writer
 from areaneed.sources import gate, keyed, readers, schemas, writers
 from areaneed.sources.scratch import materialise, scratch_path
@@ -55,6 +56,7 @@ EXTRACT_DAY = "2005-06-06"
 AS_OF = "2024-01-20 00:00:00"
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
+_indexes: dict[int, NameIndex] = {}
 _registers: dict[tuple[str, str], Register] = {}
 
 
@@ -642,6 +644,23 @@ _over(
     lambda w: portal.search_businesses(w.rpt_business_tier_lookup, " 123 "),
 )
 
+def _index(w: Warehouse) -> NameIndex:
+    """The name index of the business lookup, written when first used."""
+    lookup = w.rpt_business_tier_lookup
+    if id(w) not in _indexes:
+        _indexes[id(w)] = build_index(lookup, scratch_path(lookup.sparkSession, "names"), parts=16)
+    return _indexes[id(w)]
+
+
+_over("search_index", lambda w: _index(w).search("customer#0000000"))
+_over("search_index_by_id", lambda w: _index(w).search(" 123 "))
+_over("search_index_short_term", lambda w: _index(w).search("#0", max_rows=500))
+_over("search_index_no_such_id", lambda w: _index(w).search("00012"))
+_over(
+    "name_trigrams",
+    lambda w: _index(w).postings().groupBy("gram").agg(F.count("*").alias("names")),
+)
+
 _REPORT_NAMES = [
     "rpt_city_time_trends",
     "rpt_city_demographics",
