@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,15 +60,59 @@ def quartile_tier(
     percentile: str = "percentile",
     tier: str = "tier",
 ) -> DataFrame:
-    """Percentile rank of ``measure`` and its tier 1-4.
+    """Percentile rank of ``measure`` and its tier 1-4, in each group of ``partition`` or over all rows."""
+    ranked = percent_rank(df, measure, partition or [], percentile)
+    return ranked.withColumn(tier, quartile(F.col(percentile), inverse))
+
 
-    ``df`` has one row per area (and ``partition`` value). The areas are the counties
-    of one state, a fixed set of a few dozen, so ranking them in one window is safe
-    at any number of incidents; the heavy counting is done before.
+def percent_rank(df: DataFrame, measure: str, partition: list[str], name: str) -> DataFrame:
+    """``(rank - 1) / (rows - 1)`` of ``measure`` in its group, 0 in a group of one row; nulls first.
+
+    Not a window over the group, which would be one task: equal values are counted together, the
+    different values are sorted by range over all tasks, and to the counts before a value in its
+    range are added those of the group's earlier ranges. Ties share one counted row, so they cannot
+    be parted by a border. ``df`` is read twice, so it is written first.
     """
-    window = Window.partitionBy(*(partition or [F.lit(1)])).orderBy(measure)
-    ranked = df.withColumn(percentile, F.percent_rank().over(window))
-    return ranked.withColumn(tier, quartile(F.col(percentile), inverse))
+    df = materialise(df, "ranked")
+    keys = [F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(partition)]
+    group = [f"_g{i}" for i in range(len(partition))]
+    values = df.groupBy(*keys, F.col(f"`{measure}`").alias("_value")).agg(F.count("*").alias("_n"))
+    ranges = values.repartitionByRange(*group, "_value").withColumn("_range", F.spark_partition_id())
+    ranges = materialise(ranges, "ranked-values")
+    # An entry a group and range it lies in; a group has one row here.
+    sizes = ranges.groupBy(*group, "_range").agg(F.sum("_n").alias("n"))
+    listed = F.sort_array(F.collect_list(F.struct("_range", "n")))
+    sizes = sizes.groupBy(*group).agg(listed.alias("_ranges"))
+    earlier = F.aggregate(
+        F.filter("_ranges", lambda x: x["_range"] < F.col("_range")),
+        F.lit(0).cast("long"),
+        lambda total, x: total + x["n"],
+    )
+    rows = F.aggregate("_ranges", F.lit(0).cast("long"), lambda total, x: total + x["n"])
+    here = Window.partitionBy("_range", *group).orderBy("_value").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    within = F.coalesce(F.sum("_n").over(here), F.lit(0))
+    ranked = _null_safe(ranges.withColumn("_within", within), sizes, group).select(
+        *group, "_value", "_within", "_range", "_ranges"
+    )
+    before = (F.col("_within") + earlier).cast("double")
+    share = F.when(rows > 1, before / (rows - 1)).otherwise(F.lit(0.0))
+    ranked = ranked.select(*group, "_value", share.alias("_share"))
+    columns = [c for c in df.columns if c != name]
+    named = df.withColumns({f"_g{i}": F.col(f"`{c}`") for i, c in enumerate(partition)})
+    named = named.withColumn("_value", F.col(f"`{measure}`"))
+    out = _null_safe(named, ranked, [*group, "_value"])
+    return out.select(*[F.col(f"`{c}`") for c in columns], F.col("_share").alias(name))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of rows that all have a partner, nulls with nulls."""
+    if not keys:
+        return left.join(F.broadcast(right), F.lit(True))  # one row
+    renamed = right.withColumnsRenamed({c: f"{c}_r" for c in keys})
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_r")) for c in keys])
+    return left.join(renamed, on).drop(*[f"{c}_r" for c in keys])
 
 
 def pivot_max(
@@ -104,14 +149,26 @@ def yoy(
     )
 
 
-def with_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
+def with_key(
+    df: DataFrame, order: list[str], name: str, known: DataFrame | None = None
+) -> DataFrame:
     """Number the rows 1, 2, 3, … in ``order`` (nulls last) without a single-task sort.
 
+    With ``known`` (``order`` and ``name`` of an earlier build, one row each) rows that it has keep
+    their number, whatever else is new or gone, and new ones are numbered after the largest.
+
     Spark sorts by range over all tasks. ``monotonically_increasing_id`` then holds the
     sort partition in its upper bits and the row's place in it in the lower 33, and
     the rows before each partition are added up from one count per partition. The
     sorted rows are written first, so counts and rows come from the same sort.
     """
+    if known is not None:
+        known = known.select(*order, F.col(name).cast("long").alias(name))
+        largest = known.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+        df = materialise(_known_keys(df, known, order, name), f"{name}-known")
+        new = with_key(df.where(F.col(name).isNull()).drop(name), order, name)
+        new = new.withColumn(name, F.col(name) + largest)
+        return df.where(F.col(name).isNotNull()).unionByName(new)
     sorted_rows = df.orderBy(*[F.col(c).asc_nulls_last() for c in order])
     rows = materialise(sorted_rows.withColumn("_id", F.monotonically_increasing_id()), name)
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
@@ -129,3 +186,12 @@ def with_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
         .withColumn(name, F.col("_before") + F.col("_place") + 1)
         .drop("_id", "_part", "_place", "_before")
     )
+
+
+def _known_keys(df: DataFrame, known: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with the known keys, null for new rows; nulls in ``order`` are values."""
+    renamed = known.withColumnsRenamed({c: f"_known_{c}" for c in order})
+    same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in order]
+    return df.drop(name).join(renamed, reduce(lambda a, b: a & b, same), "left").select(
+        *[c for c in df.columns if c != name], name
+    )

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from areaneed.sources.scratch import materialise
+
 
 def upsert_by_key(
     target: DataFrame,
@@ -126,18 +128,53 @@ def scd2_at_events(
 ) -> DataFrame:
     """Each event with ``columns`` of the version valid at its time, null when there is none.
 
-    The join is on the key, so events shuffle once at most; versions of one key never
-    overlap, so no event is doubled. AQE splits a key with very many events.
+    An as-of merge: versions and events are sorted together by key and time, and each event takes the
+    last version before it, so the work grows with versions plus events, never with their
+    product. The sort is by ranges of key, time and row, so a key with a third of the events, or all
+    events of one moment, are spread over many tasks; where a range begins in the middle of a key, the
+    last version of the ranges before is handed on, one row a range. Versions of one key do not
+    overlap. Events with a null key or time get nulls; versions with a null key are left out.
     """
-    at = F.col(event_ts).cast("timestamp_ntz")
-    versions = history.select(
+    version = F.struct(F.col("valid_to").alias("_until"), *columns)
+    begun = history.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_at"), version.alias("_version")
+    )
+    asked = events.select(
         F.col(key).alias("_key"),
-        "valid_from",
-        "valid_to",
-        *[F.col(c).alias(f"_at_{c}") for c in columns],
+        F.col(event_ts).cast("timestamp_ntz").alias("_at"),
+        F.struct(*events.columns).alias("_event"),
+    )
+    # Nulls come first: of one moment, versions before events.
+    order = ["_key", "_at", F.col("_event").isNotNull(), F.xxhash64("_event")]
+    both = begun.unionByName(asked, allowMissingColumns=True)
+    ranges = both.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    rows = materialise(ranges, "as-of")
+    # One row a range: there are as many as shuffle partitions.
+    place = F.struct("_key", "_at")
+    last = rows.where("_version is not null").groupBy("_range").agg(
+        F.max_by(F.struct("_key", "_version"), place).alias("_last")
+    )
+    before = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    handed = (
+        rows.select("_range").distinct().join(last, "_range", "left")
+        .select("_range", F.last("_last", ignorenulls=True).over(before).alias("_handed"))
+    )
+    here = Window.partitionBy("_range", "_key").orderBy("_at", F.col("_event").isNotNull())
+    found = F.last("_version", ignorenulls=True).over(
+        here.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    merged = rows.withColumn("_found", found).where("_event is not null")
+    merged = merged.join(F.broadcast(handed), "_range")
+    same_key = F.col("_handed._key") == F.col("_key")
+    valid = F.coalesce("_found", F.when(same_key, F.col("_handed._version")))
+    valid = F.when(
+        F.col("_at").isNotNull() & (valid["_until"].isNull() | (valid["_until"] > F.col("_at"))),
+        valid,
     )
-    valid = (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at))
-    joined = events.join(versions, (F.col(key) == F.col("_key")) & valid, "left")
-    return joined.select(
-        *[F.col(c) for c in events.columns], *[F.col(f"_at_{c}").alias(c) for c in columns]
+    merged = merged.withColumn("_valid", valid)
+    return merged.select(
+        *[F.col(f"_event.`{c}`").alias(c) for c in events.columns],
+        *[F.col(f"_valid.`{c}`").alias(c) for c in columns],
     )

@@ -43,15 +43,26 @@ def dq_not_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def dq_unique(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Distinct non-null values that occur more than once, per column."""
-    checks = [
-        df.groupBy(c)
-        .agg(F.count("*").alias("n"))
-        .agg(F.count_if(F.col(c).isNotNull() & (F.col("n") > 1)).alias("failing_rows"))
-        .select(F.lit(f"unique {c}").alias("check"), "failing_rows")
-        for c in cols
+    """Distinct non-null values that occur more than once, per column.
+
+    One exchange for all columns: each value goes on as (column, value as text), counted in the map
+    tasks already, so a value that many rows have is one row a task.
+    """
+    cols = list(cols)
+    values = [
+        F.struct(F.lit(i).alias("col"), F.col(f"`{c}`").cast("string").alias("value"))
+        for i, c in enumerate(cols)
     ]
-    return reduce(DataFrame.unionByName, checks)
+    counted = (
+        df.select(F.explode(F.array(*values)).alias("v"))
+        .where("v.value is not null")
+        .groupBy("v.col", "v.value")
+        .agg(F.count("*").alias("n"))
+    )
+    twice = F.col("n") > 1
+    return dq_rows(
+        counted, {f"unique {c}": (F.col("col") == i) & twice for i, c in enumerate(cols)}
+    )
 
 
 def dq_accepted_values(df: DataFrame, col: str, values: Iterable) -> DataFrame:

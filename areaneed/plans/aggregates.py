@@ -117,7 +117,7 @@ def agg_city_season(
     """Per city, season and calendar year: incidents per day, peak hour, top category."""
     cities = geo.select(F.col("geo_key").alias("city_geo_key"), "city_name")
     season_days = date.groupBy("season", "year").agg(F.count("*").alias("days"))
-    # Hours and categories are counted in one pass over the fact, as labelled values.
+    # The fact is counted once, by hour and category; hours and categories are told apart in the counts.
     values = F.array(
         F.struct(F.lit("hour").alias("kind"), F.col("incident_hour").cast("string").alias("value")),
         F.struct(F.lit("category").alias("kind"), F.col("offense_category_name").alias("value")),
@@ -126,16 +126,17 @@ def agg_city_season(
     counts = (
         with_category(crimes, offense)
         .where(F.col("city_geo_key").isNotNull() & F.col("date_key").isNotNull())
-        .select(
+        .groupBy(
             "city_geo_key",
             season(F.col("incident_date")).alias("season"),
             F.year("incident_date").alias("year"),
-            F.explode(values).alias("v"),
+            "incident_hour",
+            "offense_category_name",
         )
-        .groupBy("city_geo_key", "season", "year", "v.kind", "v.value")
         .agg(F.count("*").alias("n"))
+        .select("city_geo_key", "season", "year", "n", F.explode(values).alias("v"))
         .join(cities, "city_geo_key")
-        .groupBy(*keys, "kind", "value")
+        .groupBy(*keys, "v.kind", "v.value")
         .agg(F.sum("n").alias("n"))
     )
 

@@ -74,9 +74,14 @@ def calendar(bounds: DataFrame) -> DataFrame:
 
 
 def dim_geography(
-    zip_lookup: DataFrame, centroids: DataFrame, state: str = HOME_STATE
+    zip_lookup: DataFrame,
+    centroids: DataFrame,
+    state: str = HOME_STATE,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """City-zip rows and one county-level row per county, with centroids and a key."""
+    """City-zip rows and one county-level row per county, with centroids and a key.
+
+    ``known``, here and below, is the dimension as last built: its rows keep their keys."""
     cities = lookup_left(
         zip_lookup.select(F.col("city").alias("city_name"), "zip_code", "county"),
         centroids.select("county_label", "cent_lat", "cent_long"),
@@ -91,7 +96,8 @@ def dim_geography(
         "cent_long",
     )
     rows = cities.unionByName(counties).distinct()
-    return with_key(rows, ["county_name", "city_name", "zip_code"], "geo_key").select(
+    order = ["county_name", "city_name", "zip_code"]
+    return with_key(rows, order, "geo_key", known).select(
         "city_name",
         "county_name",
         "zip_code",
@@ -102,7 +108,7 @@ def dim_geography(
     )
 
 
-def dim_offense(incidents: DataFrame) -> DataFrame:
+def dim_offense(incidents: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Distinct offenses; a missing group is 'Unknown', which also breaks key ties."""
     rows = (
         incidents.where(
@@ -118,12 +124,12 @@ def dim_offense(incidents: DataFrame) -> DataFrame:
         .distinct()
     )
     order = ["crime_against", "offense_category_name", "offense_name", "offense_group"]
-    return with_key(rows, order, "offense_key").select(
+    return with_key(rows, order, "offense_key", known).select(
         "offense_category_name", "offense_name", "crime_against", "offense_key", "offense_group"
     )
 
 
-def dim_agency(incidents: DataFrame) -> DataFrame:
+def dim_agency(incidents: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Each agency with the county it reports most; ties go to the first name."""
     counts = (
         incidents.where(F.col("agency_name").isNotNull())
@@ -134,7 +140,7 @@ def dim_agency(incidents: DataFrame) -> DataFrame:
         counts, ["agency_name"], [F.col("n").desc(), F.col("county_name").asc_nulls_last()]
     )
     rows = main.select("agency_name", F.col("county_name").alias("primary_county"))
-    return with_key(rows, ["agency_name"], "agency_key").select(
+    return with_key(rows, ["agency_name"], "agency_key", known).select(
         "agency_name", "primary_county", "agency_key"
     )
 

@@ -83,8 +83,14 @@ def gated_writer(root: str) -> Save:
 
 
 def build_gold(raw: Mapping[str, DataFrame], run_ts: dt.datetime | str, root: str) -> Warehouse:
-    """Build and publish every table; ``BrokenContract`` stops at the first that fails."""
-    warehouse = Warehouse(raw, run_ts, gated_writer(root))
+    """Build and publish every table; ``BrokenContract`` stops at the first that fails. Dimension rows
+    keep the keys they were last published with, so facts of earlier runs still point to them."""
+    spark = raw["history"].sparkSession
+
+    def known(name: str) -> DataFrame | None:
+        return published(spark, root, name)
+
+    warehouse = Warehouse(raw, run_ts, gated_writer(root), known)
     for name in TABLES:
         getattr(warehouse, name)
     return warehouse

@@ -41,7 +41,8 @@ class Warehouse:
     """Tables by attribute. ``raw`` holds the raw inputs by name:
 
     incidents_early, incidents_late, income, population, zip_lookup, centroids,
-    agency_city, entities (today's register) and history (entity versions). ``save`` writes a table and reads it back.
+    agency_city, entities (today's register) and history (entity versions). ``save`` writes a table
+    and reads it back. ``known`` gives a table as last built, or None: the dimensions keep its keys.
     """
 
     def __init__(
@@ -49,10 +50,12 @@ class Warehouse:
         raw: Mapping[str, DataFrame],
         run_ts: dt.datetime | str,
         save: Save = materialise,
+        known: Callable[[str], DataFrame | None] = lambda name: None,
     ):
         self.raw = raw
         self.run_ts = run_ts
         self.save = save
+        self.known = known
 
     # raw layer: staging views
     @cached_property
@@ -131,16 +134,22 @@ class Warehouse:
 
     @cached_property
     def dim_geography(self) -> DataFrame:
-        rows = dimensions.dim_geography(self.stg_city_county_zip, self.stg_county_boundaries)
+        rows = dimensions.dim_geography(
+            self.stg_city_county_zip,
+            self.stg_county_boundaries,
+            known=self.known("dim_geography"),
+        )
         return self.save(rows, "dim_geography")
 
     @cached_property
     def dim_offense(self) -> DataFrame:
-        return self.save(dimensions.dim_offense(self.int_crimes_unified), "dim_offense")
+        rows = dimensions.dim_offense(self.int_crimes_unified, self.known("dim_offense"))
+        return self.save(rows, "dim_offense")
 
     @cached_property
     def dim_agency(self) -> DataFrame:
-        return self.save(dimensions.dim_agency(self.int_crimes_unified), "dim_agency")
+        rows = dimensions.dim_agency(self.int_crimes_unified, self.known("dim_agency"))
+        return self.save(rows, "dim_agency")
 
     @cached_property
     def dim_business(self) -> DataFrame:

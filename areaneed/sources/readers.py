@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areaneed.constants import HOME_STATE_CODE
 from areaneed.functions.text import null_tokens_to_null
+from areaneed.sources.scratch import materialise
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -55,6 +56,51 @@ def read_landed_json(
     return spark.read.schema(text).option("multiLine", multi_line).json(glob)
 
 
+#: Holds the text of a record that is no JSON object, or not of text fields.
+CORRUPT = "_corrupt"
+
+
+def split_landed_json(
+    spark: SparkSession, glob: str, schema: T.StructType, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected records of landed pages: together they are all that landed.
+
+    As ``read_landed_json``, but a record that cannot be read is kept: a rejected row has its text
+    and its file. A line that holds a page stands or falls as a whole. The pages are parsed once,
+    into a written table that both results read.
+    """
+    fields = [T.StructField(f.name, T.StringType()) for f in schema]
+    text = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    pages = spark.read.schema(text).option("multiLine", multi_line)
+    pages = pages.option("columnNameOfCorruptRecord", CORRUPT).json(glob)
+    read = materialise(pages.select("*", F.col("_metadata.file_name").alias("file")), "parsed")
+    accepted = read.where(F.col(CORRUPT).isNull()).select(*[f.name for f in fields])
+    return accepted, read.where(F.col(CORRUPT).isNotNull()).select("file", CORRUPT)
+
+
+def lost_values(
+    raw: DataFrame, staged: dict[str, Column], key: list[str], blank: list[str] | None = None
+) -> DataFrame:
+    """Values that staging would turn into null: (``key``, column, value) rows.
+
+    ``staged`` maps a raw column to its staged expression. A value is lost where the raw text is
+    there and the expression gives null; texts in ``blank`` mean a missing value and are not lost.
+    """
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col(f"`{c}`").cast("string").alias("value"),
+            expr.isNull().alias("gone"),
+        )
+        for c, expr in staged.items()
+    ]
+    rows = raw.select(*key, F.explode(F.array(*cells)).alias("cell")).select(*key, "cell.*")
+    lost = rows.where(F.col("gone") & F.col("value").isNotNull())
+    if blank:
+        lost = lost.where(~F.col("value").isin(blank))
+    return lost.drop("gone")
+
+
 def filter_extract(
     df: DataFrame,
     date: dt.date | str,

@@ -423,6 +423,27 @@ O["read_seed"] = "select pub_agency_name, city_name from raw_agency_city"
 O["overwrite_partition"] = f"select {_REG} from raw_registrations"
 O["read_landed"] = f"select {_REG} from raw_registrations where source_date = '{SPLIT_DAY}'"
 O["read_landed_json"] = "select * from raw_entities"
+_LINE = """concat('{"entityid":"', entityid, '","entityname":"', entityname, '"}')"""
+_CUT = "cast(entityid as int) % 50 = 7"
+O["split_landed_json"] = f"""
+select case when not {_CUT} then entityid end as entityid,
+  case when not {_CUT} then entityname end as entityname,
+  case when {_CUT} then substring({_LINE}, 1, 20) end as rejected
+from raw_entities where entityname is not null"""
+O["lost_values"] = """
+select "column", value, count(*) as n from (
+  select 'incident_date' as "column", incident_date as value from raw_incidents_late
+  where incident_date is not null and try_strptime(incident_date, '%m/%d/%Y') is null
+  union all
+  select 'incident_hour', incident_hour from raw_incidents_late
+  where incident_hour is not null and try_cast(incident_hour as int) is null
+  union all
+  select 'age_num', age_num from raw_incidents_late
+  where age_num is not null and try_cast(age_num as int) is null
+  union all
+  select 'income', income from raw_income
+  where income is not null and try_cast(replace(income, ',', '') as bigint) is null
+) group by 1, 2"""
 O["filter_extract"] = f"""
 select * from raw_entities
 where entityformdate = '{EXTRACT_DAY}' and principalstate = 'CO'"""
@@ -547,6 +568,19 @@ select *, n - prior_year as yoy_change,
 from (select county_name, incident_year, count(*) as n,
         lag(count(*)) over (partition by county_name order by incident_year) as prior_year
       from incidents group by 1, 2)"""
+O["percent_rank_over_all"] = """
+select agency_name, incident_date, count(*) as n, sum(age_num)::bigint as ages,
+  round(percent_rank() over (order by sum(age_num) nulls first), 9) as percentile
+from incidents group by 1, 2"""
+O["dim_agency_rebuilt"] = """
+with early as (
+  select agency_name, row_number() over (order by agency_name) as agency_key
+  from (select distinct agency_name from incidents
+        where incident_year < 2003 and agency_name is not null))
+select a.agency_name, a.primary_county, coalesce(e.agency_key,
+  (select count(*) from early) + row_number() over (
+    partition by e.agency_key is null order by a.agency_name)) as agency_key
+from agencies a left join early e using (agency_name)"""
 O["with_key"] = """
 select *, row_number() over (order by agency_name nulls last, county_name nulls last,
   city_name nulls last) as row_key

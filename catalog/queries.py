@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areaneed.constants import CRIME_CATEGORIES, VERSIONED_COLUMNS
+from areaneed.functions.calendar import parse_us_date
 from areaneed.functions.scores import mean_of_present
 from areaneed.functions.text import (
     clean_key,
@@ -22,6 +23,7 @@ from areaneed.functions.text import (
     normalize_agency,
     normalize_county,
     normalize_county_list,
+    to_whole_number,
 )
 from areaneed.operators import groups, joins, merge, quality
 from areaneed.plans import (
@@ -166,6 +168,47 @@ def read_landed_json(spark, sf_dir):
     return readers.read_landed_json(spark, path, schemas.RAW_ENTITY)
 
 
+@query
+def split_landed_json(spark, sf_dir):
+    """Entities landed as lines of JSON, some of them cut off: accepted and rejected records."""
+    raw = raw_input(spark, sf_dir, "raw_entities")
+    whole = F.format_string('{"entityid":"%s","entityname":"%s"}', "entityid", "entityname")
+    cut = F.col("entityid").cast("int") % 50 == 7
+    lines = raw.where("entityname is not null").select(
+        F.when(cut, F.substring(whole, 1, 20)).otherwise(whole).alias("value")
+    )
+    path = scratch_path(spark, "lines")
+    lines.write.text(path)
+    schema = T.StructType(schemas.RAW_ENTITY.fields[:2])
+    accepted, rejected = readers.split_landed_json(spark, path, schema)
+    return accepted.unionByName(
+        rejected.withColumnRenamed(readers.CORRUPT, "rejected").drop("file"),
+        allowMissingColumns=True,
+    )
+
+
+@query
+def lost_values(spark, sf_dir):
+    """Raw texts that staging cannot read, by column and value."""
+    late = raw_table(spark, sf_dir, "raw_incidents_late")
+    income = raw_table(spark, sf_dir, "raw_income")
+    frames = [
+        readers.lost_values(
+            late,
+            {
+                "incident_date": parse_us_date(F.col("incident_date")),
+                "incident_hour": F.col("incident_hour").try_cast("int"),
+                "age_num": F.col("age_num").try_cast("int"),
+            },
+            ["pub_agency_name"],
+        ).select("column", "value"),
+        readers.lost_values(
+            income, {"income": to_whole_number(F.col("income"))}, ["areaname", "periodyear"]
+        ).select("column", "value"),
+    ]
+    return frames[0].unionByName(frames[1]).groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
 _over_raw(
     "filter_extract",
     "raw_entities",
@@ -399,6 +442,17 @@ _over(
         ["season"],
     ),
 )
+_over(
+    "percent_rank_over_all",
+    lambda w: groups.percent_rank(
+        w.int_crimes_unified.groupBy("agency_name", "incident_date").agg(
+            F.count("*").alias("n"), F.sum("age_num").alias("ages")
+        ),
+        "ages",
+        [],
+        "percentile",
+    ),
+)
 _over(
     "pivot_max",
     lambda w: groups.pivot_max(
@@ -428,6 +482,16 @@ _over(
         "row_key",
     ),
 )
+
+
+def _rebuilt_keys(w: Warehouse) -> DataFrame:
+    """Agencies numbered from the early period alone, then all of them on top of these keys."""
+    early = dimensions.dim_agency(w.int_crimes_unified.where("incident_year < 2003"))
+    known = materialise(early, "early-agencies")
+    return dimensions.dim_agency(w.int_crimes_unified, known)
+
+
+_over("dim_agency_rebuilt", _rebuilt_keys)
 _over(
     "mean_of_present",
     lambda w: w.final_county_tier_rank.select(
