@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from areaneed.constants import SEARCH_ROWS
 from areaneed.functions.scores import rate
-from areaneed.functions.text import initcap_delims
+from areaneed.functions.text import clean_key, initcap_delims
 from areaneed.operators.groups import share_of
 from areaneed.operators.joins import one_row
 from areaneed.plans.facts import county_keys
@@ -258,9 +258,18 @@ def agency_baseline(tables: Tables, limit: int | None = None) -> DataFrame:
     return _limited(rows, limit)
 
 
-def city_report(tables: Tables, name: str) -> DataFrame:
-    """A written city report as it is: rpt_city_time_trends, _time_of_day or _demographics."""
-    return tables[name]
+def city_report(
+    tables: Tables, name: str, county: str | None = None, cities: list[str] | None = None
+) -> DataFrame:
+    """A written city report, rpt_city_time_trends, _time_of_day or _demographics, for the county and
+    the cities picked (case and outer blanks do not count); what is not picked is not limited."""
+    rows = tables[name]
+    if county is not None:
+        rows = rows.where(clean_key(F.col("county_name")) == clean_key(F.lit(county)))
+    if cities is not None:
+        picked = [clean_key(F.lit(city)) for city in cities]
+        rows = rows.where(clean_key(F.col("city_name")).isin(picked))
+    return rows
 
 
 def search_businesses(

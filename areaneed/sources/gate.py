@@ -43,12 +43,14 @@ def publish(
     failing: Mapping[str, Column] | None = None,
     unique: Iterable[str] = (),
     after: Iterable[Check] = (),
+    partition: Iterable[str] = (),
 ) -> DataFrame:
     """Write ``df``, and publish it as table ``name`` if nothing fails; else ``BrokenContract``.
 
     ``failing`` maps a rule to the condition of a failing row, as in ``declared_checks``. A null
     condition does not fail. A task that ran twice may count twice, which changes no verdict:
-    only whether a count is zero decides.
+    only whether a count is zero decides. ``partition`` writes one folder per value; a value such as
+    '01' stays a text.
     """
     if schema is not None and (wrong := contract_breaches(df, schema)):
         raise BrokenContract(name, {f"contract {c}": 1 for c in wrong})
@@ -57,10 +59,11 @@ def publish(
     counts = [F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(rules.values())]
     path = f"{root}/{name}/{uuid.uuid4().hex}"
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
-    counted.write.option("maxRecordsPerFile", 5_000_000).parquet(path)
+    writer = counted.write.option("maxRecordsPerFile", 5_000_000)
+    (writer.partitionBy(*partition) if partition else writer).parquet(path)
     found = seen.get
     breaches = {rule: found[f"c{i}"] for i, rule in enumerate(rules)}
-    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
     later = [dq_unique(rows, list(unique))] if unique else []
     later += [check(rows) for check in after]
     if later:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaneed.sources.versions import committed
+from areaneed.sources.gate import publish
 
 
 class NoRowsLanded(RuntimeError):
@@ -59,8 +59,9 @@ def write_layer(
     min/max skipping. The split also uses a row number, so that rows with one key, or
     plain copies of one row, are spread over several tasks and files. Rows are
     ordered before they are numbered, so a repeated task numbers them the same.
-    ``partition`` writes one folder per value. Each write is a version of its own, so a table can be
-    rebuilt from itself and open readers of the last one go on. Old versions stay.
+    ``partition`` writes one folder per value. Each write has a folder of its own and is published at
+    its end, so a table can be rebuilt from itself, open readers of the last one go on, and two
+    writers do not disturb each other: the one that ends last is read.
     """
     if layer == "raw":
         df.createOrReplaceTempView(name)
@@ -77,15 +78,7 @@ def write_layer(
             .sortWithinPartitions(*keys)
             .drop("_spread")
         )
-    writer = out.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
-    if partition:
-        writer = writer.partitionBy(*partition)
-    folder = f"{root}/{layer}/{name}"
-    done = committed(df.sparkSession, folder)
-    path = f"{folder}/version={done[-1] + 1 if done else 0}"
-    writer.parquet(path)
-    # With its schema: a partition value such as '01' stays a text.
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return publish(out, f"{root}/{layer}", name, partition=partition or ())
 
 
 def _sort_key(spec: str):

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 
+from areaneed.constants import CRIME_CATEGORIES
 from catalog.inputs import DAY_1, DAY_2, RUN_TS, SQL, oracle_input
-from catalog.queries import AS_OF, EXTRACT_DAY, SPLIT_DAY
+from catalog.queries import AS_OF, COUNTY, EXTRACT_DAY, SPLIT_DAY
 
 CTES: dict[str, str] = {name: oracle_input(name) for name in SQL}
 
@@ -161,23 +162,24 @@ def _tier(p: str, inverse: bool = False) -> str:
     )
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 CTES["cat_tiers"] = f"""
 select *, {_tier('crime_percentile')} as crime_tier from (
   select county_name, offense_category_name, count(*) as total_crimes,
     percent_rank() over (partition by offense_category_name order by count(*))
       as crime_percentile
   from incidents
-  where offense_category_name not in ('Fraud Offenses', 'Assault Offenses') group by 1, 2)"""
-
-CTES["county_crime"] = """
-select county_name,
-  max(crime_tier) filter (offense_category_name like 'Destruction%') as property_destruction_tier,
-  max(crime_tier) filter (offense_category_name like 'Burglary%') as burglary_tier,
-  max(crime_tier) filter (offense_category_name like 'Larceny%') as larceny_theft_tier,
-  max(crime_tier) filter (offense_category_name = 'Motor Vehicle Theft') as vehicle_theft_tier,
-  max(crime_tier) filter (offense_category_name = 'Robbery') as robbery_tier,
-  max(crime_tier) filter (offense_category_name = 'Arson') as arson_tier,
-  max(crime_tier) filter (offense_category_name like 'Stolen%') as stolen_property_tier,
+  where offense_category_name in ({', '.join(map(_text, CRIME_CATEGORIES))}) group by 1, 2)"""
+
+_CATEGORY_TIERS = ", ".join(
+    f"max(crime_tier) filter (offense_category_name = {_text(category)}) as {column}"
+    for category, column in CRIME_CATEGORIES.items()
+)
+CTES["county_crime"] = f"""
+select county_name, {_CATEGORY_TIERS},
   cast(round(avg(crime_tier)) as int) as overall_crime_tier
 from cat_tiers group by county_name"""
 
@@ -495,9 +497,10 @@ select r.event_id, cast(r.entityid as bigint) as entity_id, {_TS}, h.entity_stat
 from raw_registrations r left join history h on cast(r.entityid as bigint) = h.entity_id
   and r.ingested_at >= cast(h.valid_from as timestamp)
   and r.ingested_at < coalesce(cast(h.valid_to as timestamp), timestamp '9999-01-01')"""
-O["portal_rpt_city_time_trends"] = "select * from trends"
-O["portal_rpt_city_time_of_day"] = "select * from day_parts"
-O["portal_rpt_city_demographics"] = "select * from demographics"
+O["portal_rpt_city_time_trends"] = f"""
+select * from trends where lower(county_name) = '{COUNTY}' and city_name in ('city 1', 'city 2')"""
+O["portal_rpt_city_time_of_day"] = f"select * from day_parts where lower(county_name) = '{COUNTY}'"
+O["portal_rpt_city_demographics"] = "select * from demographics where city_name = 'city 3'"
 O["write_layer"] = "select * from business"
 O["write_layer_incidents"] = "select * from incidents"
 O["portal_reads"] = f"select * replace ({_title('county_name')} as county_name) from baseline"
@@ -572,6 +575,14 @@ O["percent_rank_over_all"] = """
 select agency_name, incident_date, count(*) as n, sum(age_num)::bigint as ages,
   round(percent_rank() over (order by sum(age_num) nulls first), 9) as percentile
 from incidents group by 1, 2"""
+O["calendar_with_incidents"] = """
+select d as date_day, strftime(d, '%m/%d/%Y') as date_key, coalesce(n, 0) as incidents
+from (select cast(unnest(generate_series(date '1997-01-01', date '2024-12-31', interval 1 day))
+        as date) as d)
+left join (select incident_date as d, count(*) as n from incidents group by 1) using (d)
+union all
+select null, null, count(*) from incidents
+where incident_date not between date '1997-01-01' and date '2024-12-31'"""
 O["dim_agency_rebuilt"] = """
 with early as (
   select agency_name, row_number() over (order by agency_name) as agency_key
@@ -883,8 +894,8 @@ def _checks(rows: list[tuple[str, str, str]]) -> str:
     )
 
 
-def _nulls(table: str, cols: str) -> list[tuple[str, str, str]]:
-    return [(f"not_null {c}", table, f"{c} is null") for c in cols.split()]
+def _nulls(table: str, cols: list[str]) -> list[tuple[str, str, str]]:
+    return [(f"not_null {c}", table, f"{c} is null") for c in cols]
 
 
 def _duplicates(table: str, col: str) -> tuple[str, str, str]:
@@ -893,7 +904,7 @@ def _duplicates(table: str, col: str) -> tuple[str, str, str]:
 
 
 O["dq_not_null"] = _checks(
-    _nulls("crimes", "date_key geo_key city_geo_key offense_key agency_key")
+    _nulls("crimes", ["date_key", "geo_key", "city_geo_key", "offense_key", "agency_key"])
 )
 O["dq_unique"] = _checks([_duplicates("business", c) for c in ("entity_id", "business_key")])
 O["dq_accepted_values"] = _checks(
@@ -1026,84 +1037,221 @@ O["daily_gold"] = "select * from lookup"
 _DAY = "time_of_day not in ('day', 'night')"
 _SEASONS = "season not in ('winter', 'spring', 'summer', 'fall')"
 _AGAINST = "crime_against not in ('Property', 'Person', 'Society')"
-_DECLARED: list[tuple[str, str, str, list[tuple[str, str]]]] = [
-    ("stg_business_entities", "ent", "entity_id entity_name principal_state entity_form_date", []),
-    ("stg_crimes_1997_2015", "early",
-     "agency_name county_name incident_date offense_category_name", []),
-    ("stg_crimes_2016_2020", "late",
-     "agency_name county_name incident_date offense_category_name", []),
-    ("stg_income", "inc_stage", "county year income", []),
-    ("stg_population", "pop_stage", "county year total_population",
-     [("between total_population", "total_population < 0")]),
-    ("int_crimes_unified", "incidents",
-     "agency_name county_name incident_date offense_name crime_against offense_category_name "
-     "source_period incident_year incident_month day_of_week time_of_day season",
-     [("between incident_hour", "incident_hour not between 0 and 23"),
-      ("between age_num", "age_num not between 0 and 120"),
-      ("between incident_month", "incident_month not between 1 and 12"),
-      ("between day_of_week", "day_of_week not between 1 and 7"),
-      ("accepted_values crime_against", _AGAINST),
-      ("accepted_values source_period", "source_period not in ('1997_2015', '2016_2020')"),
-      ("accepted_values time_of_day", _DAY), ("accepted_values season", _SEASONS)]),
-    ("int_income_population", "economy", "county year",
-     [("between total_population", "total_population < 1")]),
-    ("crime_tiers", "cat_tiers",
-     "county_name offense_category_name total_crimes crime_percentile crime_tier",
-     [("between crime_percentile", "crime_percentile not between 0 and 1"),
-      ("accepted_values crime_tier", "crime_tier not in (1, 2, 3, 4)")]),
-    ("crime_tier_county_rank", "county_crime", "county_name overall_crime_tier",
-     [("between overall_crime_tier", "overall_crime_tier not between 1 and 4")]),
-    ("income_tier", "county_income",
-     "county avg_median_household_income income_percentile income_tier",
-     [("between income_percentile", "income_percentile not between 0 and 1"),
-      ("accepted_values income_tier", "income_tier not in (1, 2, 3, 4)")]),
-    ("per_capita_tier", "county_rate",
-     "county avg_crime_per_1000 crime_percentile crime_per_capita_tier",
-     [("between crime_percentile", "crime_percentile not between 0 and 1"),
-      ("accepted_values crime_per_capita_tier", "crime_per_capita_tier not in (1, 2, 3, 4)")]),
-    ("final_county_tier_rank", "ranks",
-     "county crime_rank income_rank population_rank final_rank",
-     [("between crime_rank", "crime_rank not between 0 and 4"),
-      ("between income_rank", "income_rank not between 0 and 4"),
-      ("between population_rank", "population_rank not between 0 and 4"),
-      ("between final_rank", "final_rank not between 1 and 4")]),
-    ("dim_date", "dates", "date_key full_date year quarter month day_of_week season",
-     [("between month", "month not between 1 and 12"),
-      ("between day_of_week", "day_of_week not between 1 and 7"),
-      ("accepted_values season", _SEASONS)]),
-    ("dim_geography", "geo", "geo_key city_name county_name state",
-     [("accepted_values state", "state <> 'Colorado'")]),
-    ("dim_offense", "offenses", "offense_key offense_category_name crime_against",
-     [("accepted_values crime_against", _AGAINST)]),
-    ("dim_agency", "agencies", "agency_key agency_name primary_county", []),
-    ("dim_business", "business",
-     "business_key entity_id entity_name entity_status is_current business_scd_id", []),
-    ("fct_crimes", "crimes",
-     "date_key geo_key offense_key incident_date time_of_day crime_count",
-     [("accepted_values time_of_day", _DAY), ("between crime_count", "crime_count <> 1")]),
-    ("fct_income_population", "econ", "geo_key year total_population",
-     [("between total_population", "total_population < 1")]),
-    ("fct_business_subsidy_tiers", "scored",
-     "business_key entity_id composite_tier qualifies_for_subsidy subsidy_tier_label "
-     "notification_eligible",
-     [("between composite_tier", "composite_tier not between 1 and 4")]),
-    ("rpt_agency_baseline", "baseline",
-     "county_name agency_name total_crimes target_crimes_5pct_reduction first_incident_date "
-     "last_incident_date", []),
-    ("rpt_business_tier_lookup", "lookup",
-     "entity_id entity_name principal_county composite_tier qualifies_for_subsidy "
-     "notification_eligible subsidy_message",
-     [("between composite_tier", "composite_tier not between 1 and 4")]),
-    ("rpt_city_time_trends", "trends",
-     "city_name county_name month month_name season day_of_week day_name total_crimes",
-     [("accepted_values season", _SEASONS)]),
-    ("rpt_city_time_of_day", "day_parts",
-     "city_name county_name time_of_day offense_category_name crime_against crime_count rnk",
-     [("accepted_values time_of_day", _DAY), ("accepted_values crime_against", _AGAINST),
-      ("accepted_values rnk", "rnk not in (1, 2, 3)")]),
-    ("rpt_city_demographics", "demographics",
-     "city_name county_name offense_category_name crime_against",
-     [("accepted_values crime_against", _AGAINST)]),
+# Per table, the columns that may not be null and the other declared rules.
+_DECLARED: list[tuple[str, str, list[str], list[tuple[str, str]]]] = [
+    (
+        "stg_business_entities",
+        "ent",
+        ["entity_id", "entity_name", "principal_state", "entity_form_date"],
+        [],
+    ),
+    (
+        "stg_crimes_1997_2015",
+        "early",
+        ["agency_name", "county_name", "incident_date", "offense_category_name"],
+        [],
+    ),
+    (
+        "stg_crimes_2016_2020",
+        "late",
+        ["agency_name", "county_name", "incident_date", "offense_category_name"],
+        [],
+    ),
+    (
+        "stg_income",
+        "inc_stage",
+        ["county", "year", "income"],
+        [],
+    ),
+    (
+        "stg_population",
+        "pop_stage",
+        ["county", "year", "total_population"],
+        [
+            ("between total_population", "total_population < 0"),
+        ],
+    ),
+    (
+        "int_crimes_unified",
+        "incidents",
+        ["agency_name", "county_name", "incident_date", "offense_name", "crime_against",
+         "offense_category_name", "source_period", "incident_year", "incident_month",
+         "day_of_week", "time_of_day", "season"],
+        [
+            ("between incident_hour", "incident_hour not between 0 and 23"),
+            ("between age_num", "age_num not between 0 and 120"),
+            ("between incident_month", "incident_month not between 1 and 12"),
+            ("between day_of_week", "day_of_week not between 1 and 7"),
+            ("accepted_values crime_against", _AGAINST),
+            ("accepted_values source_period", "source_period not in ('1997_2015', '2016_2020')"),
+            ("accepted_values time_of_day", _DAY),
+            ("accepted_values season", _SEASONS),
+        ],
+    ),
+    (
+        "int_income_population",
+        "economy",
+        ["county", "year"],
+        [
+            ("between total_population", "total_population < 1"),
+        ],
+    ),
+    (
+        "crime_tiers",
+        "cat_tiers",
+        ["county_name", "offense_category_name", "total_crimes", "crime_percentile",
+         "crime_tier"],
+        [
+            ("between crime_percentile", "crime_percentile not between 0 and 1"),
+            ("accepted_values crime_tier", "crime_tier not in (1, 2, 3, 4)"),
+        ],
+    ),
+    (
+        "crime_tier_county_rank",
+        "county_crime",
+        ["county_name", "overall_crime_tier"],
+        [
+            ("between overall_crime_tier", "overall_crime_tier not between 1 and 4"),
+        ],
+    ),
+    (
+        "income_tier",
+        "county_income",
+        ["county", "avg_median_household_income", "income_percentile", "income_tier"],
+        [
+            ("between income_percentile", "income_percentile not between 0 and 1"),
+            ("accepted_values income_tier", "income_tier not in (1, 2, 3, 4)"),
+        ],
+    ),
+    (
+        "per_capita_tier",
+        "county_rate",
+        ["county", "avg_crime_per_1000", "crime_percentile", "crime_per_capita_tier"],
+        [
+            ("between crime_percentile", "crime_percentile not between 0 and 1"),
+            ("accepted_values crime_per_capita_tier", "crime_per_capita_tier not in (1, 2, 3, 4)"),
+        ],
+    ),
+    (
+        "final_county_tier_rank",
+        "ranks",
+        ["county", "crime_rank", "income_rank", "population_rank", "final_rank"],
+        [
+            ("between crime_rank", "crime_rank not between 0 and 4"),
+            ("between income_rank", "income_rank not between 0 and 4"),
+            ("between population_rank", "population_rank not between 0 and 4"),
+            ("between final_rank", "final_rank not between 1 and 4"),
+        ],
+    ),
+    (
+        "dim_date",
+        "dates",
+        ["date_key", "full_date", "year", "quarter", "month", "day_of_week", "season"],
+        [
+            ("between month", "month not between 1 and 12"),
+            ("between day_of_week", "day_of_week not between 1 and 7"),
+            ("accepted_values season", _SEASONS),
+        ],
+    ),
+    (
+        "dim_geography",
+        "geo",
+        ["geo_key", "city_name", "county_name", "state"],
+        [
+            ("accepted_values state", "state <> 'Colorado'"),
+        ],
+    ),
+    (
+        "dim_offense",
+        "offenses",
+        ["offense_key", "offense_category_name", "crime_against"],
+        [
+            ("accepted_values crime_against", _AGAINST),
+        ],
+    ),
+    (
+        "dim_agency",
+        "agencies",
+        ["agency_key", "agency_name", "primary_county"],
+        [],
+    ),
+    (
+        "dim_business",
+        "business",
+        ["business_key", "entity_id", "entity_name", "entity_status", "is_current",
+         "business_scd_id"],
+        [],
+    ),
+    (
+        "fct_crimes",
+        "crimes",
+        ["date_key", "geo_key", "offense_key", "incident_date", "time_of_day", "crime_count"],
+        [
+            ("accepted_values time_of_day", _DAY),
+            ("between crime_count", "crime_count <> 1"),
+        ],
+    ),
+    (
+        "fct_income_population",
+        "econ",
+        ["geo_key", "year", "total_population"],
+        [
+            ("between total_population", "total_population < 1"),
+        ],
+    ),
+    (
+        "fct_business_subsidy_tiers",
+        "scored",
+        ["business_key", "entity_id", "composite_tier", "qualifies_for_subsidy",
+         "subsidy_tier_label", "notification_eligible"],
+        [
+            ("between composite_tier", "composite_tier not between 1 and 4"),
+        ],
+    ),
+    (
+        "rpt_agency_baseline",
+        "baseline",
+        ["county_name", "agency_name", "total_crimes", "target_crimes_5pct_reduction",
+         "first_incident_date", "last_incident_date"],
+        [],
+    ),
+    (
+        "rpt_business_tier_lookup",
+        "lookup",
+        ["entity_id", "entity_name", "principal_county", "composite_tier",
+         "qualifies_for_subsidy", "notification_eligible", "subsidy_message"],
+        [
+            ("between composite_tier", "composite_tier not between 1 and 4"),
+        ],
+    ),
+    (
+        "rpt_city_time_trends",
+        "trends",
+        ["city_name", "county_name", "month", "month_name", "season", "day_of_week", "day_name",
+         "total_crimes"],
+        [
+            ("accepted_values season", _SEASONS),
+        ],
+    ),
+    (
+        "rpt_city_time_of_day",
+        "day_parts",
+        ["city_name", "county_name", "time_of_day", "offense_category_name", "crime_against",
+         "crime_count", "rnk"],
+        [
+            ("accepted_values time_of_day", _DAY),
+            ("accepted_values crime_against", _AGAINST),
+            ("accepted_values rnk", "rnk not in (1, 2, 3)"),
+        ],
+    ),
+    (
+        "rpt_city_demographics",
+        "demographics",
+        ["city_name", "county_name", "offense_category_name", "crime_against"],
+        [
+            ("accepted_values crime_against", _AGAINST),
+        ],
+    ),
 ]
 
 
@@ -1118,22 +1266,22 @@ def _declared_rows() -> str:
 O["dq_declared_row_checks"] = _declared_rows()
 
 _UNIQUE = {
-    "stg_business_entities": ("ent", "entity_id"),
-    "stg_city_county_zip": ("zips", "zip_code"),
-    "crime_tier_county_rank": ("county_crime", "county_name"),
-    "income_tier": ("county_income", "county"),
-    "per_capita_tier": ("county_rate", "county"),
-    "final_county_tier_rank": ("ranks", "county"),
-    "dim_date": ("dates", "date_key full_date"),
-    "dim_geography": ("geo", "geo_key"),
-    "dim_offense": ("offenses", "offense_key"),
-    "dim_agency": ("agencies", "agency_key agency_name"),
-    "dim_business": ("business", "business_key business_scd_id"),
-    "fct_business_subsidy_tiers": ("scored", "business_key entity_id"),
-    "rpt_business_tier_lookup": ("lookup", "entity_id"),
+    "stg_business_entities": ("ent", ["entity_id"]),
+    "stg_city_county_zip": ("zips", ["zip_code"]),
+    "crime_tier_county_rank": ("county_crime", ["county_name"]),
+    "income_tier": ("county_income", ["county"]),
+    "per_capita_tier": ("county_rate", ["county"]),
+    "final_county_tier_rank": ("ranks", ["county"]),
+    "dim_date": ("dates", ["date_key", "full_date"]),
+    "dim_geography": ("geo", ["geo_key"]),
+    "dim_offense": ("offenses", ["offense_key"]),
+    "dim_agency": ("agencies", ["agency_key", "agency_name"]),
+    "dim_business": ("business", ["business_key", "business_scd_id"]),
+    "fct_business_subsidy_tiers": ("scored", ["business_key", "entity_id"]),
+    "rpt_business_tier_lookup": ("lookup", ["entity_id"]),
 }
 O["dq_declared_unique_checks"] = "\nunion all ".join(
-    f"select '{table}' as \"table\", * from ({_checks([_duplicates(cte, c) for c in cols.split()])})"
+    f"select '{table}' as \"table\", * from ({_checks([_duplicates(cte, c) for c in cols])})"
     for table, (cte, cols) in _UNIQUE.items()
 )
 O["dq_invariants"] = f"""

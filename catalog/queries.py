@@ -54,6 +54,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SPLIT_DAY = "2024-01-16"
 LATE_DAY = "2024-01-05"
+COUNTY = "nation_3"
 EXTRACT_DAY = "2005-06-06"
 AS_OF = "2024-01-20 00:00:00"
 
@@ -325,10 +326,24 @@ _over("write_layer", lambda w: _write_layer(w, "dim_business"))
 _over("write_layer_incidents", lambda w: _write_layer(w, "int_crimes_unified"))
 _over("portal_reads", lambda w: portal.agency_baseline(w.tables("rpt_agency_baseline")))
 
-for _report in ("rpt_city_time_trends", "rpt_city_time_of_day", "rpt_city_demographics"):
-    _over(
-        f"portal_{_report}", lambda w, name=_report: portal.city_report(w.tables(name), name)
-    )
+_over(
+    "portal_rpt_city_time_trends",
+    lambda w: portal.city_report(
+        w.tables("rpt_city_time_trends"), "rpt_city_time_trends", COUNTY, ["City 1", "CITY 2"]
+    ),
+)
+_over(
+    "portal_rpt_city_time_of_day",
+    lambda w: portal.city_report(
+        w.tables("rpt_city_time_of_day"), "rpt_city_time_of_day", COUNTY.upper()
+    ),
+)
+_over(
+    "portal_rpt_city_demographics",
+    lambda w: portal.city_report(
+        w.tables("rpt_city_demographics"), "rpt_city_demographics", cities=[" city 3 "]
+    ),
+)
 
 # Staging
 _over_raw("stg_business_entities", "raw_entities", staging.stg_business_entities)
@@ -536,6 +551,24 @@ _over(
 
 # Dimensions, facts, reports and summary tables
 _over("dim_date", lambda w: dimensions.dim_date_spanning(w.int_crimes_unified))
+
+
+def _calendar(w: Warehouse) -> DataFrame:
+    """The fixed calendar with the incidents of each day, those outside it on a row of their own."""
+    days = dimensions.dim_date(w.int_crimes_unified.sparkSession).select("date_day", "date_key")
+    counts = w.int_crimes_unified.groupBy(F.col("incident_date").alias("date_day")).agg(
+        F.count("*").alias("incidents")
+    )
+    inside = days.join(counts, "date_day", "left").fillna(0, ["incidents"])
+    outside = joins.anti(counts, days, "date_day").agg(
+        F.lit(None).cast("date").alias("date_day"),
+        F.lit(None).cast("string").alias("date_key"),
+        F.coalesce(F.sum("incidents"), F.lit(0)).alias("incidents"),
+    )
+    return inside.unionByName(outside)
+
+
+_over("calendar_with_incidents", _calendar)
 _over(
     "dim_geography",
     lambda w: dimensions.dim_geography(w.stg_city_county_zip, w.stg_county_boundaries),

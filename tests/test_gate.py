@@ -91,3 +91,19 @@ def test_a_landed_day_reaches_gold_and_a_breach_stops_there(spark, sf_dir, tmp_p
     changed = {n for n in TABLES if after[n] != before[n]}
     assert "int_crimes_unified" in changed
     assert not changed & set(TABLES[TABLES.index("dim_business") :])
+
+
+def test_a_layer_table_is_rebuilt_from_itself_under_open_readers(spark, tmp_path):
+    from areaneed.sources.writers import write_layer
+
+    df = spark.createDataFrame([("01", 1), ("1", 2), (None, 3)], "code string, v int")
+    first = write_layer(df, "t", "gold", str(tmp_path), partition=["code"])
+    assert first.columns == ["code", "v"]
+    assert {tuple(r) for r in first.collect()} == {("01", 1), ("1", 2), (None, 3)}
+    second = write_layer(
+        first.withColumn("v", F.col("v") * 10), "t", "gold", str(tmp_path), ["v"], ["code"]
+    )
+    assert {tuple(r) for r in second.collect()} == {("01", 10), ("1", 20), (None, 30)}
+    assert {r["v"] for r in first.collect()} == {1, 2, 3}
+    last = published(spark, f"{tmp_path}/gold", "t").select("v").collect()
+    assert {r["v"] for r in last} == {10, 20, 30}
