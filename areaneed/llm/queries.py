@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +63,8 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenizer_path() -> str:
     """The public tokenizer that packing uses; its folder is the same on every machine."""
+    import public_tokenizers
+
     return public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -96,12 +97,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Arguments that a reply takes.
+#: Arguments that a reply takes; longer replies and later turns break it.
 REPLY = {
     "type": "object",
     "properties": {
-        "text": {"type": "string", "minLength": 1},
-        "turn": {"type": "integer", "minimum": 0},
+        "text": {"type": "string", "minLength": 1, "maxLength": 1500},
+        "turn": {"type": "integer", "minimum": 0, "maximum": 200},
     },
     "required": ["text", "turn"],
     "additionalProperties": False,
@@ -110,17 +111,21 @@ REPLY = {
 
 def tool_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations as tool traffic: each assistant turn is a call that comes after the assistant
-    turn two before it, each user turn is the result of the call just before it."""
+    turn two before it, the turns 5 and 7 also after the one four before; every other turn is the
+    result of the call just before it, or of none, as first turns and those of the system are."""
     name = lambda turn: F.concat_ws(":", F.col("conv_id"), turn)
-    calls = turns.where("role = 'assistant'").select(
+    is_call = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    turn = F.col("turn")
+    earlier = F.array(name(turn - 2), F.when(turn.isin(5, 7), name(turn - 4)))
+    calls = turns.where(is_call).select(
         "conv_id",
-        name(F.col("turn")).alias("call_id"),
+        name(turn).alias("call_id"),
         F.lit("reply").alias("name"),
         F.to_json(F.struct("turn", "text")).alias("arguments"),
-        name(F.col("turn") - 2).alias("after"),
+        F.array_compact(earlier).alias("after"),
     )
-    results = turns.where("role = 'user' and turn > 0").select(
-        "conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+    results = turns.where(~is_call).select(
+        "conv_id", name(turn - 1).alias("call_id"), F.col("text").alias("content")
     )
     return calls, results
 

@@ -47,7 +47,8 @@ def shuffle_shards(
     A null text has no bytes. Null ids are one key, as any id that many rows have: such rows share
     a shard but are spread over its buckets. Other columns pass through; input columns named like the
     added ones (or ``bucket`` and ``place``) are replaced. An empty table writes no rows. The order
-    is the same whenever the files are read in the same splits.
+    is the same whenever the rows are read in the same splits and shuffled into the same partitions;
+    the shards are the same in any case.
     """
     new = ["size", "shard", "bucket", "place", "slot", "grown_shard"]
     keep = [c for c in docs.columns if c not in new]

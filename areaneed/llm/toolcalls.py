@@ -2,9 +2,12 @@
 
 1. Results are reduced to one row an identifier, calls and results are then hash-joined on
    (conversation, identifier). Results without a call are kept as orphans.
-2. A call may name the call it comes after. Its depth in that forest is found by pointer doubling:
+2. A call may name the calls it comes after; its place is its depth in that graph, one more than that
+   of its deepest predecessor. Calls with a single predecessor are chains, followed by pointer doubling:
    each round a call points twice as far, so a chain of n calls takes log2(n) joins and no
-   conversation is ever gathered in a task. Calls that reach no root lie on or behind a cycle.
+   conversation is ever gathered in a task. That leaves the calls with several predecessors, which
+   are settled in topological rounds of joins, one for each such call that follows another. Calls that
+   are never settled lie on or behind a cycle.
 3. Rows are sorted by range over all tasks; the position in a conversation is the rank less
    the conversation's first rank.
 4. Arguments are parsed, checked against the tool's schema and written as canonical JSON, row by row.
@@ -19,6 +22,7 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areaneed.llm.words import text_column
 from areaneed.operators.groups import with_key
@@ -121,41 +125,75 @@ def _serialise(batches: Iterator[pa.RecordBatch], schemas: dict):
         )
 
 
-def depths(calls: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(conv_id, call_id, depth) from (conv_id, call_id, after), one row a call.
+def depths(calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, depth) from (conv_id, call_id, after), one row a call and predecessor.
 
-    Depth 0: the call names none, or one that is not there. Null: on or behind a cycle.
+    Depth 0: the call names none, or none that is there; else one more than its deepest predecessor.
+    Null: on or behind a cycle. Repeated rows are one; a null ``after`` names none.
     """
-    known = calls.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("there"))
-    state = calls.join(known, ["conv_id", "after"], "left").select(
-        "conv_id",
-        "call_id",
-        F.when(F.col("there"), F.col("after")).alias("after"),
-        F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"),
+    keys = ["conv_id", "call_id"]
+    nodes = calls.select(*keys).distinct()
+    edges = calls.where("after is not null").distinct().join(
+        nodes.select("conv_id", F.col("call_id").alias("after")), ["conv_id", "after"]
     )
-    state = materialise(state, "call-depths")
-    open_calls = state.where("after is not null").count()
-    n = state.count()
-    done = None
-    for _ in range(max_rounds):
-        if not open_calls or (done is not None and done > 2 * n):
-            break
+    edges = materialise(edges, "call-edges")
+    only = edges.groupBy(*keys).agg(F.count("*").alias("named"), F.min("after").alias("after"))
+    # Calls with no or several predecessors point to themselves: chains end there.
+    single = F.coalesce(F.col("named") == 1, F.lit(False))
+    state = nodes.join(only, keys, "left").select(
+        *keys,
+        F.when(single, F.col("after")).otherwise(F.col("call_id")).alias("end"),
+        single.cast("long").alias("far"),
+        (~single).alias("done"),
+        F.coalesce(F.col("named") > 1, F.lit(False)).alias("joins"),
+    )
+    state = materialise(state, "call-chains")
+    n, reach = state.count(), 1
+    # A pointer is up to 2^rounds calls ahead: what is open beyond n runs in a circle.
+    while reach <= 2 * n and state.where("not done").count():
         ahead = state.select(
-            "conv_id",
-            F.col("call_id").alias("after"),
-            F.col("after").alias("next"),
-            F.col("depth").alias("more"),
-        )
-        finished = state.where("after is null")
-        moved = state.where("after is not null").join(ahead, ["conv_id", "after"]).select(
-            "conv_id", "call_id", F.col("next").alias("after"), (F.col("depth") + F.col("more")).alias("depth")
+            "conv_id", F.col("call_id").alias("end"), F.col("end").alias("next"),
+            F.col("far").alias("more"), F.col("done").alias("ended"),
+        )
+        moved = state.where("not done").join(ahead, ["conv_id", "end"]).select(
+            *keys, F.col("next").alias("end"), (F.col("far") + F.col("more")).alias("far"),
+            F.col("ended").alias("done"), "joins",
+        )
+        state = materialise(state.where("done").unionByName(moved), "call-chains")
+        reach *= 2
+
+    ends = state.where("done").select(
+        "conv_id", F.col("call_id").alias("after"), "end", (F.col("far") + 1).alias("far")
+    )
+    several = state.where("joins").select(*keys)
+    waiting = edges.join(several, keys, "left_semi").join(ends, ["conv_id", "after"], "left")
+    waiting = materialise(waiting.select(*keys, "end", "far"), "call-joins")
+    settled = state.where("done and not joins and end = call_id").select(
+        *keys, F.lit(0).cast("long").alias("depth")
+    )
+    settled = materialise(settled, "call-depths")
+    left = waiting.count()
+    while left:
+        known = settled.select("conv_id", F.col("call_id").alias("end"), "depth")
+        ready = (
+            waiting.join(known, ["conv_id", "end"], "left")
+            .groupBy(*keys)
+            .agg(
+                F.max(F.col("depth") + F.col("far")).alias("depth"),
+                F.count_if(F.col("depth").isNull()).alias("open"),
+            )
+            .where(F.col("open") == 0)
+            .drop("open")
         )
-        state = materialise(finished.unionByName(moved), "call-depths")
-        open_calls = state.where("after is not null").count()
-        # After so many rounds a pointer is 2^rounds calls ahead: what is open then is a cycle.
-        done = 1 if done is None else 2 * done
-    return state.select(
-        "conv_id", "call_id", F.when(F.col("after").isNull(), F.col("depth")).alias("depth")
+        ready = materialise(ready, "call-ready")
+        waiting = materialise(waiting.join(ready, keys, "left_anti"), "call-joins")
+        settled = materialise(settled.unionByName(ready), "call-depths")
+        before, left = left, waiting.count()
+        if left == before:
+            break
+    known = settled.select("conv_id", F.col("call_id").alias("end"), "depth")
+    return state.join(known, ["conv_id", "end"], "left").select(
+        *keys, F.when(F.col("done"), F.col("depth") + F.col("far")).alias("depth")
     )
 
 
@@ -163,20 +201,24 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     """One row per call, and per result without a call, with its place, validity and JSON.
 
     ``calls``: conv_id, call_id, name, arguments (JSON text), after (call_id of the call it depends
-    on, or null). ``results``: conv_id, call_id, content. Returned: conv_id, call_id, name,
+    on, or an array of them, or null). ``results``: conv_id, call_id, content. Returned: conv_id, call_id, name,
     ``n_results``, ``status`` (linked, no result, orphan result), ``depth``, ``position`` (from 0 in the
     conversation, by depth, call_id, then content), ``valid``, ``errors`` and ``json``.
 
     Of several results of one identifier the smallest content is linked; ``n_results`` counts all. Calls
-    that repeat an identifier are rows of their own, linked with the same result; the smallest
-    ``after`` among them counts. Calls on or behind a cycle have a null depth and come last. A null
+    that repeat an identifier are rows of their own, linked with the same result; they come after all
+    that any of them names. Calls on or behind a cycle have a null depth and come last. A null
     conv_id or call_id is linked with nothing: such calls have depth 0, such results are
     orphans, one row each distinct pair. A null result content is a result. Texts that are not
     JSON, unknown tools and null arguments are not valid. Other columns are not read.
     Empty tables give an empty result.
     """
+    after = F.col("after")
+    if not isinstance(calls.schema["after"].dataType, T.ArrayType):
+        after = F.array(after)
     calls = calls.select(
-        *[F.col(c).cast("string").alias(c) for c in ("conv_id", "call_id", "name", "arguments", "after")]
+        *[F.col(c).cast("string").alias(c) for c in ("conv_id", "call_id", "name", "arguments")],
+        after.cast("array<string>").alias("after"),
     )
     once = results.select(
         *[F.col(c).cast("string").alias(c) for c in ("conv_id", "call_id", "content")]
@@ -186,7 +228,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     once = materialise(once, "results")
     keys = ["conv_id", "call_id"]
     named = calls.where("conv_id is not null and call_id is not null")
-    graph = depths(named.groupBy(*keys).agg(F.min("after").alias("after")))
+    graph = depths(named.select(*keys, F.explode_outer("after").alias("after")))
     linked = (
         calls.join(once.hint("shuffle_hash"), keys, "left")
         .join(graph.withColumn("in_graph", F.lit(True)), keys, "left")

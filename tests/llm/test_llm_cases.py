@@ -261,3 +261,37 @@ def test_neighbours_of_clusters_and_single_outliers(spark):
         recall.append(len({v for _, v, _ in own} & set(order)) / 20)
     recall.sort()
     assert np.mean(recall) >= 0.95 and np.mean(recall[: len(recall) // 10]) >= 0.9
+
+
+def test_calls_with_several_predecessors_beside_plain_recursion(spark):
+    import random
+
+    random.seed(8)
+    edges = {}
+    for i in range(300):  # a graph without cycles, chains and joins mixed
+        edges[f"n{i}"] = {f"n{j}" for j in random.sample(range(i), min(i, random.choice([0, 1, 1, 1, 2, 3])))}
+    for i in range(50):
+        edges[f"c{i}"] = {f"c{i - 1}"} if i else set()
+    edges |= {"z1": {"z2", "n5"}, "z2": {"z3"}, "z3": {"z1"}, "b": {"z2"}, "b2": {"b", "n1"}, "g": {"gone", "n0"}}
+    edges |= {"b0": {"z", "a"}, "a": set(), "z": {"a"}, "self": {"self"}}
+    rows = [("c", k, "t", "{}", sorted(v) or None) for k, v in edges.items()]
+    rows += [("c", "b0", "t", "{}", ["a"]), ("d", "n5", "t", "{}", ["n4", None])]
+    calls = spark.createDataFrame(rows, "conv_id string, call_id string, name string, arguments string, after array<string>")
+    results = spark.createDataFrame([], "conv_id string, call_id string, content string")
+    found = link_tool_calls(calls, results, {"t": {}}).where("conv_id = 'c'").collect()
+    known: dict = {}
+
+    def depth(k, seen=()):
+        if k in seen:
+            return None
+        if k not in known:
+            below = [depth(x, (*seen, k)) for x in edges[k] if x in edges]
+            known[k] = None if None in below else max((x + 1 for x in below), default=0)
+        return known[k]
+
+    on_cycle = {"z1", "z2", "z3", "b", "b2", "self"}
+    for r in found:
+        want = None if r["call_id"] in on_cycle else depth(r["call_id"])
+        assert r["depth"] == want, r["call_id"]
+    place = {r["call_id"]: r["position"] for r in found}
+    assert all(place[a] < place[k] for k, v in edges.items() if k not in on_cycle for a in v if a in edges)

@@ -14,8 +14,8 @@ from compare import duck_rows, spark_rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from areaneed.llm import licenses, toolcalls
-from areaneed.llm.queries import ORACLES, QUERIES, REPLY, document_path, read, tool_messages
+from areaneed.llm import licenses
+from areaneed.llm.queries import ORACLES, QUERIES, document_path, read
 from areaneed.llm.quality import classify
 
 TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -97,38 +97,61 @@ def test_packing_keeps_every_id(spark, sf_dir):
     assert padding <= 0.02 * sum(r["length"] for r in rows)
 
 
+def _plain_json(x):
+    """Canonical JSON written by hand."""
+    if isinstance(x, dict):
+        return "{" + ",".join(f"{_plain_json(k)}:{_plain_json(x[k])}" for k in sorted(x)) + "}"
+    if isinstance(x, str):
+        out = ""
+        for unit in x.encode("utf-16-be").hex(" ", 2).split():
+            c = chr(int(unit, 16))
+            short = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+            out += short.get(c) or (c if " " <= c <= "~" or c == "\x7f" else "\\u" + unit)
+        return f'"{out}"'
+    return "null" if x is None else str(x)
+
+
 def test_tool_calls(spark, sf_dir):
-    calls, results = tool_messages(read(spark, sf_dir, "conversations"))
-    calls, results = calls.collect(), results.collect()
-    found = {r["call_id"]: r for r in QUERIES["op7_tool_calls"](spark, sf_dir).collect()}
-    content = defaultdict(list)
-    for r in results:
-        content[r["call_id"]].append(r["content"])
-    after = {c["call_id"]: c["after"] for c in calls}
-
-    def depth(c):
-        return 1 + depth(after[c]) if after[c] in after else 0
-
-    for c in calls:
-        own = found[c["call_id"]]
-        text, errors = toolcalls.judged(c["name"], c["arguments"], {"reply": REPLY})
-        assert own["valid"] == (not errors)
-        assert own["n_results"] == len(content[c["call_id"]])
-        assert own["depth"] == depth(c["call_id"])
-        first = min(content[c["call_id"]], default=None)
-        assert own["json"] == toolcalls.message(
-            str(c["conv_id"]), c["call_id"], c["name"], text, first
-        )
-    orphans = {k for k in content if k not in after}
-    assert found.keys() == after.keys() | orphans
+    """Every turn of the table, beside plain Python that shares no code with the operator."""
+    turns = [tuple(r) for r in read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    rows = QUERIES["op7_tool_calls"](spark, sf_dir).collect()
+    found = {(r["conv_id"], r["call_id"], r["status"] != "orphan result"): r for r in rows}
+    calls = {(str(c), t): x for c, t, role, x in turns if role == "assistant"}
+    others = {(str(c), t - 1): x for c, t, role, x in turns if role != "assistant"}
+    assert len(rows) == len(found) == len(calls) + len(others.keys() - calls.keys())
+    assert len(turns) == len(calls) + len(others)
+
+    def depth(conv, turn):
+        before = [turn - 2] + ([turn - 4] if turn in (5, 7) else [])
+        return max([1 + depth(conv, t) for t in before if (conv, t) in calls], default=0)
+
+    broken = Counter()
+    for (conv, turn), text in calls.items():
+        r = found[conv, f"{conv}:{turn}", True]
+        errors = []
+        if text is None:
+            errors = ["$.text: missing"]
+        elif not 1 <= len(text) <= 1500:
+            errors = ["$.text: too long" if text else "$.text: too short"]
+        if turn > 200:
+            errors.append("$.turn: above maximum")
+        assert r["errors"] == "; ".join(errors) and r["valid"] == (not errors)
+        broken[bool(errors)] += 1
+        result = others.get((conv, turn))
+        assert r["status"] == ("linked" if (conv, turn) in others else "no result")
+        assert r["depth"] == depth(conv, turn)
+        arguments = {"turn": turn} | ({"text": text} if text is not None else {})
+        want = {"arguments": arguments, "call_id": f"{conv}:{turn}", "conv_id": conv, "name": "reply", "result": result}
+        assert r["json"] == _plain_json(want)
+    assert broken[False] and broken[True]
     by_conv = defaultdict(list)
-    for r in found.values():
+    for r in rows:
         by_conv[r["conv_id"]].append(r)
-    for rows in by_conv.values():
-        rows.sort(key=lambda r: r["position"])
-        assert [r["position"] for r in rows] == list(range(len(rows)))
-        depths = [r["depth"] for r in rows if r["status"] != "orphan result"]
-        assert depths == sorted(depths)
+    for own in by_conv.values():
+        own.sort(key=lambda r: r["position"])
+        assert [r["position"] for r in own] == list(range(len(own)))
+        depths = [r["depth"] for r in own if r["status"] != "orphan result"]
+        assert depths == sorted(depths) and None not in depths
 
 
 def test_licenses(spark, sf_dir):
