@@ -1,10 +1,13 @@
 """License scan in DataFrame functions only: TF-IDF cosine to templates, then inheritance by path.
 
 1. One scan counts in how many texts each word of the templates occurs.
-2. A line reaches the least cosine with a template only if it has one of the template's heaviest
-   words: the others alone are too short a vector (Cauchy-Schwarz). A second scan keeps those
-   lines of whole texts, and all of a licence file as one more, and compares them: each
-   word outside all templates is a dimension of its own with the largest weight. Nothing is shuffled.
+2. A text reaches the least cosine with a template only if it has one of the template's heaviest
+   words: the others alone are too short a vector (Cauchy-Schwarz). A second scan takes the texts
+   that have one and compares, with all templates, their lines and the whole of a licence file; and
+   with the template itself, the run of as many words as it has that puts the heavy word where the
+   template has it. Runs ignore line ends, so wrapped headers and notices inside longer lines
+   or licence texts are found. Each word outside all templates is a dimension of its own with the
+   largest weight. Nothing is shuffled.
 3. Licence files speak for their directory. Each directory is joined with its ancestors, and takes
    the deepest that has a licence; its documents without one inherit that. Only directories are
    gathered, however many documents one has.
@@ -21,18 +24,56 @@ from pyspark.sql import functions as F
 
 from areaneed.sources.scratch import materialise
 
-# Notices of well-known licences by their short names.
+# Notices of well-known licences and sentences that only their texts have.
 TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "MIT": "Released under the MIT License.",
-    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MPL-2.0": "Licensed under the Mozilla Public License, version 2.0.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
+        "except in compliance with the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    ],
+    "MIT": [
+        "Released under the MIT License.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        "software and associated documentation files (the Software), to deal in the Software "
+        "without restriction",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted",
+    ],
+    "BSD-3-Clause": [
+        "Licensed under the BSD 3-Clause License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission.",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "under the terms of the GNU General Public License as published by the Free Software "
+        "Foundation; either version 2 of the License",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "under the terms of the GNU General Public License as published by the Free Software "
+        "Foundation, either version 3 of the License",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software "
+        "Foundation, either version 3 of the License",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ],
+    "MPL-2.0": [
+        "Licensed under the Mozilla Public License, version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Mozilla Public License Version 2.0 1. Definitions",
+    ],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
 }
 _SPLIT = "[^a-z0-9]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -70,14 +111,14 @@ def scan_licenses(
     path: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    templates: dict[str, str] | None = None,
+    templates: dict[str, list[str]] | None = None,
     license_file: str = "LICENSE",
     least: float = 0.8,
 ) -> DataFrame:
     """One row per row of ``docs``: the id, ``path``, ``license``, ``score``, ``found`` and ``from_path``.
 
-    ``found``: ``own`` (a line of the text, or the whole of a licence file, has at least the cosine
-    ``least`` with a template), ``inherited`` (from the licence file ``from_path`` of the nearest
+    ``found``: ``own`` (a line of the text, a run of words as long as a template and in line with one of
+    its heavy words, or the whole of a licence file has at least the cosine ``least`` with a template), ``inherited`` (from the licence file ``from_path`` of the nearest
     directory above that has one) or ``none``. Of several the larger score counts (9 digits),
     then the smaller name of the licence; in a directory also the smaller path.
 
@@ -87,10 +128,10 @@ def scan_licenses(
     own. Other columns are not read. An empty table gives an empty result.
     """
     templates = TEMPLATES if templates is None else templates
-    counts = {name: Counter(words(text)) for name, text in templates.items()}
-    if not counts or not all(counts.values()):
+    named = [(name, words(text)) for name in sorted(templates) for text in templates[name]]
+    if not named or not all(own for _, own in named):
         raise ValueError("every template needs words")
-    vocabulary = sorted({w for c in counts.values() for w in c})
+    vocabulary = sorted({w for _, own in named for w in own})
     terms = F.array(*[F.lit(w) for w in vocabulary])
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     base = docs.select(
@@ -106,41 +147,99 @@ def scan_licenses(
     n = df.get("", 0)
     idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
     other = math.log(1 + n) + 1
-    weights = {t: {w: k * idf[w] for w, k in c.items()} for t, c in counts.items()}
-    anchors = sorted(set().union(*[_heavy(v, least) for v in weights.values()]))
+    weights = [{w: k * idf[w] for w, k in Counter(own).items()} for _, own in named]
+    heavy = [_heavy(v, least) for v in weights]
+    anchors = sorted(set().union(*heavy))
     pattern = "(?<![a-z0-9])(?:" + "|".join(anchors) + ")(?![a-z0-9])"
 
     is_file = F.element_at(F.split("path", "/"), -1) == license_file
     lines = F.split("lower", "[\\n\\r]+")
     lines = F.when(is_file, F.concat(lines, F.array("lower"))).otherwise(lines)
 
-    def counted_terms(line: Column) -> Column:
-        tf = F.transform(terms, lambda t: F.size(F.filter(line, lambda w: w == t)))
-        return F.struct(F.size(line).alias("n"), tf.alias("tf"))
-
-    def scores(line: Column) -> Column:
-        known = F.aggregate(line["tf"], F.lit(0), lambda total, x: total + x)
-        own = F.zip_with(line["tf"], _numbers([idf[w] for w in vocabulary]), lambda x, y: x * y)
-        norm = F.sqrt(_dot(own, own) + (line["n"] - known) * (other * other))
-        found = []
-        for name in sorted(weights):
-            v = [weights[name].get(w, 0.0) for w in vocabulary]
-            size = math.sqrt(sum(x * x for x in v))
-            score = F.round(_dot(own, _numbers(v)) / (norm * size), 9)
-            found.append(F.struct(score.alias("score"), F.lit(name).alias("license")))
-        return F.array(*found)
-
-    # Each step binds what the one before gave for a line, so nothing is evaluated twice.
-    matching = F.when(F.col("lower").rlike(pattern), F.filter(lines, lambda x: x.rlike(pattern)))
-    tokens = F.transform(
-        matching, lambda x: F.filter(F.split(x, _SPLIT), lambda w: w != "")
+    vectors = F.array(*[_numbers([v.get(w, 0.0) for w in vocabulary]) for v in weights])
+    sizes = _numbers([math.sqrt(sum(x * x for x in v.values())) for v in weights])
+    names = F.array(*[F.lit(name) for name, _ in named])
+    every = F.array(*[F.lit(t) for t in range(len(named))])
+    # Where a heavy word stands in its templates: (template, words before it, words of all).
+    place = F.create_map(
+        *[
+            x
+            for anchor in anchors
+            for x in (
+                F.lit(anchor),
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(t).alias("t"),
+                            F.lit(own.index(anchor)).alias("before"),
+                            F.lit(len(own)).alias("length"),
+                        )
+                        for t, (_, own) in enumerate(named)
+                        if anchor in heavy[t]
+                    ]
+                ),
+            )
+        ]
     )
+    heavy_words = F.array(*[F.lit(x) for x in anchors])
+
+    def terms_of(found: Column) -> Column:
+        """The terms of some words, counted; ``found`` has the words and the templates to compare."""
+        tf = F.transform(terms, lambda t: F.size(F.filter(found["w"], lambda w: w == t)))
+        return F.struct(F.size(found["w"]).alias("n"), tf.alias("tf"), found["ts"].alias("ts"))
+
+    def weighed(found: Column) -> Column:
+        known = F.aggregate(found["tf"], F.lit(0), lambda total, x: total + x)
+        own = F.zip_with(found["tf"], _numbers([idf[w] for w in vocabulary]), lambda x, y: x * y)
+        rest = (found["n"] - known) * (other * other)
+        return F.struct(own.alias("own"), rest.alias("rest"), found["ts"].alias("ts"))
+
+    def scores(found: Column) -> Column:
+        norm = F.sqrt(_dot(found["own"], found["own"]) + found["rest"])
+
+        def score(t: Column) -> Column:
+            cosine = _dot(found["own"], F.get(vectors, t)) / (norm * F.get(sizes, t))
+            return F.struct(F.round(cosine, 9).alias("score"), F.get(names, t).alias("license"))
+
+        return F.transform(found["ts"], score)
+
+    def cut(line: Column) -> Column:
+        return F.filter(F.split(line, _SPLIT), lambda w: w != "")
+
+    def runs(w: Column) -> Column:
+        """Runs of words of a text, by their templates."""
+        at = F.filter(
+            F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(heavy_words, F.get(w, i))
+        )
+        begins = F.flatten(
+            F.transform(
+                at,
+                lambda i: F.transform(
+                    F.element_at(place, F.get(w, i)),
+                    lambda p: F.struct(
+                        F.greatest(F.lit(1), i - p["before"] + 1).alias("start"),
+                        p["length"].alias("length"),
+                        p["t"].alias("t"),
+                    ),
+                ),
+            )
+        )
+        return F.transform(
+            F.array_distinct(begins),
+            lambda r: F.struct(
+                F.slice(w, r["start"], r["length"]).alias("w"), F.array(r["t"]).alias("ts")
+            ),
+        )
+
+    # Each step binds what the one before gave, so nothing is evaluated twice.
+    has_one = F.col("lower").rlike(pattern)
+    matching = F.filter(lines, lambda x: x.rlike(pattern))
+    whole = F.transform(matching, lambda x: F.struct(cut(x).alias("w"), every.alias("ts")))
+    inside = F.flatten(F.transform(F.array(cut(F.col("lower"))), runs))
+    found = F.when(has_one, F.concat(whole, inside))
+    found = F.transform(F.transform(F.transform(found, terms_of), weighed), scores)
     judged = base.select("id", "path", lower.alias("lower")).select(
-        "id",
-        "path",
-        F.coalesce(
-            F.flatten(F.transform(F.transform(tokens, counted_terms), scores)), F.array()
-        ).alias("scores"),
+        "id", "path", F.coalesce(F.flatten(found), F.array()).alias("scores")
     )
     judged = judged.select(
         "id",

@@ -295,3 +295,48 @@ def test_calls_with_several_predecessors_beside_plain_recursion(spark):
         assert r["depth"] == want, r["call_id"]
     place = {r["call_id"]: r["position"] for r in found}
     assert all(place[a] < place[k] for k, v in edges.items() if k not in on_cycle for a in v if a in edges)
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 John Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+import os
+"""
+
+
+def test_real_headers_and_licence_files_are_found(spark):
+    rows = [
+        (1, "a/LICENSE", MIT),
+        (2, "a/x/code.py", "import os"),
+        (3, "b/code.py", GPL_HEADER),
+        (4, "b/long.py", "# tool.py Released under the MIT License. Copyright 2020 John Doe. All else."),
+        (5, "b/wrapped.txt", "* This work is licensed under the GNU General\n * Public License, version 3.\n"),
+        (6, "c/file.js", "/* Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not"
+         " use this file except in compliance with the License. */"),
+        (7, "d/lesser.c", GPL_HEADER.replace("General", "Lesser General")),
+        (8, "e/none.txt", "She was licensed to drive, and the public was free to see the software museum."),
+        (9, "f/mpl.rs", "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0."),
+        (10, "g/LICENSE", "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989, 1991"),
+    ]
+    rows += [(100 + i, f"t/{i}", f"plain prose number {i} the of a version software file use") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, p string, text string")
+    found = {r["doc_id"]: r for r in scan_licenses(docs, F.col("p")).collect()}
+    got = {i: (found[i]["license"], found[i]["found"]) for i in range(1, 11)}
+    assert got == {
+        1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("MIT", "own"),
+        5: ("GPL-3.0", "own"), 6: ("Apache-2.0", "own"), 7: ("LGPL-3.0", "own"), 8: (None, "none"),
+        9: ("MPL-2.0", "own"), 10: ("GPL-2.0", "own"),
+    }
+    assert {found[100 + i]["found"] for i in range(60)} == {"none"}

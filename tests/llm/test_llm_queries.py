@@ -156,28 +156,43 @@ def test_tool_calls(spark, sf_dir):
 
 def test_licenses(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").withColumn("path", document_path()).collect()
-    counts = {k: Counter(licenses.words(v)) for k, v in licenses.TEMPLATES.items()}
-    vocabulary = {w for c in counts.values() for w in c}
+    named = [(k, licenses.words(x)) for k, v in licenses.TEMPLATES.items() for x in v]
+    vocabulary = {w for _, c in named for w in c}
     df, n = Counter(), len(docs)
     for d in docs:
         df.update(vocabulary & set(licenses.words(d["text"] or "")))
     idf = {w: math.log((1 + n) / (1 + df[w])) + 1 for w in vocabulary}
+    other = math.log(1 + n) + 1
+
+    def cosine(found, template):
+        a, b = Counter(found), Counter(template)
+        size = lambda c: math.sqrt(sum((k * idf.get(w, other)) ** 2 for w, k in c.items() if w in idf)
+                                   + sum(k for w, k in c.items() if w not in idf) * other**2)
+        return sum(a[w] * k * idf[w] ** 2 for w, k in b.items()) / (size(a) * size(b) or 1)
 
     def best(line):
-        tf = Counter(licenses.words(line))
-        other = sum(k for w, k in tf.items() if w not in idf) * (math.log(1 + n) + 1) ** 2
-        norm = math.sqrt(sum((k * idf[w]) ** 2 for w, k in tf.items() if w in idf) + other)
-        for name, c in counts.items():
-            size = math.sqrt(sum((k * idf[w]) ** 2 for w, k in c.items()))
-            dot = sum(tf[w] * k * idf[w] ** 2 for w, k in c.items())
-            if norm and dot / norm / size >= 0.8:
-                yield -round(dot / norm / size, 6), name
+        """All templates with a line, and with every run of words as long as a template."""
+        found = licenses.words(line)
+        for name, template in named:
+            if found and (x := cosine(found, template)) >= 0.8:
+                yield -round(x, 6), name
+
+    def runs(text):
+        found = licenses.words(text)
+        for name, template in named:
+            for word in set(template) & set(found):
+                for i in [i for i, w in enumerate(found) if w == word]:
+                    start = max(0, i - template.index(word))
+                    x = cosine(found[start : start + len(template)], template)
+                    if x >= 0.8:
+                        yield -round(x, 6), name
 
     own, files = {}, {}
     for d in docs:
         text = (d["text"] or "").replace("\r", "\n")
         lines = text.split("\n") + [text] * d["path"].endswith("/LICENSE")
-        own[d["doc_id"]] = min((x for line in lines for x in best(line)), default=None)
+        found = [x for line in lines for x in best(line)] + list(runs(text))
+        own[d["doc_id"]] = min(found, default=None)
         if own[d["doc_id"]] and d["path"].endswith("/LICENSE"):
             folder = d["path"].rpartition("/")[0]
             top = (*own[d["doc_id"]], d["path"])
