@@ -15,9 +15,12 @@ short inverted lists by their hash, then elements with long ones.
    fewer than c / 2 lists that way: two linked sets still meet in a group.
 3. Every group gets its texts and is searched: for each set the short lists of the group are
    merged by counting, the long ones are probed by binary search for the sets that can
-   still reach T. A group too large for a task is dealt by set size and hash into blocks, and
-   every pair of blocks that can hold links is searched. Only links that join two
-   parts are returned.
+   still reach T. Only links that join two parts are returned.
+   A group too large for a task is dealt by set size and hash into blocks, and each block is searched
+   alone; then a few sets of each block's largest component are searched together. Sets of the
+   group's largest component need no other links among themselves. All other sets travel on to every
+   block that can hold a link of theirs. So near copies, which end in one component, travel twice
+   however many they are; copies grow with the sets that are like no others.
 4. Connected components of the links, over all groups.
 
 Elements are 64-bit hashes of their words; sets are told apart by 128 bits.
@@ -28,7 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areaneed.llm.components import connected_components
@@ -42,6 +45,7 @@ _MAX_LONG = 1 << 18  # a bound of the broadcast; beyond it the longest lists are
 _SLOTS = 1 << 20  # of document ids, a bound of the other broadcast
 _MU = 0.01  # DivideSkip's weight of a probe
 _EXTRA = 8  # c is this part of the least overlap of a set
+_SPEAKING = 8  # sets of a block's largest component that are searched with those of other blocks
 
 
 def jaccard_components(
@@ -111,25 +115,31 @@ def jaccard_components(
         .where("all >= c and 2 * left > c - 1")
         .select("centre", "fp", "doc_id", "n")
     )
-    tasks, shards = _blocks(members, group_elements, p, q)
-    tasks = materialise(tasks, "jaccard-tasks")
-    # Few documents are searched. What is broadcast has at most _SLOTS rows at any input; a document
-    # that only shares a slot with a searched one is left to the join.
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(_SLOTS)).alias("slot")
-    slots = F.broadcast(tasks.select(slot).distinct())
-    found = (
-        base.where("doc_id is not null")
-        .withColumn("slot", slot)
-        .join(slots, "slot", "left_semi")
-        .join(tasks, "doc_id")
-        .select("doc_id", "text", F.explode("tasks").alias("t"))
-        .select("doc_id", "text", "t.fp", "t.task", F.pmod("t.task", F.lit(shards)).alias("shard"))
-    )
+    small, dealt = _blocks(members, group_elements, p, q)
+    alone = dealt.select("doc_id", "fp", _block_key().alias("task"), "n")
 
     def search(table: pa.Table) -> pa.Table:
         return _search(table, n, p, q)
 
-    links = found.groupBy("shard").applyInArrow(search, "u long, v long")
+    def searched(searches: DataFrame, name: str) -> DataFrame:
+        found = _routed(base, searches, group_elements)
+        links = found.groupBy("shard").applyInArrow(search, "u long, v long")
+        return materialise(links, f"jaccard-{name}-links")
+
+    links = searched(small.unionByName(alone), "own")
+    if not dealt.isEmpty():
+        first = _largest(dealt, links, ["centre", "size", "part"])
+        some = Window.partitionBy("centre", "size", "part").orderBy("fp", "doc_id")
+        speaking = first.where("in_largest").withColumn("place", F.row_number().over(some))
+        speaking = speaking.where(F.col("place") <= _SPEAKING)
+        together = F.xxhash64("centre", F.lit(_SPEAKING)).alias("task")
+        links = links.unionByName(
+            searched(speaking.select("doc_id", "fp", together, "n"), "speaking")
+        )
+        rest = _largest(dealt, links, ["centre"]).where("not in_largest")
+        rest = materialise(rest.select(*dealt.columns), "jaccard-rest")
+        if not rest.isEmpty():
+            links = links.unionByName(searched(_across(dealt, rest, group_elements), "rest"))
     parts = connected_components(links)
     by_set = reps.join(parts, reps["doc_id"] == parts["node"], "left").select(
         "fp", "fp2", "n", F.coalesce("component", "doc_id").alias("component")
@@ -160,8 +170,11 @@ def _long_lists(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return element[order], rows["centre"].to_numpy(np.int64).view(U64)[order]
 
 
-def _blocks(members: DataFrame, group_elements: int, p: int, q: int) -> tuple[DataFrame, int]:
-    """Document -> the searches it takes part in; the number of shards to run them in."""
+def _blocks(
+    members: DataFrame, group_elements: int, p: int, q: int
+) -> tuple[DataFrame, DataFrame]:
+    """Searches (doc_id, fp, task, n) of the groups that fit a task; members of the larger ones
+    with their block (``centre``, ``size`` class, ``part``)."""
     # Of linked sets the larger has at most q / p times the elements of the smaller, so with a ratio
     # just above that they are of the same size class or of neighbouring ones.
     ratio = F.log(F.lit(1.005 * q / p))
@@ -190,34 +203,76 @@ def _blocks(members: DataFrame, group_elements: int, p: int, q: int) -> tuple[Da
     small = members.where(F.col("elements") <= group_elements).select(
         "doc_id", "fp", F.xxhash64("centre").alias("task"), "n"
     )
-    dealt = members.where(F.col("elements") > group_elements).withColumn(
-        "part", F.pmod(F.xxhash64("doc_id", "fp"), F.element_at("parts", F.col("size"))).cast("int")
+    part = F.pmod(F.xxhash64("doc_id", "fp"), F.element_at("parts", F.col("size"))).cast("int")
+    dealt = members.where(F.col("elements") > group_elements).select(
+        "centre", "size", part.alias("part"), "doc_id", "fp", "n"
     )
+    return small, materialise(dealt, "jaccard-dealt")
 
-    def with_class(step: int):
-        other = F.col("size") + step
-        there = F.sequence(F.lit(0), F.coalesce(F.try_element_at("parts", other), F.lit(0)) - 1)
-        there = F.when(F.map_contains_key("parts", other), there).otherwise(
-            F.array().cast("array<int>")
-        )
-        own = F.struct(F.col("size").alias("size"), F.col("part").alias("part"))
 
-        def key(j):
-            its = F.struct(other.alias("size"), j.alias("part"))
-            return F.xxhash64("centre", F.least(own, its), F.greatest(own, its))
+def _block_key(*more: str) -> Column:
+    return F.xxhash64("centre", "size", "part", *more)
 
-        return F.transform(there, key)
 
-    crossed = dealt.select(
-        "doc_id",
-        "fp",
-        F.explode(F.concat(with_class(-1), with_class(0), with_class(1))).alias("task"),
-        "n",
+def _largest(dealt: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
+    """``dealt`` and whether a set is in the component that most sets of its ``keys`` are in."""
+    parts = connected_components(links)
+    known = dealt.join(parts, dealt["doc_id"] == parts["node"], "left").select(
+        *dealt.columns, F.coalesce("component", "doc_id").alias("component")
+    )
+    known = materialise(known, "jaccard-known")
+    most = Window.partitionBy(*keys).orderBy(F.desc("m"), "component")
+    largest = (
+        known.groupBy(*keys, "component")
+        .agg(F.count("*").alias("m"))
+        .withColumn("place", F.row_number().over(most))
+        .where("place = 1")
+        .select(*keys, F.col("component").alias("largest"))
+    )
+    return known.join(largest, keys).withColumn("in_largest", F.expr("component = largest"))
+
+
+def _across(dealt: DataFrame, rest: DataFrame, group_elements: int) -> DataFrame:
+    """Searches of each block with the sets of ``rest`` that can link with its sets."""
+    sizes = rest.groupBy("centre", "size").agg(
+        F.ceil(F.sum("n") * 2 / group_elements).cast("int").alias("cuts")
+    )
+    blocks = dealt.select("centre", "size", "part").distinct()
+    near = F.explode(F.array(*[F.col("size") + i for i in (-1, 0, 1)])).alias("size")
+    # A block meets each cut of the rest of its own size class and of the neighbouring ones.
+    meets = (
+        sizes.select("centre", F.col("size").alias("of"), "cuts", near)
+        .join(blocks, ["centre", "size"])
+        .select("centre", "size", "part", "of", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), "cuts")
     )
-    searches = small.unionByName(crossed)
+    meets = materialise(meets, "jaccard-meets")
+    task = _block_key("of", "cut").alias("task")
+    own = dealt.join(meets, ["centre", "size", "part"]).select("doc_id", "fp", task, "n")
+    guests = rest.select("centre", F.col("size").alias("of"), "doc_id", "fp", "n").join(
+        meets, ["centre", "of"]
+    )
+    its = F.pmod(F.xxhash64("fp", "doc_id"), F.col("cuts")) == F.col("cut")
+    return own.unionByName(guests.where(its).select("doc_id", "fp", task, "n")).distinct()
+
+
+def _routed(base: DataFrame, searches: DataFrame, group_elements: int) -> DataFrame:
+    """The texts of all searches, by shard."""
     total = searches.agg(F.sum("n")).first()[0] or 0
+    shards = max(64, -(-total // group_elements))
     tasks = searches.groupBy("doc_id").agg(F.collect_set(F.struct("fp", "task")).alias("tasks"))
-    return tasks, max(64, -(-total // group_elements))
+    tasks = materialise(tasks, "jaccard-tasks")
+    # Few documents are searched. What is broadcast has at most _SLOTS rows at any input; a document
+    # that only shares a slot with a searched one is left to the join.
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(_SLOTS)).alias("slot")
+    slots = F.broadcast(tasks.select(slot).distinct())
+    return (
+        base.where("doc_id is not null")
+        .withColumn("slot", slot)
+        .join(slots, "slot", "left_semi")
+        .join(tasks, "doc_id")
+        .select("doc_id", "text", F.explode("tasks").alias("t"))
+        .select("doc_id", "text", "t.fp", "t.task", F.pmod("t.task", F.lit(shards)).alias("shard"))
+    )
 
 
 def _sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -340,3 +340,33 @@ def test_real_headers_and_licence_files_are_found(spark):
         9: ("MPL-2.0", "own"), 10: ("GPL-2.0", "own"),
     }
     assert {found[100 + i]["found"] for i in range(60)} == {"none"}
+
+
+def test_copies_of_a_hot_group_grow_with_its_size(spark, monkeypatch):
+    """Near copies of one text, in groups far larger than a task takes."""
+    import random
+
+    from areaneed.llm import jaccard
+
+    routed, real = [], jaccard._routed
+
+    def counted(base, searches, group_elements):
+        routed.append(searches.count())
+        return real(base, searches, group_elements)
+
+    monkeypatch.setattr(jaccard, "_routed", counted)
+    totals = []
+    for copies in (100, 200, 400):
+        random.seed(1)
+        rows = []
+        for i in range(copies):
+            words = [f"c{j}" for j in range(200)]
+            words[random.randrange(200)] = f"own{i}"
+            rows.append((i, " ".join(words)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        routed.clear()
+        out = jaccard_components(docs, n=5, group_elements=4000).collect()
+        assert {r["component_id"] for r in out} == {0}
+        totals.append(sum(routed))
+    assert totals[0] >= 100 and totals[2] <= 2.5 * totals[1] <= 6.25 * totals[0]
+    assert totals[2] <= 3 * 400 * 5
