@@ -74,8 +74,10 @@ def percent_rank(df: DataFrame, measure: str, partition: list[str], name: str) -
     be parted by a border. ``df`` is read twice, so it is written first.
     """
     df = materialise(df, "ranked")
-    keys = [F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(partition)]
-    group = [f"_g{i}" for i in range(len(partition))]
+    # Without a partition all rows are one group under a constant.
+    keys = [F.col(f"`{c}`") for c in partition] or [F.lit(0)]
+    keys = [key.alias(f"_g{i}") for i, key in enumerate(keys)]
+    group = [f"_g{i}" for i in range(len(keys))]
     values = df.groupBy(*keys, F.col(f"`{measure}`").alias("_value")).agg(F.count("*").alias("_n"))
     ranges = values.repartitionByRange(*group, "_value").withColumn("_range", F.spark_partition_id())
     ranges = materialise(ranges, "ranked-values")
@@ -100,16 +102,13 @@ def percent_rank(df: DataFrame, measure: str, partition: list[str], name: str) -
     share = F.when(rows > 1, before / (rows - 1)).otherwise(F.lit(0.0))
     ranked = ranked.select(*group, "_value", share.alias("_share"))
     columns = [c for c in df.columns if c != name]
-    named = df.withColumns({f"_g{i}": F.col(f"`{c}`") for i, c in enumerate(partition)})
-    named = named.withColumn("_value", F.col(f"`{measure}`"))
+    named = df.select("*", *keys, F.col(f"`{measure}`").alias("_value"))
     out = _null_safe(named, ranked, [*group, "_value"])
     return out.select(*[F.col(f"`{c}`") for c in columns], F.col("_share").alias(name))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of rows that all have a partner, nulls with nulls."""
-    if not keys:
-        return left.join(F.broadcast(right), F.lit(True))  # one row
     renamed = right.withColumnsRenamed({c: f"{c}_r" for c in keys})
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_r")) for c in keys])
     return left.join(renamed, on).drop(*[f"{c}_r" for c in keys])
