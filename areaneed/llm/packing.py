@@ -40,7 +40,7 @@ _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 # Pre-tokens of such a text in lower case: fixed values of the tokenizer's file.
 _PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 _SPECIAL = "<|"  # opens the special tokens, which are found before pre-tokens are cut
-_STORE_BYTES = 96 << 20  # of strings and ids in each of two generations
+_STORE_BYTES = 56 << 20  # of strings and ids in each of two generations
 _ENTRY_BYTES = 190  # of an entry beside its string and ids
 _SLICE_BYTES = 1 << 19  # a task holds a few dozen bytes for each byte of a slice
 _LINE, _LINES = 500, 8  # strings encoded at once
@@ -273,3 +273,4 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: i
     classes.finish()
     for lo in range(0, len(classes.done), _ROWS):
         yield _batch(classes.done[lo : lo + _ROWS])
+    pa.default_memory_pool().release_unused()
