@@ -40,7 +40,6 @@ _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 # Pre-tokens of such a text in lower case: fixed values of the tokenizer's file.
 _PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 _SPECIAL = "<|"  # opens the special tokens, which are found before pre-tokens are cut
-_STORE_BYTES = 56 << 20  # of strings and ids in each of two generations
 _ENTRY_BYTES = 190  # of an entry beside its string and ids
 _SLICE_BYTES = 1 << 19  # a task holds a few dozen bytes for each byte of a slice
 _LINE, _LINES = 500, 8  # strings encoded at once
@@ -54,6 +53,7 @@ def harmonic_pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     capacity: int = 4096,
+    store_bytes: int = 56 << 20,
 ) -> DataFrame:
     """One row per piece: the id, ``start`` (ids of its document before it), ``length``, ``ids``
     (little-endian unsigned 32-bit), ``doc_tokens``, ``sequence_id`` and ``offset`` in it.
@@ -63,7 +63,8 @@ def harmonic_pack(
     or as long as a power of two.
 
     A null or empty text is ``end_id`` alone, so every row has at least one piece. A null id stays
-    null; rows with equal ids are packed one by one. Other columns are not read. An
+    null; ``store_bytes`` bounds the strings and ids a worker keeps, in each of two generations, and
+    changes no result; rows with equal ids are packed one by one. Other columns are not read. An
     empty table gives an empty result. The file at ``tokenizer_path`` must be readable by executors; it
     has to be a word tokenizer: white space separates its pre-tokens and is dropped.
     """
@@ -73,7 +74,9 @@ def harmonic_pack(
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
-    pack = partial(_pack, path=tokenizer_path, end_id=end_id, capacity=capacity)
+    pack = partial(
+        _pack, path=tokenizer_path, end_id=end_id, capacity=capacity, store_bytes=store_bytes
+    )
     return base.mapInArrow(pack, _PIECES).withColumnRenamed("id", id_col)
 
 
@@ -82,13 +85,14 @@ class _Store:
 
     def __init__(self, encode: Callable[[list], Iterator[bytes]]) -> None:
         self.encode = encode
+        self.most = 0
         self.young: dict = {}
         self.old: dict = {}
         self.used = 0
 
     def of(self, texts: list[list]) -> Iterator[bytes]:
         """The ids of each text, given as its strings."""
-        if self.used > _STORE_BYTES:
+        if self.used > self.most:
             self.young, self.old, self.used = {}, self.young, 0
         flat = list(chain.from_iterable(texts))
         found = list(map(self.young.get, flat))
@@ -163,13 +167,15 @@ class _Ids:
             at = end
 
 
-def _worker_ids(path: str) -> _Ids:
+def _worker_ids(path: str, store_bytes: int) -> _Ids:
     """The tokenizer of this worker process, which outlives a task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     held = sys.modules.setdefault("_packing_tokenizers", types.ModuleType("_packing_tokenizers"))
     if path not in held.__dict__:
         held.__dict__[path] = _Ids(path)
-    return held.__dict__[path]
+    ids = held.__dict__[path]
+    ids.pre_tokens.most = ids.words.most = store_bytes
+    return ids
 
 
 class _Classes:
@@ -258,14 +264,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int):
+def _pack(
+    batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int, store_bytes: int
+):
     # A worker's sequences are numbered in a range of its own.
     classes = _Classes(capacity, TaskContext.get().partitionId() << 40)
     end = np.array([end_id], "<u4").tobytes()
     for batch in byte_slices(batches, "text", _SLICE_BYTES):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         keys = batch.column("id").to_pylist()
-        for key, ids in zip(keys, _worker_ids(path).of(texts), strict=True):
+        for key, ids in zip(keys, _worker_ids(path, store_bytes).of(texts), strict=True):
             classes.add(key, ids + end)
             if len(classes.done) >= _ROWS:
                 yield _batch(classes.done)
