@@ -44,8 +44,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 tokens."""
-    pieces = harmonic_pack(docs, tokenizer_path(), end_id=2, capacity=4096)
+    """Pieces of sequences of 4096 tokens; workers keep few encoded words, as other stages share them."""
+    pieces = harmonic_pack(
+        docs, tokenizer_path(), end_id=2, capacity=4096, store_bytes=12 << 20
+    )
     return pieces.select(
         "doc_id",
         "start",
