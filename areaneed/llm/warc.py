@@ -163,6 +163,9 @@ def members(file, size: int) -> dict[str, tuple[int, int]]:
     """Stored members of a ZIP file: name -> (first byte, length). ``file.read_at(n, at)``."""
     tail = file.read_at(min(size, 65_557), max(0, size - 65_557))
     at = tail.rfind(b"PK\x05\x06")
+    # A comment may hold the mark as well: the record's own comment has to end where the file does.
+    while at >= 0 and not _ends_file(tail, at):
+        at = tail.rfind(b"PK\x05\x06", 0, at + 3)
     if at < 0:
         raise ValueError("no end of a central directory")
     entries, length, start = struct.unpack_from("<HII", tail, at + 10)
@@ -192,6 +195,12 @@ def members(file, size: int) -> dict[str, tuple[int, int]]:
     return found
 
 
+def _ends_file(tail: bytes, at: int) -> bool:
+    if at + 22 > len(tail):
+        return False
+    return at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail)
+
+
 def _zip64(extra: bytes, packed: int, plain: int, header: int) -> tuple[int, int]:
     """Sizes and places that do not fit 32 bits stand in an extra field, in this order."""
     at = 0
