@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from areaneed.llm.quality import classify, site_posteriors
 from areaneed.llm.sharding import shuffle_shards
-from areaneed.llm.warc import DATA, INDEX, members, read_archives, write_archives
+from areaneed.llm.warc import members, read_archives, write_archives
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
