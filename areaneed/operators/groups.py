@@ -40,6 +40,34 @@ def latest_per_key(
     return first_of_group(df.dropna(subset=keys), keys, order)
 
 
+def count_sets(df: DataFrame, sets: Mapping[str, list[str]], *more: Column) -> DataFrame:
+    """Rows (``n``) and ``more`` aggregates by each of several sets of columns, in one scan.
+
+    ``set`` names the set a row belongs to; the columns of other sets are null there. A null in a
+    column of the set's own is a value like any other. Only counts are shuffled.
+    """
+    columns = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    # The bits of the grouping id, first column first, mark the columns a set is without.
+    ids = {
+        name: sum((c not in keys) << i for i, c in enumerate(reversed(columns)))
+        for name, keys in sets.items()
+    }
+    if len(set(ids.values())) < len(ids):
+        raise ValueError("two sets have the same columns")
+    name = F.lit(None).cast("string")
+    for label, id_ in ids.items():
+        name = F.when(F.grouping_id() == id_, label).otherwise(name)
+    groups = [[F.col(c) for c in keys] for keys in sets.values()]
+    return df.groupingSets(groups, *[F.col(c) for c in columns]).agg(
+        name.alias("set"), F.count("*").alias("n"), *more
+    )
+
+
+def how_many(df: DataFrame) -> Column:
+    """Rows of a group, where ``df`` holds plain rows or counts of them in ``n``."""
+    return F.sum("n") if "n" in df.columns else F.count("*")
+
+
 def share_of(
     df: DataFrame, measure: str, keys: list[str], name: str = "share_pct", digits: int = 2
 ) -> DataFrame:

@@ -1,46 +1,42 @@
-"""Three declared summary tables whose columns are given but whose rules are ours."""
+"""Three declared summary tables whose columns are given but whose rules are ours.
+
+All are made of ``fact_counts``: the incidents themselves are not read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areaneed.functions.calendar import season
 from areaneed.functions.scores import mean_of_present, rate
 from areaneed.operators.groups import quartile_tier
 from areaneed.operators.joins import drill_across
+from areaneed.plans.counts import of_set
 from areaneed.plans.facts import county_keys
-from areaneed.plans.reports import with_category
 
 
 def _commonest(value: str) -> Column:
-    """Value with the most rows ('n'); ties go to the smaller value."""
-    return F.min(F.struct((-F.col("n")).alias("n"), F.col(value)))[value]
+    """Known value with the most rows ('n'); ties go to the smaller value."""
+    place = F.struct((-F.col("n")).alias("n"), F.col(value))
+    return F.min(F.when(F.col(value).isNotNull(), place))[value]
 
 
 def agg_county_month(
-    crimes: DataFrame, geo: DataFrame, offense: DataFrame, income_population: DataFrame
+    counts: DataFrame, geo: DataFrame, income_population: DataFrame
 ) -> DataFrame:
-    """Per county and month: incidents, rate per 100,000 people, mean age, top category."""
-    per_category = (
-        with_category(crimes, offense)
-        .groupBy(
-            "geo_key",
-            "offense_category_name",
-            F.year("incident_date").alias("year"),
-            F.month("incident_date").alias("month"),
-        )
+    """Per county and month: incidents, rate per 100,000 people, mean age, top category.
+
+    Incidents without an offense take no part."""
+    months = (
+        of_set(counts, "county_month")
+        .where(F.col("offense_category_name").isNotNull())
+        .groupBy("geo_key", "year", "month")
         .agg(
-            F.count("*").alias("n"),
-            F.sum("age_num").alias("a"),
-            F.count("age_num").alias("r"),
+            F.sum("n").alias("total_crimes"),
+            F.round(F.try_divide(F.sum("ages"), F.sum("aged")), 2).alias("avg_age"),
+            _commonest("offense_category_name").alias("top_offense_category"),
         )
     )
-    months = per_category.groupBy("geo_key", "year", "month").agg(
-        F.sum("n").alias("total_crimes"),
-        F.round(F.try_divide(F.sum("a"), F.sum("r")), 2).alias("avg_age"),
-        _commonest("offense_category_name").alias("top_offense_category"),
-    )
     people = income_population.groupBy("geo_key", "year").agg(
         F.max("total_population").alias("people")
     )
@@ -60,16 +56,14 @@ def agg_county_month(
 
 
 def agg_tier_rankings(
-    crimes: DataFrame, geo: DataFrame, income_population: DataFrame
+    counts: DataFrame, geo: DataFrame, income_population: DataFrame
 ) -> DataFrame:
     """Per county and year: three scores among that year's counties, tier and rank.
 
     Rank 1 has the highest sum of scores. A year has one row per county, so the windows
     hold a few dozen rows.
     """
-    yearly = crimes.groupBy("geo_key", F.year("incident_date").alias("year")).agg(
-        F.count("*").alias("n")
-    )
+    yearly = of_set(counts, "county_month").groupBy("geo_key", "year").agg(F.sum("n").alias("n"))
     economy = income_population.groupBy("geo_key", "year").agg(
         F.max("total_population").alias("people"),
         F.max("median_household_income").alias("income"),
@@ -111,46 +105,26 @@ def agg_tier_rankings(
     )
 
 
-def agg_city_season(
-    crimes: DataFrame, geo: DataFrame, offense: DataFrame, date: DataFrame
-) -> DataFrame:
-    """Per city, season and calendar year: incidents per day, peak hour, top category."""
+def agg_city_season(counts: DataFrame, geo: DataFrame, date: DataFrame) -> DataFrame:
+    """Per city, season and calendar year: incidents per day, peak hour, top category.
+
+    Incidents without a day of the calendar or an offense take no part."""
     cities = geo.select(F.col("geo_key").alias("city_geo_key"), "city_name")
     season_days = date.groupBy("season", "year").agg(F.count("*").alias("days"))
-    # The fact is counted once, by hour and category; hours and categories are told apart in the counts.
-    values = F.array(
-        F.struct(F.lit("hour").alias("kind"), F.col("incident_hour").cast("string").alias("value")),
-        F.struct(F.lit("category").alias("kind"), F.col("offense_category_name").alias("value")),
-    )
     keys = ["city_name", "season", "year"]
-    counts = (
-        with_category(crimes, offense)
-        .where(F.col("city_geo_key").isNotNull() & F.col("date_key").isNotNull())
-        .groupBy(
-            "city_geo_key",
-            season(F.col("incident_date")).alias("season"),
-            F.year("incident_date").alias("year"),
-            "incident_hour",
-            "offense_category_name",
-        )
-        .agg(F.count("*").alias("n"))
-        .select("city_geo_key", "season", "year", "n", F.explode(values).alias("v"))
+    cells = (
+        counts.where(F.col("set").isin("city_hour", "city_category") & (F.col("placed") > 0))
         .join(cities, "city_geo_key")
-        .groupBy(*keys, "v.kind", "v.value")
-        .agg(F.sum("n").alias("n"))
+        .groupBy(*keys, "set", "incident_hour", "offense_category_name")
+        .agg(F.sum("placed").alias("n"))
     )
-
-    def commonest(kind: str, kind_type: str) -> Column:
-        is_kind = (F.col("kind") == kind) & F.col("value").isNotNull()
-        place = F.struct((-F.col("n")).alias("n"), F.col("value").cast(kind_type).alias("value"))
-        return F.min(F.when(is_kind, place))["value"]
-
+    by_hour = F.col("set") == "city_hour"
     return (
-        counts.groupBy(*keys)
+        cells.groupBy(*keys)
         .agg(
-            F.sum(F.when(F.col("kind") == "hour", F.col("n"))).alias("total"),
-            commonest("hour", "int").alias("peak_crime_hour"),
-            commonest("category", "string").alias("top_offense_type"),
+            F.sum(F.when(by_hour, F.col("n"))).alias("total"),
+            _commonest("incident_hour").alias("peak_crime_hour"),
+            _commonest("offense_category_name").alias("top_offense_type"),
         )
         .join(season_days, ["season", "year"])
         .select(

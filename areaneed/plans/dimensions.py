@@ -18,7 +18,7 @@ from areaneed.constants import (
 )
 from areaneed.functions.calendar import day_name, is_weekend, month_name, season
 from areaneed.functions.text import clean_key, clean_zip
-from areaneed.operators.groups import first_of_group, with_key
+from areaneed.operators.groups import first_of_group, how_many, with_key
 from areaneed.operators.joins import lookup_left
 
 
@@ -35,11 +35,11 @@ def dim_date(
     return calendar(bounds)
 
 
-def dim_date_spanning(incidents: DataFrame) -> DataFrame:
+def dim_date_spanning(
+    incidents: DataFrame, first: str = "incident_date", last: str = "incident_date"
+) -> DataFrame:
     """Whole calendar years from the first to the last incident."""
-    span = incidents.agg(
-        F.min("incident_date").alias("first"), F.max("incident_date").alias("last")
-    )
+    span = incidents.agg(F.min(first).alias("first"), F.max(last).alias("last"))
     return calendar(
         span.select(
             F.trunc("first", "year").alias("start"),
@@ -130,11 +130,12 @@ def dim_offense(incidents: DataFrame, known: DataFrame | None = None) -> DataFra
 
 
 def dim_agency(incidents: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Each agency with the county it reports most; ties go to the first name."""
+    """Each agency with the county it reports most, from incidents or counts of them (``n``); ties go
+    to the first name."""
     counts = (
         incidents.where(F.col("agency_name").isNotNull())
         .groupBy("agency_name", "county_name")
-        .agg(F.count("*").alias("n"))
+        .agg(how_many(incidents).alias("n"))
     )
     main = first_of_group(
         counts, ["agency_name"], [F.col("n").desc(), F.col("county_name").asc_nulls_last()]

@@ -28,6 +28,7 @@ from areaneed.sources.versions import read_version
 #: In the order in which they are built.
 TABLES = [
     "int_crimes_unified",
+    "incident_counts",
     "int_income_population",
     "crime_tiers",
     "crime_tier_county_rank",
@@ -40,6 +41,7 @@ TABLES = [
     "dim_agency",
     "dim_business",
     "fct_crimes",
+    "fact_counts",
     "fct_income_population",
     "fct_business_subsidy_tiers",
     "rpt_agency_baseline",

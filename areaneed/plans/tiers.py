@@ -1,6 +1,7 @@
 """Need tiers 1-4 of each county, by incidents, income and incidents per person.
 
-Incidents are counted per county first; all that follows works on one row per county.
+Incidents are counted per county first; all that follows works on one row per county. Where
+incidents are asked for, counts of them (a column ``n``) do as well.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from areaneed.constants import CRIME_CATEGORIES
 from areaneed.functions.scores import mean_of_present
 from areaneed.functions.text import clean_key
-from areaneed.operators.groups import pivot_max, quartile_tier
+from areaneed.operators.groups import how_many, pivot_max, quartile_tier
 from areaneed.operators.joins import drill_across
 
 
@@ -22,7 +23,7 @@ def crime_tiers(incidents: DataFrame, categories: Iterable[str] = CRIME_CATEGORI
     counts = (
         incidents.where(F.col("offense_category_name").isin(list(categories)))
         .groupBy("county_name", "offense_category_name")
-        .agg(F.count("*").alias("total_crimes"))
+        .agg(how_many(incidents).alias("total_crimes"))
     )
     return quartile_tier(
         counts,
@@ -71,7 +72,7 @@ def per_capita_tier(incidents: DataFrame, income_population: DataFrame) -> DataF
     """
     yearly = incidents.groupBy(
         clean_key(F.col("county_name")).alias("county"), F.col("incident_year").alias("year")
-    ).agg(F.count("*").alias("n"))
+    ).agg(how_many(incidents).alias("n"))
     people = income_population.where(F.col("total_population") > 0).select(
         F.col("county_normalized").alias("county"), "year", "total_population"
     )

@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from areaneed.plans import dimensions, facts, reports, staging, tiers, unify
+from areaneed.plans import counts, dimensions, facts, reports, staging, tiers, unify
 from areaneed.sources.scratch import materialise
 from areaneed.sources.writers import write_layer
 
@@ -98,6 +98,10 @@ class Warehouse:
         )
         return self.save(rows, "int_crimes_unified")
 
+    @cached_property
+    def incident_counts(self) -> DataFrame:
+        return self.save(counts.incident_counts(self.int_crimes_unified), "incident_counts")
+
     @cached_property
     def int_income_population(self) -> DataFrame:
         rows = unify.int_income_population(self.stg_income, self.stg_population)
@@ -105,7 +109,8 @@ class Warehouse:
 
     @cached_property
     def crime_tiers(self) -> DataFrame:
-        return self.save(tiers.crime_tiers(self.int_crimes_unified), "crime_tiers")
+        rows = tiers.crime_tiers(counts.of_set(self.incident_counts, "category"))
+        return self.save(rows, "crime_tiers")
 
     @cached_property
     def crime_tier_county_rank(self) -> DataFrame:
@@ -117,7 +122,8 @@ class Warehouse:
 
     @cached_property
     def per_capita_tier(self) -> DataFrame:
-        rows = tiers.per_capita_tier(self.int_crimes_unified, self.int_income_population)
+        yearly = counts.of_set(self.incident_counts, "year")
+        rows = tiers.per_capita_tier(yearly, self.int_income_population)
         return self.save(rows, "per_capita_tier")
 
     @cached_property
@@ -130,7 +136,9 @@ class Warehouse:
     # gold layer: dimensions
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self.save(dimensions.dim_date_spanning(self.int_crimes_unified), "dim_date")
+        yearly = counts.of_set(self.incident_counts, "year")
+        rows = dimensions.dim_date_spanning(yearly, "first_date", "last_date")
+        return self.save(rows, "dim_date")
 
     @cached_property
     def dim_geography(self) -> DataFrame:
@@ -143,12 +151,14 @@ class Warehouse:
 
     @cached_property
     def dim_offense(self) -> DataFrame:
-        rows = dimensions.dim_offense(self.int_crimes_unified, self.known("dim_offense"))
+        offenses = counts.of_set(self.incident_counts, "offense")
+        rows = dimensions.dim_offense(offenses, self.known("dim_offense"))
         return self.save(rows, "dim_offense")
 
     @cached_property
     def dim_agency(self) -> DataFrame:
-        rows = dimensions.dim_agency(self.int_crimes_unified, self.known("dim_agency"))
+        agencies = counts.of_set(self.incident_counts, "agency")
+        rows = dimensions.dim_agency(agencies, self.known("dim_agency"))
         return self.save(rows, "dim_agency")
 
     @cached_property
@@ -168,6 +178,10 @@ class Warehouse:
         )
         return self.save(rows, "fct_crimes")
 
+    @cached_property
+    def fact_counts(self) -> DataFrame:
+        return self.save(counts.fact_counts(self.fct_crimes, self.dim_offense), "fact_counts")
+
     @cached_property
     def fct_income_population(self) -> DataFrame:
         rows = facts.fct_income_population(self.int_income_population, self.dim_geography)

@@ -630,6 +630,31 @@ O["rpt_city_demographics"] = "select * from demographics"
 O["rpt_city_time_of_day"] = "select * from day_parts"
 O["rpt_city_time_trends"] = "select * from trends"
 
+O["incident_counts"] = "\nunion all by name ".join(
+    f"""select '{name}' as "set", {keys}, count(*) as n, min(incident_date) as first_date,
+  max(incident_date) as last_date from incidents group by all"""
+    for name, keys in (
+        ("category", "county_name, offense_category_name"),
+        ("year", "county_name, incident_year"),
+        ("agency", "agency_name, county_name"),
+        ("offense", "offense_category_name, offense_name, crime_against, offense_group"),
+    )
+)
+O["fact_counts"] = f"""
+with rows as (
+  select c.*, cast(year(incident_date) as int) as year, cast(month(incident_date) as int) as month,
+    {_SEASON.format(d="incident_date")} as season, offense_category_name,
+    date_key is not null and offense_category_name is not null as whole
+  from crimes c left join offenses using (offense_key))
+""" + "\nunion all by name ".join(
+    f"""select '{name}' as "set", {keys}, count(*) as n, count_if(whole) as placed,
+  cast(sum(age_num) as bigint) as ages, count(age_num) as aged from rows group by all"""
+    for name, keys in (
+        ("county_month", "geo_key, year, month, offense_category_name"),
+        ("city_hour", "city_geo_key, season, year, incident_hour"),
+        ("city_category", "city_geo_key, season, year, offense_category_name"),
+    )
+)
 O["agg_county_month"] = """
 select county as county_name, cast(y as int) as year, cast(m as int) as month, total_crimes,
   round(total_crimes * 100000.0 / nullif(people, 0), 2) as crimes_per_100k, avg_age,

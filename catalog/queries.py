@@ -29,6 +29,7 @@ from areaneed.operators import groups, joins, merge, quality
 from areaneed.plans import (
     aggregates,
     checks,
+    counts,
     dimensions,
     facts,
     lake,
@@ -535,12 +536,18 @@ def int_income_population(spark, sf_dir):
     )
 
 
-_over("crime_tiers", lambda w: tiers.crime_tiers(w.int_crimes_unified))
+_over("incident_counts", lambda w: counts.incident_counts(w.int_crimes_unified))
+_over(
+    "crime_tiers",
+    lambda w: tiers.crime_tiers(counts.of_set(w.incident_counts, "category")),
+)
 _over("crime_tier_county_rank", lambda w: tiers.crime_tier_county_rank(w.crime_tiers))
 _over("income_tier", lambda w: tiers.income_tier(w.int_income_population))
 _over(
     "per_capita_tier",
-    lambda w: tiers.per_capita_tier(w.int_crimes_unified, w.int_income_population),
+    lambda w: tiers.per_capita_tier(
+        counts.of_set(w.incident_counts, "year"), w.int_income_population
+    ),
 )
 _over(
     "final_county_tier_rank",
@@ -573,8 +580,11 @@ _over(
     "dim_geography",
     lambda w: dimensions.dim_geography(w.stg_city_county_zip, w.stg_county_boundaries),
 )
-_over("dim_offense", lambda w: dimensions.dim_offense(w.int_crimes_unified))
-_over("dim_agency", lambda w: dimensions.dim_agency(w.int_crimes_unified))
+_over(
+    "dim_offense",
+    lambda w: dimensions.dim_offense(counts.of_set(w.incident_counts, "offense")),
+)
+_over("dim_agency", lambda w: dimensions.dim_agency(counts.of_set(w.incident_counts, "agency")))
 _over(
     "dim_business",
     lambda w: dimensions.dim_business(w.stg_snapshot, w.stg_city_county_zip, RUN_TS),
@@ -624,23 +634,22 @@ _over(
     "rpt_city_time_trends",
     lambda w: reports.rpt_city_time_trends(w.fct_crimes, w.dim_geography, w.dim_date),
 )
+_over("fact_counts", lambda w: counts.fact_counts(w.fct_crimes, w.dim_offense))
 _over(
     "agg_county_month",
     lambda w: aggregates.agg_county_month(
-        w.fct_crimes, w.dim_geography, w.dim_offense, w.fct_income_population
+        w.fact_counts, w.dim_geography, w.fct_income_population
     ),
 )
 _over(
     "agg_tier_rankings",
     lambda w: aggregates.agg_tier_rankings(
-        w.fct_crimes, w.dim_geography, w.fct_income_population
+        w.fact_counts, w.dim_geography, w.fct_income_population
     ),
 )
 _over(
     "agg_city_season",
-    lambda w: aggregates.agg_city_season(
-        w.fct_crimes, w.dim_geography, w.dim_offense, w.dim_date
-    ),
+    lambda w: aggregates.agg_city_season(w.fact_counts, w.dim_geography, w.dim_date),
 )
 
 # Metric layer
@@ -842,14 +851,12 @@ def _declared(w: Warehouse) -> DataFrame:
     """All declared lake and summary tables keep to their schemas."""
     built = _lake(w) | {
         "county_month": aggregates.agg_county_month(
-            w.fct_crimes, w.dim_geography, w.dim_offense, w.fct_income_population
+            w.fact_counts, w.dim_geography, w.fct_income_population
         ),
         "tier_rankings": aggregates.agg_tier_rankings(
-            w.fct_crimes, w.dim_geography, w.fct_income_population
-        ),
-        "city_season": aggregates.agg_city_season(
-            w.fct_crimes, w.dim_geography, w.dim_offense, w.dim_date
+            w.fact_counts, w.dim_geography, w.fct_income_population
         ),
+        "city_season": aggregates.agg_city_season(w.fact_counts, w.dim_geography, w.dim_date),
     }
     results = [quality.dq_contract(built[n], schema, n) for n, schema in schemas.DECLARED.items()]
     return reduce(DataFrame.unionByName, results)

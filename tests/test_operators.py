@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from areaneed.operators import groups, joins, merge, quality
+from areaneed.plans import dimensions
 from areaneed.sources import schemas, scratch, writers
 
 
@@ -229,3 +230,29 @@ def test_write_layer_raw_is_a_view(spark):
     view = writers.write_layer(spark.range(3).toDF("v"), "raw_view_test", "raw")
     assert view.count() == 3
     assert spark.catalog.tableExists("raw_view_test")
+
+
+def test_counts_of_several_sets_tell_a_null_value_from_an_absent_column(spark):
+    rows = [("a", 1, "x"), ("a", None, "x"), (None, 1, "y"), (None, 1, None)]
+    df = spark.createDataFrame(rows, "a string, b int, c string")
+    sets = {"ab": ["a", "b"], "c": ["c"], "ba": ["b"], "all": []}
+    out = {tuple(r) for r in groups.count_sets(df, sets, F.min("b").alias("least")).collect()}
+    assert out == {
+        ("a", 1, None, "ab", 1, 1), ("a", None, None, "ab", 1, None), (None, 1, None, "ab", 2, 1),
+        (None, None, "x", "c", 2, 1), (None, None, "y", "c", 1, 1), (None, None, None, "c", 1, 1),
+        (None, 1, None, "ba", 3, 1), (None, None, None, "ba", 1, None),
+        (None, None, None, "all", 4, 1),
+    }
+    for name, keys in sets.items():
+        found = groups.count_sets(df, sets).where(F.col("set") == name).select(*keys, "n")
+        plain = df.groupBy(*keys).agg(F.count("*").alias("n"))
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    with pytest.raises(ValueError, match="same columns"):
+        groups.count_sets(df, {"one": ["a", "b"], "two": ["b", "a"]})
+
+
+def test_counts_stand_for_their_rows(spark):
+    rows = [("x", "b")] * 3 + [("x", "a")] * 3 + [("y", None)]
+    df = spark.createDataFrame(rows, "agency_name string, county_name string")
+    counts = df.groupBy("agency_name", "county_name").agg(F.count("*").alias("n"))
+    assert sorted(dimensions.dim_agency(counts).collect()) == sorted(dimensions.dim_agency(df).collect())

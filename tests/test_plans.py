@@ -7,11 +7,12 @@ import re
 import pytest
 
 import __spark_entry__ as driver
+from areaneed.plans.warehouse import Warehouse
 from catalog.queries import warehouse
 
 FACT_QUERIES = [
     "rpt_city_demographics", "rpt_city_time_of_day", "rpt_city_time_trends",
-    "rpt_agency_baseline", "agg_county_month", "agg_city_season", "type_share_by_county",
+    "rpt_agency_baseline", "fact_counts", "type_share_by_county",
     "categories_by_county", "county_monthly", "metrics_crimes", "metrics_crime_rate",
 ]
 
@@ -40,6 +41,34 @@ def test_the_incident_fact_is_read_once_and_only_counts_are_shuffled(spark, sf_d
     assert kinds[:2] == ["HashAggregate", "Exchange"]
 
 
+def scans(df) -> set[str]:
+    return set(re.findall(r"FileScan .*?/([a-z_]+)-[0-9a-f]{32}", plan(df)))
+
+
+@pytest.mark.parametrize("name", ["agg_county_month", "agg_city_season"])
+def test_summary_tables_read_the_counts_of_one_scan(spark, sf_dir, name):
+    df = driver.queries()[name](spark, sf_dir)
+    assert "fact_counts" in scans(df) and "fct_crimes" not in scans(df)
+    assert "Generate" not in plan(df) and "Expand" not in plan(df)
+
+
+def test_tiers_and_dimensions_need_the_counts_only(spark, sf_dir):
+    """Built without the raw inputs and without the incidents."""
+    whole = warehouse(spark, sf_dir)
+    bare = Warehouse({}, whole.run_ts)
+    bare.__dict__.update(whole.tables("incident_counts", "int_income_population"))
+    names = ["crime_tiers", "per_capita_tier", "final_county_tier_rank", "dim_date", "dim_offense", "dim_agency"]
+    for name in names:
+        assert sorted(getattr(bare, name).collect()) == sorted(getattr(whole, name).collect())
+
+
+def test_all_incident_counts_take_one_scan_and_one_exchange(spark, sf_dir):
+    for name, table in (("incident_counts", "int_crimes_unified"), ("fact_counts", "fct_crimes")):
+        text = plan(driver.queries()[name](spark, sf_dir))
+        assert len(re.findall(rf"FileScan .*?/{table}-", text)) == 1
+        assert len(re.findall(r"\bExchange hashpartitioning", text)) == 1 and "Generate" not in text
+
+
 def test_big_dimensions_join_by_sort_merge(spark, sf_dir):
     """With no side small enough, nothing is broadcast."""
     w = warehouse(spark, sf_dir)
