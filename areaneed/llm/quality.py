@@ -7,8 +7,10 @@
 3. Host rates shrink towards the global rate, path rates towards their host's. The strength of
    each shrinkage is the Beta prior fitted by moments to the spread of the rates, so a site
    with few documents takes its parent's rate.
-4. A second scan adds a document's evidence to the log odds of its path. Texts are not shuffled
-   unless the table of sites is too large to be broadcast by size.
+4. A document's evidence is added to the log odds of its path. Texts are not shuffled unless the
+   table of sites is too large to be broadcast by size. Where texts are not asked for, the evidence is
+   written by the first scan, beside the columns that are; otherwise a second scan gives it
+   again, which costs less than to write every text once more.
 """
 
 from __future__ import annotations
@@ -154,7 +156,7 @@ def _features(batches: Iterator[pa.RecordBatch]):
 
 
 def _evidence(batches: Iterator[pa.RecordBatch], model: Model, text_col: str, within: str = ""):
-    """``within``: the struct column that holds the text, if any."""
+    """``within``: the struct column that holds the text; a text of its own is not passed on."""
     for batch in batches:
         found = np.zeros((len(batch), len(HEADS)))
         text = batch.column(within).field(text_col) if within else text_column(batch, text_col)
@@ -162,9 +164,10 @@ def _evidence(batches: Iterator[pa.RecordBatch], model: Model, text_col: str, wi
             style, rows, buckets, count = features(words)
             own = np.clip(model.evidence(style, rows, buckets), -30, 30)
             found[words.lo : words.hi] = np.where(count[:, None] > 0, own, 0)
-        columns = [*batch.columns, *[pa.array(found[:, j]) for j in range(len(HEADS))]]
-        names = [*batch.schema.names, *[f"{x}_evidence" for x in HEADS]]
-        yield pa.RecordBatch.from_arrays(columns, names)
+        passed = [c for c in batch.schema.names if within or c != text_col]
+        columns = [batch.column(c) for c in passed]
+        columns += [pa.array(found[:, j]) for j in range(len(HEADS))]
+        yield pa.RecordBatch.from_arrays(columns, [*passed, *[f"{x}_evidence" for x in HEADS]])
 
 
 def fitted(
@@ -269,8 +272,9 @@ def classify(
     sample: int = 8_000,
     least_quality: float = 0.5,
     most_toxic: float = 0.5,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` plus ``quality``, ``toxicity`` (posterior probabilities) and ``keep``.
+    """``docs`` (or its ``columns``, one at least) plus ``quality``, ``toxicity`` (posterior probabilities) and ``keep``.
 
     ``labels``: the id, ``quality`` and ``toxic`` (0 or 1, null: not known) of some documents; at most
     ``sample`` of them, taken by a hash of the id, fit the heads. All else covers all rows. ``keep``
@@ -285,24 +289,33 @@ def classify(
     new = ["quality", "toxicity", "keep"]
     if text_col in new:
         raise ValueError(f"the text column cannot be named {text_col}")
-    keep = [c for c in docs.columns if c not in new]
+    keep = [c for c in (docs.columns if columns is None else columns) if c not in new]
+    if not keep:
+        raise ValueError("no column of the documents is left")
     model = fitted(docs, labels, id_col, text_col, sample)
     scored = [StructField(f"{x}_evidence", DoubleType()) for x in HEADS]
     text = F.col(f"`{text_col}`").cast("string").alias("text")
     site = [host.cast("string").alias("host"), path.cast("string").alias("path")]
-    thin = docs.select(*site, text)
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    carried = site if text_col in keep else [row, *site]
+    thin = docs.select(*carried, text)
     add = partial(_evidence, model=model, text_col="text")
-    evidence = thin.mapInArrow(add, StructType([*thin.schema.fields, *scored]))
+    evidence = thin.mapInArrow(add, StructType([*thin.schema.fields[:-1], *scored]))
+    if text_col not in keep:
+        evidence = materialise(evidence, "evidence")
     neutral = {"quality": 1 - 1e-6, "toxic": 1e-6}
     fitted_ = {x: bool(np.any(model.style[:, j])) for j, x in enumerate(HEADS)}
     rates = {
         x: 1 / (1 + np.exp(-model.base[j])) if fitted_[x] else neutral[x]
         for j, x in enumerate(HEADS)
     }
-    sites = site_posteriors(evidence.drop("text"), {x: float(r) for x, r in rates.items()})
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), *site)
-    add = partial(_evidence, model=model, text_col=text_col, within="row")
-    whole = whole.mapInArrow(add, StructType([*whole.schema.fields, *scored]))
+    sites = site_posteriors(evidence, {x: float(r) for x, r in rates.items()})
+    if text_col in keep:
+        whole = docs.select(row, *site)
+        add = partial(_evidence, model=model, text_col=text_col, within="row")
+        whole = whole.mapInArrow(add, StructType([*whole.schema.fields, *scored]))
+    else:
+        whole = evidence
     # Every site of the documents has a row.
     found = whole.alias("d").join(
         sites.alias("s"),

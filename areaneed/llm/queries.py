@@ -33,6 +33,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "labels"),
         host=F.col("source"),
         path=F.col("lang"),
+        columns=["doc_id"],
     )
     return judged.select(
         "doc_id",

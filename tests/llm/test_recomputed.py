@@ -128,6 +128,27 @@ def test_labels_move_sites_without_evidence_of_their_own(spark):
     assert out[1001]["quality"] == out[1002]["quality"] > 0.9 > 0.1 > out[1000]["quality"]
 
 
+def test_without_the_texts_documents_are_judged_alike(spark, sf_dir):
+    docs = corpus_pipeline.read(spark, sf_dir, "documents").withColumn("row", F.lit("r"))
+    nulls = {c: F.lit(None).cast(t) for c, t in (("doc_id", "long"), ("text", "string"), ("lang", "string"))}
+    docs = docs.unionByName(docs.limit(1).withColumns(nulls))
+    labels = corpus_pipeline.read(spark, sf_dir, "labels")
+    site = {"host": F.col("source"), "path": F.col("lang")}
+    judged = ["doc_id", "row", "quality", "toxicity", "keep"]
+    whole = classify(docs, labels, **site).select(*judged).collect()
+    thin = classify(docs, labels, **site, columns=["row", "doc_id", "keep"])
+    assert thin.columns == ["row", "doc_id", "quality", "toxicity", "keep"]
+    order = lambda r: str(r["doc_id"])
+    for a, b in zip(sorted(whole, key=order), sorted(thin.collect(), key=order), strict=True):
+        assert (a["doc_id"], a["row"], a["keep"]) == (b["doc_id"], b["row"], b["keep"])
+        assert a["quality"] == pytest.approx(b["quality"], abs=1e-9)
+        assert a["toxicity"] == pytest.approx(b["toxicity"], abs=1e-9)
+    empty = classify(docs.limit(0), labels, **site, columns=["doc_id"])
+    assert empty.count() == 0
+    with pytest.raises(ValueError, match="no column"):
+        classify(docs, labels, **site, columns=["keep"])
+
+
 def chained_hash(*parts: bytes) -> int:
     seed = 42
     for part in parts:
