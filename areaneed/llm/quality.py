@@ -10,7 +10,7 @@
 4. A document's evidence is added to the log odds of its path. Texts are not shuffled unless the
    table of sites is too large to be broadcast by size. Where texts are not asked for, the evidence is
    written by the first scan, beside the columns that are; otherwise a second scan gives it
-   again, which costs less than to write every text once more.
+   again, so that no text is written once more.
 """
 
 from __future__ import annotations
