@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areaneed.sources.scratch import scratch_path
+from areaneed.sources.scratch import materialise, scratch_path
 
 LAW = "key"
 
@@ -87,7 +87,11 @@ def shuffle_shards(
 
 
 def read_shards(docs: DataFrame, path: str, schema) -> DataFrame:
-    """The rows of written shards with their slots."""
+    """The rows of written shards with their slots.
+
+    The first slots, one row a bucket, are written: their files are small, so the rows
+    meet them without a shuffle of the texts.
+    """
     rows = docs.sparkSession.read.schema(schema).parquet(path)
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -99,6 +103,7 @@ def read_shards(docs: DataFrame, path: str, schema) -> DataFrame:
             "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot")
         )
     )
+    first = materialise(first, "first-slots")
     return rows.join(first, ["shard", "bucket"]).select(
         "row.*", "size", "shard", (F.col("first_slot") + F.col("place")).alias("slot"), "grown_shard"
     )
